@@ -71,3 +71,24 @@ SERIES = interp("resampled", "series")
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
+
+
+PREDICTIONS = """
+predictions AS (
+  SELECT sensor_id, bucket AS timestamp, CAST(round_even(car_count, 0) AS INTEGER) AS prediction,
+         bucket + INTERVAL 1 DAY AS prediction_for, bucket AS created_at
+  FROM series WHERE car_count IS NOT NULL
+)"""
+
+INDEXED = """
+indexed AS (
+  SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY ts, ingest_seq) - 1 AS idx,
+         count(*) OVER (PARTITION BY sensor_id) AS n_total
+  FROM readings
+)"""
+
+TAIL = """
+tail AS (
+  SELECT * FROM indexed
+  WHERE idx >= floor(CAST(n_total AS DOUBLE) * (CAST(1.0 AS DOUBLE) - CAST(0.7 AS DOUBLE)))
+)"""
