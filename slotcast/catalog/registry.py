@@ -27,6 +27,7 @@ def query(key: str, sql: str | None = None):
 def load_all() -> None:
     """Import every module that registers queries."""
     from slotcast.catalog import (  # noqa: F401
+        q_drift,
         q_relational,
         q_series,
     )

@@ -58,7 +58,7 @@ def interp(src: str, name: str, keys: str = "sensor_id", value: str = "car_count
   FROM {name}_sp
 ),
 {name} AS (
-  SELECT {part}, bucket, CAST(bucket AS DATE) AS date,
+  SELECT {part}, bucket{'' if 'date' in k else ', CAST(bucket AS DATE) AS date'},
     CASE WHEN v IS NOT NULL THEN v WHEN pb IS NULL THEN NULL WHEN nb IS NULL THEN pv
          ELSE pv + (nv - pv) * (epoch(bucket) - epoch(pb)) / (epoch(nb) - epoch(pb)) END AS {value},
     v IS NOT NULL AS observed
@@ -92,3 +92,39 @@ tail AS (
   SELECT * FROM indexed
   WHERE idx >= floor(CAST(n_total AS DOUBLE) * (CAST(1.0 AS DOUBLE) - CAST(0.7 AS DOUBLE)))
 )"""
+
+
+def resample_sql(src: str, name: str, ts: str, value: str) -> str:
+    """5-minute mean per (sensor, bucket) with the bucket's date."""
+    return f"""
+{name} AS (
+  SELECT sensor_id, time_bucket(INTERVAL '5 minutes', {ts}) AS bucket,
+         CAST(time_bucket(INTERVAL '5 minutes', {ts}) AS DATE) AS date,
+         CAST(SUM({value}) AS DOUBLE) / COUNT({value}) AS {value}
+  FROM {src} WHERE {ts} IS NOT NULL AND {value} IS NOT NULL GROUP BY 1, 2, 3
+)"""
+
+
+def day_profile_sql(src: str, name: str, ts: str, value: str, filled: bool = True) -> str:
+    """Per (sensor, date): resample, interpolate inside the day, reindex 288
+    slots, fill forward / backward / 0."""
+    w = "PARTITION BY sensor_id, date ORDER BY slot"
+    fill = (
+        f"coalesce(v, LAST_VALUE(v IGNORE NULLS) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),"
+        f" FIRST_VALUE(v IGNORE NULLS) OVER ({w} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0.0)"
+        if filled
+        else "v"
+    )
+    return (
+        resample_sql(src, f"{name}_r", ts, value)
+        + ","
+        + interp(f"{name}_r", f"{name}_i", keys="sensor_id, date", value=value)
+        + f""",
+{name}_keys AS (SELECT DISTINCT sensor_id, date FROM {name}_i),
+{name}_cal AS (SELECT sensor_id, date, UNNEST(range(0, 288)) AS slot FROM {name}_keys),
+{name}_j AS (
+  SELECT c.sensor_id, c.date, c.slot, i.{value} AS v FROM {name}_cal c LEFT JOIN {name}_i i
+  ON i.sensor_id = c.sensor_id AND i.date = c.date AND hour(i.bucket) * 12 + minute(i.bucket) // 5 = c.slot
+),
+{name} AS (SELECT sensor_id, date, slot, {fill} AS {value} FROM {name}_j)"""
+    )
