@@ -28,6 +28,7 @@ def load_all() -> None:
     """Import every module that registers queries."""
     from slotcast.catalog import (  # noqa: F401
         q_drift,
+        q_export,
         q_relational,
         q_series,
     )

@@ -24,3 +24,33 @@ def forecasts_for_day(predictions: DataFrame, day, lookback_hours: int = C.EXPOR
     end = dt.datetime.combine(d, dt.time.max)
     scanned = key_range_scan(predictions, start.isoformat(sep=" "), end.isoformat(sep=" "), ts="timestamp")
     return scanned.where(F.to_date("prediction_for") == F.lit(d.isoformat()).cast("date"))
+
+
+def actuals_for_day(readings: DataFrame, day) -> DataFrame:
+    """Readings of ``day`` as the half-open range [day, day + 1)."""
+    d = _day(day)
+    lo = F.lit(d.isoformat()).cast("timestamp_ntz")
+    hi = F.lit((d + dt.timedelta(days=1)).isoformat()).cast("timestamp_ntz")
+    return readings.where((F.col("date") == F.lit(d.isoformat()).cast("date")) & (F.col("ts") >= lo) & (F.col("ts") < hi))
+
+
+def daily_export(
+    spark,
+    readings: DataFrame,
+    predictions: DataFrame,
+    as_of,
+    actuals_root: str,
+    predictions_root: str,
+    master_root: str,
+    lookback_hours: int = C.EXPORT_LOOKBACK_HOURS,
+) -> dict:
+    """Export the day before ``as_of``: its actuals, its forecasts and the
+    master merge.  Returns the paths written."""
+    from slotcast.sinks.exports import merge_master, write_daily_actuals, write_daily_predictions
+
+    day = _day(as_of) - dt.timedelta(days=1)
+    acts = actuals_for_day(readings, day)
+    write_daily_actuals(acts, actuals_root)
+    write_daily_predictions(forecasts_for_day(predictions, day, lookback_hours), predictions_root)
+    merge_master(spark, master_root, acts)
+    return {"day": day.isoformat(), "actuals": actuals_root, "predictions": predictions_root, "master": master_root}

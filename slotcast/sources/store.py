@@ -59,3 +59,32 @@ def read_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def read_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(predictions_table(spark, sf_dir))
+
+
+def actuals_export(spark: SparkSession, sf_dir: str) -> str:
+    """Daily actuals CSV export of every day (written once, reused)."""
+    from slotcast.sinks.exports import write_daily_actuals
+
+    path = SS.store_path(spark, "daily_actuals", sf_dir)
+    if not SS.table_ready(spark, path):
+        write_daily_actuals(read_readings(spark, sf_dir), path)
+    return path
+
+
+def predictions_export(spark: SparkSession, sf_dir: str) -> str:
+    from slotcast.sinks.exports import write_daily_predictions
+
+    path = SS.store_path(spark, "daily_predictions", sf_dir)
+    if not SS.table_ready(spark, path):
+        write_daily_predictions(read_predictions(spark, sf_dir), path)
+    return path
+
+
+def master_export(spark: SparkSession, sf_dir: str) -> str:
+    """Master history of every day (one merge of all readings)."""
+    from slotcast.sinks.exports import merge_master
+
+    path = SS.store_path(spark, "master", sf_dir)
+    if not SS.table_ready(spark, path):
+        merge_master(spark, path, read_readings(spark, sf_dir))
+    return path
