@@ -31,4 +31,5 @@ def load_all() -> None:
         q_export,
         q_relational,
         q_series,
+        q_windows,
     )
