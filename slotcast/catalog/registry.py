@@ -29,6 +29,7 @@ def load_all() -> None:
     from slotcast.catalog import (  # noqa: F401
         q_drift,
         q_export,
+        q_models,
         q_relational,
         q_series,
         q_windows,
