@@ -32,5 +32,6 @@ def load_all() -> None:
         q_models,
         q_relational,
         q_series,
+        q_stream,
         q_windows,
     )

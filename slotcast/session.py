@@ -78,3 +78,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def table_ready(spark: SparkSession, path: str) -> bool:
     """True when a committed write (``_SUCCESS`` marker) sits at ``path``."""
     return path_exists(spark, path.rstrip("/") + "/_SUCCESS")
+
+
+def mark_ready(spark: SparkSession, path: str) -> None:
+    """Write the ``_SUCCESS`` marker at a table root.  Dynamic partition
+    overwrite commits partition folders only, so the marker is set here."""
+    fs, jpath = _fs(spark, path.rstrip("/") + "/_SUCCESS")
+    if not fs.exists(jpath):
+        fs.create(jpath, True).close()

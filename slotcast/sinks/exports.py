@@ -45,6 +45,7 @@ def _write_csv(df: DataFrame, path: str, order_col: str) -> None:
         .partitionBy("sensor_id", "date")
         .csv(path)
     )
+    SS.mark_ready(df.sparkSession, path)
 
 
 def write_daily_actuals(readings: DataFrame, path: str) -> None:
