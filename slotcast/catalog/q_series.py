@@ -63,3 +63,20 @@ SELECT sensor_id, {sec_text('bucket')} AS bucket, car_count, observed FROM serie
 def win_interpolate_time(spark, sf_dir):
     s = S.regular_series(feed.readings(spark, sf_dir))
     return s.select("sensor_id", fmt_seconds("bucket").alias("bucket"), "car_count", "observed")
+
+
+@query(
+    "agg_slot_profile",
+    with_(READINGS, RESAMPLED, SERIES)
+    + """
+SELECT sensor_id, CAST(hour(bucket) * 12 + minute(bucket) // 5 AS INTEGER) AS slot,
+       CAST(ROUND(CAST(avg(car_count) AS DECIMAL(38,9)), 4) AS DOUBLE) AS car_count, count(car_count) AS n_days
+FROM series GROUP BY 1, 2
+""",
+)
+def agg_slot_profile(spark, sf_dir):
+    from slotcast.functions.numeric import q4
+    from slotcast.operators.profile import slot_profile
+
+    p = slot_profile(S.regular_series(feed.readings(spark, sf_dir)))
+    return p.select("sensor_id", F.col("slot").cast("int"), q4("car_count").alias("car_count"), "n_days")

@@ -157,7 +157,41 @@ def stream_ingest_readings(spark, sf_dir):
     return t.select("sensor_id", fmt_seconds("ts").alias("ts"), F.col("car_count").cast("double"), "ingest_seq")
 
 
-@query("stream_score_latest")
+def _score_latest_sql():
+    from slotcast import config as C
+    from slotcast.catalog.sqlparts import interp
+
+    cuts = ", ".join(f"({i + 1}, TIMESTAMP '{c} 00:00:00')" for i, c in enumerate(ARRIVALS))
+    return (
+        with_(READINGS, SECOND_DEDUP)
+        + f""",
+cuts AS (SELECT * FROM (VALUES {cuts}, ({len(ARRIVALS) + 1}, TIMESTAMP '9999-12-31 00:00:00')) t(k, hi)),
+recent AS (
+  SELECT * FROM (
+    SELECT c.k, d.sensor_id, date_trunc('second', d.ts) AS ts, d.car_count,
+           row_number() OVER (PARTITION BY c.k, d.sensor_id ORDER BY date_trunc('second', d.ts) DESC, d.ingest_seq DESC) AS rn,
+           count(*) OVER (PARTITION BY c.k, d.sensor_id) AS n_hist
+    FROM cuts c JOIN dedup d ON date_trunc('second', d.ts) < c.hi) WHERE rn <= {C.N_STEPS} AND n_hist >= {C.N_STEPS}
+),
+rr AS (
+  SELECT k, sensor_id, time_bucket(INTERVAL '5 minutes', ts) AS bucket,
+         CAST(SUM(car_count) AS DOUBLE) / COUNT(car_count) AS car_count
+  FROM recent GROUP BY 1, 2, 3
+),"""
+        + interp("rr", "ri", keys="k, sensor_id")
+        + f""",
+lw AS (SELECT *, row_number() OVER (PARTITION BY k, sensor_id ORDER BY bucket DESC) AS r,
+              count(*) OVER (PARTITION BY k, sensor_id) AS n_b,
+              max(bucket) OVER (PARTITION BY k, sensor_id) AS last_bucket FROM ri)
+SELECT sensor_id, {sec_text('last_bucket')} AS timestamp,
+       CAST(round_even(greatest(0.0, car_count / CAST(100.0 AS DOUBLE) * CAST(100.0 AS DOUBLE)), 0) AS INTEGER) AS prediction,
+       {sec_text(f"last_bucket + INTERVAL {C.SERVE_HORIZON * C.STEP_MINUTES} MINUTE")} AS prediction_for
+FROM lw WHERE n_b >= {C.N_STEPS} AND r = {C.N_STEPS} - ({C.N_STEPS - 1} + {C.SERVE_HORIZON} - {C.SLOTS_PER_DAY})
+"""
+    )
+
+
+@query("stream_score_latest", _score_latest_sql())
 def stream_score_latest(spark, sf_dir):
     table, preds, ckpt = (scratch_path(spark, k) for k in ("readings", "predictions", "ckpt"))
     _arrivals(spark, sf_dir, lambda landing: IG.run_ingest(spark, landing, ckpt, IG.ReadingIngest(table, preds)))

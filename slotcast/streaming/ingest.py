@@ -75,21 +75,26 @@ class ReadingIngest:
 
     def score_touched(self, spark: SparkSession, sensors: DataFrame, touched_dates: DataFrame) -> None:
         """Newest 288 readings of the touched sensors -> series -> last
-        window -> forecast; scans only the last ``history_days`` dates before
-        the newest touched date (288 readings at the 5-minute cadence span
-        one day; the margin covers gaps)."""
+        window -> forecast.  The first pass scans only the last
+        ``history_days`` dates before the newest touched date (288 readings
+        at the 5-minute cadence span one day); sensors still short of 288
+        readings are read again over their whole history, so the result is
+        exact either way."""
         newest = touched_dates.agg(F.max("date")).first()[0]
         if newest is None:
             return
         lo = newest - dt.timedelta(days=self.history_days)
-        hist = (
-            spark.read.parquet(self.readings_table)
-            .where(F.col("date").between(F.lit(lo.isoformat()).cast("date"), F.lit(newest.isoformat()).cast("date")))
-            .join(sensors, "sensor_id", "left_semi")
-        )
-        recent = latest_n(hist, C.N_STEPS).drop("rank")
-        n_raw = recent.groupBy("sensor_id").count().where(F.col("count") >= C.N_STEPS).select("sensor_id")
-        series = regular_series(recent.join(n_raw, "sensor_id", "left_semi").withColumn("car_count", F.col("car_count")))
+        table = spark.read.parquet(self.readings_table)
+        near = table.where(
+            F.col("date").between(F.lit(lo.isoformat()).cast("date"), F.lit(newest.isoformat()).cast("date"))
+        ).join(sensors, "sensor_id", "left_semi")
+        first = latest_n(near, C.N_STEPS).drop("rank")
+        full = first.groupBy("sensor_id").count().where(F.col("count") >= C.N_STEPS).select("sensor_id")
+        short = sensors.join(full, "sensor_id", "left_anti")
+        second = latest_n(table.join(short, "sensor_id", "left_semi"), C.N_STEPS).drop("rank")
+        recent = first.join(full, "sensor_id", "left_semi").unionByName(second)
+        ready = recent.groupBy("sensor_id").count().where(F.col("count") >= C.N_STEPS).select("sensor_id")
+        series = regular_series(recent.join(ready, "sensor_id", "left_semi"))
         lw = last_window(scale_fixed(series), C.N_STEPS, ["car_scaled", "hour_scaled"]).where(F.col("n_rows") == C.N_STEPS)
         scored = serve(lw, self.model).withColumn("created_at", F.col("timestamp"))
         upsert_predictions(spark, self.predictions_table, scored)
