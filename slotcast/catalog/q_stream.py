@@ -9,7 +9,7 @@ from slotcast.catalog.sqlparts import PREDICTIONS, READINGS, RESAMPLED, SERIES,
 from slotcast.functions.timecols import fmt_date, fmt_day_first, fmt_seconds, fmt_text
 from slotcast.session import scratch_path
 from slotcast.sinks import exports as X
-from slotcast.sinks.tables import upsert_predictions, upsert_readings
+from slotcast.sinks.tables import PREDICTIONS_TABLE, READINGS_TABLE, read_table, upsert_predictions, upsert_readings
 from slotcast.sources import feed, store
 from slotcast.sources.payloads import parse_payloads, parse_reading
 from slotcast.streaming import ingest as IG
@@ -153,7 +153,7 @@ FROM dedup
 def stream_ingest_readings(spark, sf_dir):
     table, ckpt = scratch_path(spark, "readings"), scratch_path(spark, "ckpt")
     _arrivals(spark, sf_dir, lambda landing: IG.run_ingest(spark, landing, ckpt, IG.ReadingIngest(table)))
-    t = spark.read.parquet(table)
+    t = read_table(spark, table, READINGS_TABLE)
     return t.select("sensor_id", fmt_seconds("ts").alias("ts"), F.col("car_count").cast("double"), "ingest_seq")
 
 
@@ -195,7 +195,7 @@ FROM lw WHERE n_b >= {C.N_STEPS} AND r = {C.N_STEPS} - ({C.N_STEPS - 1} + {C.SER
 def stream_score_latest(spark, sf_dir):
     table, preds, ckpt = (scratch_path(spark, k) for k in ("readings", "predictions", "ckpt"))
     _arrivals(spark, sf_dir, lambda landing: IG.run_ingest(spark, landing, ckpt, IG.ReadingIngest(table, preds)))
-    p = spark.read.parquet(preds)
+    p = read_table(spark, preds, PREDICTIONS_TABLE)
     return p.select(
         "sensor_id", fmt_seconds("timestamp").alias("timestamp"), "prediction", fmt_seconds("prediction_for").alias("prediction_for")
     )

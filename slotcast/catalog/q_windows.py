@@ -14,6 +14,7 @@ from slotcast.operators import sequences as Q
 from slotcast.operators.series import regular_series
 from slotcast.plans import training as TR
 from slotcast.session import scratch_path, store_path, table_ready
+from slotcast.sinks.tables import WINDOWS_TABLE, read_table
 from slotcast.sources import feed
 
 SERIES_BASE = with_(READINGS, RESAMPLED, SERIES)
@@ -294,7 +295,7 @@ SELECT sensor_id, window_idx, CAST({C.N_STEPS} AS BIGINT) AS n_steps, first_car,
 def sink_train_windows(spark, sf_dir):
     path = scratch_path(spark, "train_windows")
     TR.write_windows(TR.training_set(feed.readings(spark, sf_dir), tensors=True), path)
-    return _tensor_digest(spark.read.parquet(path))
+    return _tensor_digest(read_table(spark, path, WINDOWS_TABLE))
 
 
 @query("src_windows", _TENSOR_SQL)
@@ -302,4 +303,4 @@ def src_windows(spark, sf_dir):
     path = store_path(spark, "train_windows", sf_dir)
     if not table_ready(spark, path):
         TR.write_windows(TR.training_set(feed.readings(spark, sf_dir), tensors=True), path)
-    return _tensor_digest(spark.read.parquet(path))
+    return _tensor_digest(read_table(spark, path, WINDOWS_TABLE))

@@ -27,7 +27,7 @@ def upsert(
     b = batch.withColumn("date", F.to_date(ts))
     touched = b.select("date").distinct()
     if SS.table_ready(spark, table):
-        old = spark.read.parquet(table).join(touched, "date", "left_semi")
+        old = spark.read.schema(b.schema).parquet(table).join(touched, "date", "left_semi")
         both = old.unionByName(b.select(*old.columns))
     else:
         both = b
@@ -58,3 +58,18 @@ def upsert_predictions(spark: SparkSession, table: str, batch: DataFrame) -> Dat
     """Key (sensor_id, timestamp); the latest ``created_at`` wins."""
     cols = ["sensor_id", "timestamp", "prediction", "prediction_for", "created_at"]
     return upsert(spark, table, batch.select(*cols), ["sensor_id", "timestamp"], ["created_at", "prediction"], "timestamp")
+
+
+READINGS_TABLE = "sensor_id string, ts timestamp_ntz, car_count decimal(10,2), free_spots array<int>, ingest_seq bigint, date date"
+PREDICTIONS_TABLE = (
+    "sensor_id string, timestamp timestamp_ntz, prediction int, prediction_for timestamp_ntz, created_at timestamp_ntz, date date"
+)
+WINDOWS_TABLE = "window_idx bigint, n_windows bigint, x array<double>, label double, sensor_id string"
+
+
+def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Read one of our tables with its schema (an empty table has no files
+    to infer a schema from)."""
+    if not SS.path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)

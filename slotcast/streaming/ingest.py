@@ -21,7 +21,7 @@ from slotcast.operators.ordering import latest_n
 from slotcast.operators.sequences import last_window
 from slotcast.operators.series import regular_series
 from slotcast.plans.scoring import LinearModel, serve
-from slotcast.sinks.tables import upsert_predictions, upsert_readings
+from slotcast.sinks.tables import READINGS_TABLE, read_table, upsert_predictions, upsert_readings
 from slotcast.sources.payloads import ENVELOPE, parse_reading
 
 
@@ -84,7 +84,7 @@ class ReadingIngest:
         if newest is None:
             return
         lo = newest - dt.timedelta(days=self.history_days)
-        table = spark.read.parquet(self.readings_table)
+        table = read_table(spark, self.readings_table, READINGS_TABLE)
         near = table.where(
             F.col("date").between(F.lit(lo.isoformat()).cast("date"), F.lit(newest.isoformat()).cast("date"))
         ).join(sensors, "sensor_id", "left_semi")

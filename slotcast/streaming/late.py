@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from slotcast import session as SS
 from slotcast.sinks.exports import write_daily_actuals
-from slotcast.sinks.tables import upsert_readings
+from slotcast.sinks.tables import READINGS_TABLE, read_table, upsert_readings
 from slotcast.sources.payloads import parse_reading
 
 
@@ -28,7 +28,7 @@ class LateAwareIngest:
         return spark.read.parquet(self.exported_log).select("date").distinct()
 
     def export(self, spark: SparkSession, dates: DataFrame, batch_id: int) -> None:
-        rows = spark.read.parquet(self.readings_table).join(dates, "date", "left_semi")
+        rows = read_table(spark, self.readings_table, READINGS_TABLE).join(dates, "date", "left_semi")
         write_daily_actuals(rows, self.exports_root)
         dates.write.mode("overwrite").parquet(f"{self.exported_log}/batch_id={batch_id}")
 
@@ -42,7 +42,7 @@ class LateAwareIngest:
 
     def export_all(self, spark: SparkSession, batch_id: int = -1) -> None:
         """The scheduled export of every day present so far."""
-        dates = spark.read.parquet(self.readings_table).select("date").distinct()
+        dates = read_table(spark, self.readings_table, READINGS_TABLE).select("date").distinct()
         self.export(spark, dates, batch_id)
 
 
