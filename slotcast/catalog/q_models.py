@@ -110,7 +110,7 @@ cmp AS (
 
 def _metrics(spark, sf_dir):
     w = EV.eval_windows(_series(spark, sf_dir))
-    return w, EV.evaluate(w, NEW_MODEL), EV.evaluate(w, OLD_MODEL)
+    return EV.evaluate_many(w, [NEW_MODEL, OLD_MODEL])
 
 
 @query(
@@ -118,15 +118,15 @@ def _metrics(spark, sf_dir):
     _EVAL_SQL + f"\nSELECT sensor_id, model, {q4('mae')} AS mae, {q4('mse')} AS mse, n_windows FROM metrics\n",
 )
 def ml_evaluate(spark, sf_dir):
-    _, new, old = _metrics(spark, sf_dir)
-    m = new.unionByName(old)
+    m = _metrics(spark, sf_dir)
     return m.select("sensor_id", "model", F.round(F.col("mae").cast("decimal(38,9)"), 4).cast("double").alias("mae"),
                     F.round(F.col("mse").cast("decimal(38,9)"), 4).cast("double").alias("mse"), "n_windows")
 
 
 def _comparison(spark, sf_dir):
-    w, new, old = _metrics(spark, sf_dir)
-    return EV.compare(new, old, _series(spark, sf_dir).select("sensor_id").distinct())
+    m = _metrics(spark, sf_dir)
+    new, old = m.where(F.col("model") == NEW_MODEL.name), m.where(F.col("model") == OLD_MODEL.name)
+    return EV.compare(new, old, feed.readings(spark, sf_dir).select("sensor_id"))
 
 
 @query("ml_compare", _EVAL_SQL + "\nSELECT sensor_id, new_mae, old_mae, result FROM cmp\n")
@@ -175,7 +175,7 @@ def _registry(spark, sf_dir):
     """Two registered packages per sensor: v1 (baseline, registered without
     metrics) and v2 (candidate, metrics = its evaluation report folder)."""
     root = _report_store(spark, sf_dir)
-    sensors = _series(spark, sf_dir).select("sensor_id").distinct()
+    sensors = feed.readings(spark, sf_dir).select("sensor_id").distinct()
     arn = lambda v: F.concat(F.lit("arn:slotcast:model-package/parking/"), F.col("sensor_id"), F.lit(f"/{v}"))
     packages = sensors.select(arn(1).alias("model_package_arn"), F.lit(None).cast("string").alias("metrics_uri")).unionByName(
         sensors.select(arn(2).alias("model_package_arn"), PM.normalize_uri(F.concat(F.lit(root + "/sensor_id="), F.col("sensor_id"))).alias("metrics_uri"))
@@ -245,6 +245,10 @@ def gate_retrain(spark, sf_dir):
 
 @query("ml_fit_forecaster")
 def ml_fit_forecaster(spark, sf_dir):
-    windows = TR.split(TR.training_set(feed.readings(spark, sf_dir), tensors=True))
+    """Fit on the written training windows (the table cuts the lineage; the
+    288-wide windows are read, never cached)."""
+    from slotcast.catalog.q_windows import windows_store
+
+    windows = TR.split(windows_store(spark, sf_dir))
     results, _ = fit_forecaster(spark, windows)
     return results

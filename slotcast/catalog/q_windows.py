@@ -298,9 +298,14 @@ def sink_train_windows(spark, sf_dir):
     return _tensor_digest(read_table(spark, path, WINDOWS_TABLE))
 
 
-@query("src_windows", _TENSOR_SQL)
-def src_windows(spark, sf_dir):
+def windows_store(spark, sf_dir):
+    """The training windows written once under the shared folder."""
     path = store_path(spark, "train_windows", sf_dir)
     if not table_ready(spark, path):
         TR.write_windows(TR.training_set(feed.readings(spark, sf_dir), tensors=True), path)
-    return _tensor_digest(read_table(spark, path, WINDOWS_TABLE))
+    return read_table(spark, path, WINDOWS_TABLE)
+
+
+@query("src_windows", _TENSOR_SQL)
+def src_windows(spark, sf_dir):
+    return _tensor_digest(windows_store(spark, sf_dir))

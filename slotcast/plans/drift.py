@@ -111,10 +111,15 @@ def check_drift(
     days: int = C.DRIFT_DAYS,
     trigger_days: int = C.DRIFT_TRIGGER_DAYS,
     check_timestamp=None,
+    sensors: DataFrame | None = None,
 ):
     """Full drift check from clean-or-raw actuals (sensor_id, ts, car_count,
     date) and forecasts (sensor_id, prediction_for, prediction, date).
 
+    ``sensors`` (a sensor registry) fixes the sensors reported; by default
+    they are the sensors with rows in the look-back on either side, which
+    only needs the pruned date partitions, never a full scan.
+
     Returns ``(statuses, summary)``."""
     d = _d(as_of)
     lo, hi = d - dt.timedelta(days=days), d - dt.timedelta(days=1)
@@ -122,7 +127,9 @@ def check_drift(
     in_window_p = predictions.where(
         F.col("date").between(F.lit(lo.isoformat()).cast("date"), F.lit(hi.isoformat()).cast("date"))
     )
-    grid = day_grid(actuals.select("sensor_id").unionByName(predictions.select("sensor_id")), d, days)
+    if sensors is None:
+        sensors = in_window_a.select("sensor_id").unionByName(in_window_p.select("sensor_id"))
+    grid = day_grid(sensors, d, days)
     pairs = pair_days(
         grid,
         day_counts(in_window_a, "ts", "car_count"),

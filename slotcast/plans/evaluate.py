@@ -22,11 +22,32 @@ def eval_windows(series: DataFrame, n: int = C.N_STEPS, lead: int = C.EVAL_LEAD)
 
 def evaluate(windows: DataFrame, model: LinearModel) -> DataFrame:
     """MAE / MSE per sensor of ``model`` (forecasts unscaled x 100)."""
-    pred = windows.withColumn("_pred", score_scaled(windows, model) * F.lit(C.CAR_MAX))
-    err = F.col("label") - F.col("_pred")
-    return pred.groupBy("sensor_id").agg(
-        F.avg(F.abs(err)).alias("mae"), F.avg(err * err).alias("mse"), F.count(F.lit(1)).alias("n_windows")
-    ).withColumn("model", F.lit(model.name))
+    return evaluate_many(windows, [model])
+
+
+def evaluate_many(windows: DataFrame, models: list[LinearModel]) -> DataFrame:
+    """MAE / MSE per (sensor, model) for several models in ONE pass over the
+    windows: every model scores the same Arrow batches, and one aggregation
+    computes all metrics (partial aggregation before the shuffle)."""
+    scored = windows.select(
+        "sensor_id",
+        "label",
+        *[(score_scaled(windows, m) * F.lit(C.CAR_MAX)).alias(f"_p{i}") for i, m in enumerate(models)],
+    )
+    aggs = []
+    for i, _ in enumerate(models):
+        err = F.col("label") - F.col(f"_p{i}")
+        aggs += [F.avg(F.abs(err)).alias(f"mae{i}"), F.avg(err * err).alias(f"mse{i}")]
+    wide = scored.groupBy("sensor_id").agg(F.count(F.lit(1)).alias("n_windows"), *aggs)
+    entries = F.array(
+        *[
+            F.struct(F.lit(m.name).alias("model"), F.col(f"mae{i}").alias("mae"), F.col(f"mse{i}").alias("mse"))
+            for i, m in enumerate(models)
+        ]
+    )
+    return wide.select("sensor_id", "n_windows", F.explode(entries).alias("m")).select(
+        "sensor_id", "m.model", "m.mae", "m.mse", "n_windows"
+    )
 
 
 def compare(new: DataFrame, old: DataFrame, sensors: DataFrame) -> DataFrame:

@@ -16,23 +16,22 @@ REG_PARAMS = (0.0, 0.001, 0.01)
 
 
 def fit_forecaster(spark: SparkSession, windows: DataFrame, reg_params=REG_PARAMS, max_iter: int = 50):
-    """``windows`` has ``x``, ``label`` and ``split``.  Returns
+    """``windows`` has ``x``, ``label`` and ``split`` -- pass a written table
+    (the 288-wide windows are re-read per fit rather than cached).  The
+    normal-equation solver makes one distributed pass per fit.  Returns
     ``(results DataFrame, best LinearModel)``."""
     data = windows.select(array_to_vector("x").alias("features"), "label", "split")
-    data = data.persist()
     train, valid = data.where(F.col("split") == "train"), data.where(F.col("split") == "valid")
     rows, best, best_mse = [], None, None
-    try:
-        for rp in reg_params:
-            lr = LinearRegression(regParam=rp, elasticNetParam=0.0, maxIter=max_iter, solver="auto")
-            m = lr.fit(train)
-            vm = m.evaluate(valid).meanSquaredError if valid.head(1) else float("nan")
-            tm = m.summary.meanSquaredError
-            rows.append((f"linear_reg{rp}", float(rp), float(tm), float(vm)))
-            if best_mse is None or (vm == vm and vm < best_mse):
-                best_mse, best = vm, LinearModel(f"linear_reg{rp}", np.asarray(m.coefficients.toArray()), float(m.intercept))
-    finally:
-        data.unpersist()
+    has_valid = bool(valid.head(1))
+    for rp in reg_params:
+        lr = LinearRegression(regParam=rp, elasticNetParam=0.0, maxIter=max_iter, solver="auto")
+        m = lr.fit(train)
+        vm = m.evaluate(valid).meanSquaredError if has_valid else float("nan")
+        tm = m.summary.meanSquaredError
+        rows.append((f"linear_reg{rp}", float(rp), float(tm), float(vm)))
+        if best_mse is None or (vm == vm and vm < best_mse):
+            best_mse, best = vm, LinearModel(f"linear_reg{rp}", np.asarray(m.coefficients.toArray()), float(m.intercept))
     res = spark.createDataFrame(rows, "model string, reg_param double, train_mse double, valid_mse double")
     res = res.withColumn("selected", F.col("model") == F.lit(best.name if best else ""))
     return res, best

@@ -1,7 +1,9 @@
 """Streaming 5-minute resample with a watermark.
 
-``withWatermark`` needs a TIMESTAMP (session zone UTC), so the parsed
-TIMESTAMP_NTZ is cast.  Output mode ``update``: each micro-batch emits the
+``withWatermark`` needs a TIMESTAMP (not TIMESTAMP_NTZ).  The wall-clock time
+is turned into the instant with the same UTC reading through epoch seconds,
+which does not depend on the session zone; the bucket start is turned back the
+same way.  Output mode ``update``: each micro-batch emits the
 buckets it changed; they are appended to a change log partitioned by batch id
 (overwriting a batch's folder on replay), and the table view keeps the
 newest version of every bucket."""
@@ -19,13 +21,19 @@ from slotcast.streaming.ingest import read_landing_stream
 
 def resample_stream(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
     r = parse_reading(stream).where("valid")
-    ts = F.col("ts").cast("timestamp")
+    instant = F.timestamp_seconds(F.unix_timestamp("ts"))  # zone-free: NTZ wall clock read as UTC
+    epoch0 = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return (
-        r.withColumn("ts_utc", ts)
+        r.withColumn("ts_utc", instant)
         .withWatermark("ts_utc", delay)
         .groupBy("sensor_id", F.window("ts_utc", f"{C.STEP_MINUTES} minutes").alias("w"))
         .agg(F.sum("car_count").alias("sum_count"), F.count("car_count").alias("n"))
-        .select("sensor_id", F.col("w.start").cast("timestamp_ntz").alias("bucket"), "sum_count", "n")
+        .select(
+            "sensor_id",
+            (epoch0 + F.make_dt_interval(secs=F.unix_timestamp("w.start"))).alias("bucket"),
+            "sum_count",
+            "n",
+        )
     )
 
 
