@@ -109,8 +109,7 @@ cmp AS (
 
 
 def _metrics(spark, sf_dir):
-    w = EV.eval_windows(_series(spark, sf_dir))
-    return EV.evaluate_many(w, [NEW_MODEL, OLD_MODEL])
+    return EV.evaluate_series(_series(spark, sf_dir), [NEW_MODEL, OLD_MODEL])
 
 
 @query(
