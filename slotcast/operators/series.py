@@ -59,12 +59,15 @@ def day_edges(resampled: DataFrame, value: str, keys: tuple[str, ...] = ("sensor
 
 
 def day_carries(edges: DataFrame, keys: tuple[str, ...] = ("sensor_id",), across_days: bool = True) -> DataFrame:
-    """Dense date grid per key with the bounds of the spine and the carries.
-
-    ``lo``/``hi`` bound the spine (first / last known bucket of the key, or of
-    the day when ``across_days`` is False); ``carry_prev`` is the last known
-    bucket before the date and ``carry_next`` the first known one after it.
-    """
+    """Dense date list per key with the bounds of the spine and the carries.
+
+    ``lo``/``hi`` bound the spine inside a date (NULL = the whole day): the
+    first known bucket on the key's first day, the last one on its last day
+    (or the day's own when ``across_days`` is False).  ``carry_prev`` is the
+    last known bucket before the date and ``carry_next`` the first known one
+    after it.  Each day with data also covers the empty days up to the next
+    day with data, so ``lag``/``lead`` over the (small) edge table is all it
+    takes -- no calendar join."""
     if not across_days:
         return edges.select(
             *keys,
@@ -74,22 +77,26 @@ def day_carries(edges: DataFrame, keys: tuple[str, ...] = ("sensor_id",), across
             F.lit(None).cast(edges.schema["first_known"].dataType).alias("carry_prev"),
             F.lit(None).cast(edges.schema["first_known"].dataType).alias("carry_next"),
         )
-    bounds = edges.groupBy(*keys).agg(
-        F.min("date").alias("d0"),
-        F.max("date").alias("d1"),
-        F.min("first_known.b").alias("lo"),
-        F.max("last_known.b").alias("hi"),
-    )
-    grid = bounds.select(*keys, "lo", "hi", F.explode(F.sequence("d0", "d1")).alias("date"))
-    grid = grid.join(edges, [*keys, "date"], "left")
     by_date = W.partitionBy(*keys).orderBy("date")
-    return grid.select(
+    e = edges.select(
+        *keys,
+        F.col("date").alias("data_date"),
+        "first_known",
+        "last_known",
+        F.lag("last_known").over(by_date).alias("prev_last"),
+        F.lead("first_known").over(by_date).alias("next_first"),
+        F.lead("date").over(by_date).alias("next_date"),
+    )
+    covered = F.sequence(F.col("data_date"), F.coalesce(F.date_sub("next_date", 1), F.col("data_date")))
+    e = e.select("*", F.explode(covered).alias("date"))
+    own = F.col("date") == F.col("data_date")
+    return e.select(
         *keys,
         "date",
-        "lo",
-        "hi",
-        F.last("last_known", ignorenulls=True).over(by_date.rowsBetween(W.unboundedPreceding, -1)).alias("carry_prev"),
-        F.first("first_known", ignorenulls=True).over(by_date.rowsBetween(1, W.unboundedFollowing)).alias("carry_next"),
+        F.when(own & F.col("prev_last").isNull(), F.col("first_known.b")).alias("lo"),
+        F.when(F.col("next_first").isNull(), F.col("last_known.b")).alias("hi"),
+        F.when(own, F.col("prev_last")).otherwise(F.col("last_known")).alias("carry_prev"),
+        F.col("next_first").alias("carry_next"),
     )
 
 
@@ -97,7 +104,7 @@ def spine(carries: DataFrame, keys: tuple[str, ...] = ("sensor_id",), step_minut
     """Every step bucket of every (keys, date) inside [lo, hi]."""
     day0 = F.col("date").cast("timestamp_ntz")
     last_of_day = day0 + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(24 * 60 - step_minutes))
-    start = F.greatest(day0, F.col("lo"))
+    start = F.greatest(day0, F.col("lo"))  # greatest / least skip NULL bounds
     stop = F.least(last_of_day, F.col("hi"))
     step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(step_minutes))
     return carries.where(start <= stop).select(
