@@ -16,7 +16,10 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = events(spark, sf_dir)
+    """Readings keyed by sensor (a reading without a sensor key is dropped
+    here, once, so every branch of a plan carries the same constraint and
+    Spark can reuse shared shuffles)."""
+    ev = events(spark, sf_dir).where(F.col("event_type").isNotNull())
     return ev.select(
         F.col("event_type").alias("sensor_id"),
         F.col("ts"),
@@ -29,7 +32,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_text_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings as the edge device stores them: ISO text with microseconds and
     the count as text (the shape ``flt_clean_readings`` coerces)."""
-    ev = events(spark, sf_dir)
+    ev = events(spark, sf_dir).where(F.col("event_type").isNotNull())
     return ev.select(
         F.col("event_type").alias("sensor_id"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
