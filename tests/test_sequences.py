@@ -62,3 +62,28 @@ def test_last_window(spark):
     df = spark.createDataFrame(data, "sensor_id string, bucket timestamp_ntz, v double")
     lw = Q.last_window(df, 288, ["v"]).collect()[0]
     assert lw["n_rows"] == 288 and lw["x"][0] == 12.0 and lw["x"][-1] == 299.0
+
+
+def test_last_buckets_pruned_equals_full(spark, tmp_path):
+    """Recent-partition series equals the full-history series on the last
+    288 buckets, including a sensor whose recent data is too short."""
+    import datetime as dt
+
+    from slotcast.operators.recent import last_buckets
+    from slotcast.operators.series import regular_series
+
+    base = dt.datetime(2024, 1, 1)
+    rows = [("dense", base + dt.timedelta(minutes=7 * i), float(i % 50), i) for i in range(1500)]
+    rows += [("sparse", base + dt.timedelta(hours=9 * i), float(i), 10000 + i) for i in range(20)]
+    df = spark.createDataFrame(rows, "sensor_id string, ts timestamp_ntz, car_count double, ingest_seq long")
+    df = df.withColumn("car_count", F.col("car_count").cast("decimal(10,2)")).withColumn("date", F.to_date("ts"))
+    path = str(tmp_path / "readings")
+    df.write.partitionBy("date").parquet(path)
+    table = spark.read.parquet(path)
+    got = {(r["sensor_id"], r["bucket"]): r["car_count"] for r in last_buckets(table, 288).collect()}
+    full = regular_series(table)
+    from pyspark.sql.window import Window as W
+
+    ranked = full.withColumn("r", F.row_number().over(W.partitionBy("sensor_id").orderBy(F.col("bucket").desc())))
+    want = {(r["sensor_id"], r["bucket"]): r["car_count"] for r in ranked.where("r <= 288").collect()}
+    assert got == want
