@@ -23,7 +23,7 @@ from slotcast.operators import profile as PR
 from slotcast.operators.series import interpolate_time, resample_mean
 from slotcast.plans import drift as D
 from slotcast.sinks import reports
-from slotcast.sources import feed, store
+from slotcast.sources import store
 
 AS_OF = "2024-01-31"
 PAIRS_AS_OF = "2024-02-01"  # window 25..31 January: the 31st has forecasts but no actuals
@@ -32,11 +32,13 @@ CHECK_TS = "2024-01-31T00:00:00"
 
 
 def _actuals(spark, sf_dir):
-    return feed.readings(spark, sf_dir).withColumn("date", F.to_date("ts"))
+    """Readings table, partitioned by the date of ``ts``: a date window prunes."""
+    return store.read_readings(spark, sf_dir)
 
 
 def _forecasts(spark, sf_dir):
-    return store.read_predictions(spark, sf_dir).withColumn("date", F.to_date("prediction_for"))
+    """Forecast table, partitioned by the date of ``prediction_for``."""
+    return store.read_predictions(spark, sf_dir)
 
 
 BASE = with_(READINGS, RESAMPLED, SERIES, PREDICTIONS)

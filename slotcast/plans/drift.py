@@ -127,14 +127,12 @@ def check_drift(
     in_window_p = predictions.where(
         F.col("date").between(F.lit(lo.isoformat()).cast("date"), F.lit(hi.isoformat()).cast("date"))
     )
-    if sensors is None:
-        sensors = in_window_a.select("sensor_id").unionByName(in_window_p.select("sensor_id"))
+    counts_a = day_counts(in_window_a, "ts", "car_count")
+    counts_p = day_counts(in_window_p, "prediction_for", "prediction")
+    if sensors is None:  # from the (small) per-day counts, not another scan
+        sensors = counts_a.select("sensor_id").unionByName(counts_p.select("sensor_id"))
     grid = day_grid(sensors, d, days)
-    pairs = pair_days(
-        grid,
-        day_counts(in_window_a, "ts", "car_count"),
-        day_counts(in_window_p, "prediction_for", "prediction"),
-    )
+    pairs = pair_days(grid, counts_a, counts_p)
     clean_a = in_window_a.where(F.col("ts").isNotNull() & F.col("car_count").isNotNull())
     clean_p = in_window_p.where(F.col("prediction_for").isNotNull() & F.col("prediction").isNotNull())
     prof_a = day_profile(clean_a, "car_count", "ts")

@@ -22,8 +22,11 @@ def forecasts_for_day(predictions: DataFrame, day, lookback_hours: int = C.EXPOR
     d = _day(day)
     start = dt.datetime.combine(d, dt.time()) - dt.timedelta(hours=lookback_hours)
     end = dt.datetime.combine(d, dt.time.max)
-    scanned = key_range_scan(predictions, start.isoformat(sep=" "), end.isoformat(sep=" "), ts="timestamp")
-    return scanned.where(F.to_date("prediction_for") == F.lit(d.isoformat()).cast("date"))
+    scanned = key_range_scan(predictions, start.isoformat(sep=" "), end.isoformat(sep=" "), ts="timestamp", date_from_ts=False)
+    day = F.lit(d.isoformat()).cast("date")
+    if "date" in predictions.columns:  # the table is partitioned by the date a forecast is FOR
+        scanned = scanned.where(F.col("date") == day)
+    return scanned.where(F.to_date("prediction_for") == day)
 
 
 def actuals_for_day(readings: DataFrame, day) -> DataFrame:

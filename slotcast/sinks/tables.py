@@ -55,9 +55,11 @@ def upsert_readings(spark: SparkSession, table: str, batch: DataFrame) -> DataFr
 
 
 def upsert_predictions(spark: SparkSession, table: str, batch: DataFrame) -> DataFrame:
-    """Key (sensor_id, timestamp); the latest ``created_at`` wins."""
+    """Key (sensor_id, timestamp); the latest ``created_at`` wins.  Forecasts
+    are partitioned by the date they are FOR, so day-level reads (export of a
+    day, drift over a week) prune to those partitions."""
     cols = ["sensor_id", "timestamp", "prediction", "prediction_for", "created_at"]
-    return upsert(spark, table, batch.select(*cols), ["sensor_id", "timestamp"], ["created_at", "prediction"], "timestamp")
+    return upsert(spark, table, batch.select(*cols), ["sensor_id", "timestamp"], ["created_at", "prediction"], "prediction_for")
 
 
 READINGS_TABLE = "sensor_id string, ts timestamp_ntz, car_count decimal(10,2), free_spots array<int>, ingest_seq bigint, date date"

@@ -18,12 +18,16 @@ def key_range_scan(
     end,
     sensors: list[str] | None = None,
     ts: str = "ts",
+    date_from_ts: bool = True,
 ) -> DataFrame:
     """Rows with ``ts BETWEEN start AND end`` (inclusive) for the given sensors
-    (all when None).  A ``date`` predicate beside the time predicate prunes
-    the date partitions; sensor and time filters are pushed to Parquet."""
+    (all when None).  When the table's ``date`` partition is the date of
+    ``ts`` (``date_from_ts``), a ``date`` predicate beside the time predicate
+    prunes the partitions; sensor and time filters are pushed to Parquet."""
     s, e = _ts(start), _ts(end)
-    cond = F.col(ts).between(s, e) & F.col("date").between(F.to_date(s), F.to_date(e))
+    cond = F.col(ts).between(s, e)
+    if date_from_ts:
+        cond = cond & F.col("date").between(F.to_date(s), F.to_date(e))
     if sensors is not None:
         cond = cond & F.col("sensor_id").isin(list(sensors))
     return table.where(cond)

@@ -39,7 +39,7 @@ def _materialized(spark: SparkSession, name: str, sf_dir: str, build) -> str:
     return path
 
 
-_TS = {"readings": "ts", "predictions": "timestamp"}
+_TS = {"readings": "ts", "predictions": "prediction_for"}  # forecasts live in the partition of their target date
 
 
 def readings_table(spark: SparkSession, sf_dir: str) -> str:
