@@ -34,7 +34,7 @@ def _scored(spark, sf_dir):
     from slotcast.operators.recent import last_buckets
     from slotcast.sources import store
 
-    recent = last_buckets(store.read_readings(spark, sf_dir), C.N_STEPS)
+    recent = last_buckets(store.read_readings(spark, sf_dir), C.N_STEPS, root=store.readings_table(spark, sf_dir))
     lw = Q.last_window(scale_fixed(recent), C.N_STEPS, ["car_scaled", "hour_scaled"])
     return serve(lw.where(F.col("n_rows") == C.N_STEPS), LinearModel.seasonal_naive(C.SERVE_HORIZON))
 

@@ -21,31 +21,55 @@ from slotcast.functions.timecols import add_steps
 from slotcast.operators.series import regular_series
 
 _DATE_DIR = re.compile(r"/date=(\d{4}-\d{2}-\d{2})/")
+_DATE_NAME = re.compile(r"date=(\d{4}-\d{2}-\d{2})")
 
 
-def newest_partition_date(table: DataFrame) -> dt.date | None:
-    """Largest ``date=`` partition among the table's files (driver-side
-    metadata only); falls back to an aggregate when not partitioned."""
-    dates = [m.group(1) for f in table.inputFiles() if (m := _DATE_DIR.search(f))]
+def newest_partition_date(table: DataFrame, root: str | None = None) -> dt.date | None:
+    """Largest ``date=`` partition of the table (driver-side metadata only).
+
+    With the table's ``root`` folder this is one listing of its ``date=``
+    folders (one entry per day, whatever the number of files).  Without it
+    the file list of the scan is used; a table that is not partitioned
+    falls back to an aggregate."""
+    if root is not None:
+        dates = partition_dates(table.sparkSession, root)
+    else:
+        dates = [m.group(1) for f in table.inputFiles() if (m := _DATE_DIR.search(f))]
     if dates:
         return dt.date.fromisoformat(max(dates))
     v = table.agg(F.max(F.to_date("ts"))).first()[0]
     return v
 
 
+def partition_dates(spark, root: str) -> list[str]:
+    """``date=`` folder values directly under ``root`` (not the files)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    out = []
+    for st in fs.listStatus(path):
+        name = st.getPath().getName()
+        if st.isDirectory() and (m := _DATE_NAME.fullmatch(name)):
+            out.append(m.group(1))
+    return out
+
+
 def last_buckets(
     table: DataFrame,
     n: int = C.N_STEPS,
     days: int = 2,
     as_of: dt.date | None = None,
     include_inactive: bool = False,
+    root: str | None = None,
 ) -> DataFrame:
     """Regular-series rows of the last ``n`` buckets per sensor (exact).
 
     Sensors with readings in the last ``days`` are served; with
     ``include_inactive`` the sensors without recent readings are served too
     (that needs one scan of the whole ``sensor_id`` column)."""
-    newest = as_of or newest_partition_date(table)
+    newest = as_of or newest_partition_date(table, root)
     if newest is None:
         return regular_series(table).limit(0)
     lo = (newest - dt.timedelta(days=days)).isoformat()

@@ -81,9 +81,29 @@ def test_last_buckets_pruned_equals_full(spark, tmp_path):
     df.write.partitionBy("date").parquet(path)
     table = spark.read.parquet(path)
     got = {(r["sensor_id"], r["bucket"]): r["car_count"] for r in last_buckets(table, 288).collect()}
+    by_root = {(r["sensor_id"], r["bucket"]): r["car_count"] for r in last_buckets(table, 288, root=path).collect()}
+    assert by_root == got
     full = regular_series(table)
     from pyspark.sql.window import Window as W
 
     ranked = full.withColumn("r", F.row_number().over(W.partitionBy("sensor_id").orderBy(F.col("bucket").desc())))
     want = {(r["sensor_id"], r["bucket"]): r["car_count"] for r in ranked.where("r <= 288").collect()}
     assert got == want
+
+
+def test_newest_partition_from_folder_listing(spark, tmp_path):
+    """The newest date read from the ``date=`` folders equals the one read
+    from the file list; other folders and a missing root are ignored."""
+    import datetime as dt
+
+    from slotcast.operators.recent import newest_partition_date, partition_dates
+
+    rows = [("s", dt.datetime(2024, 1, d, 8), 1.0) for d in (3, 9, 17)]
+    df = spark.createDataFrame(rows, "sensor_id string, ts timestamp_ntz, car_count double").withColumn("date", F.to_date("ts"))
+    path = str(tmp_path / "t")
+    df.write.partitionBy("date").parquet(path)
+    (tmp_path / "t" / "_staging").mkdir()
+    table = spark.read.parquet(path)
+    assert sorted(partition_dates(spark, path)) == ["2024-01-03", "2024-01-09", "2024-01-17"]
+    assert newest_partition_date(table, path) == newest_partition_date(table) == dt.date(2024, 1, 17)
+    assert partition_dates(spark, str(tmp_path / "missing")) == []
