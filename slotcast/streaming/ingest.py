@@ -21,6 +21,7 @@ from slotcast.operators.ordering import latest_n
 from slotcast.operators.sequences import last_window
 from slotcast.operators.series import regular_series
 from slotcast.plans.scoring import LinearModel, serve
+from slotcast.session import scratch_path
 from slotcast.sinks.tables import READINGS_TABLE, read_table, upsert_predictions, upsert_readings
 from slotcast.sources.payloads import ENVELOPE, parse_reading
 
@@ -88,11 +89,14 @@ class ReadingIngest:
         near = table.where(
             F.col("date").between(F.lit(lo.isoformat()).cast("date"), F.lit(newest.isoformat()).cast("date"))
         ).join(sensors, "sensor_id", "left_semi")
-        first = latest_n(near, C.N_STEPS).drop("rank")
+        # Both reads are bounded by (touched sensors x 288 rows); each is
+        # written once under the shared folder, so neither the pruned scan nor
+        # the full-history fallback runs twice, and lineage is cut.
+        first = _written(spark, latest_n(near, C.N_STEPS).drop("rank"), "score_first")
         full = first.groupBy("sensor_id").count().where(F.col("count") >= C.N_STEPS).select("sensor_id")
         short = sensors.join(full, "sensor_id", "left_anti")
         second = latest_n(table.join(short, "sensor_id", "left_semi"), C.N_STEPS).drop("rank")
-        recent = first.join(full, "sensor_id", "left_semi").unionByName(second)
+        recent = _written(spark, first.join(full, "sensor_id", "left_semi").unionByName(second), "score_recent")
         ready = recent.groupBy("sensor_id").count().where(F.col("count") >= C.N_STEPS).select("sensor_id")
         series = regular_series(recent.join(ready, "sensor_id", "left_semi"))
         lw = last_window(scale_fixed(series), C.N_STEPS, ["car_scaled", "hour_scaled"]).where(F.col("n_rows") == C.N_STEPS)
@@ -100,6 +104,13 @@ class ReadingIngest:
         upsert_predictions(spark, self.predictions_table, scored)
 
 
+def _written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a fresh folder under the shared root and read it back."""
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def run_ingest(
     spark: SparkSession,
     landing: str,
