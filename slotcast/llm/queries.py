@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotcast.llm import lengths, mixing, planes, sharding
+from slotcast.llm import lengths, mixing, planes, quality, sharding
 from slotcast.session import scratch_path
 
 WORD_BPE = "word_bpe_49k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def vocabulary(name: str) -> str:
@@ -27,6 +28,10 @@ def op2_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op3_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(table(spark, sf_dir, "documents"), vocabulary(PIECE_BPE), vocabulary(WORD_BPE)).drop("lang")
+
+
 def op8_hash_threshold_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -42,7 +47,7 @@ def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("grp").alias("lang"), *out.columns[1:], lengths.is_quantile(0.5).alias("is_median"), lengths.is_quantile(0.99).alias("is_p99"))
 
 
-QUERIES = {f.__name__: f for f in (op2_rendezvous_sharding, op8_hash_threshold_mix, op9_bit_plane_files, op10_length_histogram)}
+QUERIES = {f.__name__: f for f in (op2_rendezvous_sharding, op3_tokeniser_fertility, op8_hash_threshold_mix, op9_bit_plane_files, op10_length_histogram)}
 
 ORACLE: dict[str, str] = {
     "op8_hash_threshold_mix": """

@@ -59,6 +59,39 @@ class _Index(dict):
         return new
 
 
+class IdCache:
+    """Ids of strings, filed under the strings' 64-bit hashes; emptied when it holds more than ``limit``."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self._clear()
+
+    def _clear(self) -> None:
+        self.keys, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.ids, self.first = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def lookup(self, hashes: np.ndarray, spell, encode) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all strings one after another, and each string's count.
+
+        ``spell(i)`` gives the strings at places i, ``encode(strings)`` their ids and counts."""
+        if len(self.keys) > self.limit:
+            self._clear()
+        keys, where, at = np.unique(hashes, return_index=True, return_inverse=True)
+        spot = np.searchsorted(self.keys, keys)
+        new = np.ones(len(keys), bool)
+        known = spot < len(self.keys)
+        new[known] = self.keys[spot[known]] != keys[known]
+        if new.any():
+            ids, sizes = encode(spell(where[new]))
+            self.number = np.insert(self.number, spot[new], np.arange(len(sizes)) + len(self.first) - 1)
+            self.keys = np.insert(self.keys, spot[new], keys[new])
+            self.ids = np.concatenate([self.ids, ids])
+            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
+        number = self.number[np.searchsorted(self.keys, keys)][at]
+        sizes = self.first[number + 1] - self.first[number]
+        return self.ids[T.ragged(self.first[number], sizes)], sizes
+
+
 class WordEncoder:
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
@@ -77,11 +110,7 @@ class WordEncoder:
         self.ends_piece[[i for t, i in vocab.items() if t.endswith(spec["model"]["end_of_word_suffix"])]] = True
         self.cache_words = cache_words
         self._clear()
-        self._clear_runs()
-
-    def _clear_runs(self) -> None:
-        self.keys, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.run_ids, self.run_first = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.runs = IdCache(cache_words)
 
     def _clear(self) -> None:
         self.words, self.pieces = _Index(), _Index()
@@ -127,16 +156,10 @@ class WordEncoder:
         self.ids = np.concatenate([self.ids, self.piece_ids[T.ragged(self.piece_first[at], size)]])
         self.first = np.concatenate([self.first, self.first[-1] + ends])
 
-    def _learn_runs(self, runs: list[bytes], keys: np.ndarray) -> None:
-        """Encode new plain pieces and file them under their hashes."""
+    def _encode_runs(self, runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         lines = [b" ".join(runs[i : i + LINE]).decode() for i in range(0, len(runs), LINE)]
         flat = np.array([i for e in self.bpe.encode_batch_fast(lines, add_special_tokens=False) for i in e.ids], np.uint32)
-        ends = np.flatnonzero(self.ends_piece[flat]) + 1
-        at = np.searchsorted(self.keys, keys)
-        self.keys = np.insert(self.keys, at, keys)
-        self.number = np.insert(self.number, at, np.arange(len(runs)) + len(self.run_first) - 1)
-        self.run_ids = np.concatenate([self.run_ids, flat])
-        self.run_first = np.concatenate([self.run_first, self.run_first[-1] + ends])
+        return flat, np.diff(np.flatnonzero(self.ends_piece[flat]), prepend=-1)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the chunk's documents one after another (uint32), and the count of each."""
@@ -164,8 +187,6 @@ class WordEncoder:
         return np.concatenate([ids, odd_ids])[T.ragged(first, n)], n
 
     def _encode_plain(self, data: np.ndarray, offsets: np.ndarray, lead: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.keys) > self.cache_words:
-            self._clear_runs()
         low = T.LOWER[data]
         low[lead & (data < 0x9F)] += 32
         kind = KIND[data]
@@ -175,18 +196,14 @@ class WordEncoder:
         begin[edges] = kind[edges] > 0
         start = np.flatnonzero(begin)
         counts = np.diff(np.searchsorted(start, offsets, "left"))
-        if not len(start):
-            return np.zeros(0, np.uint32), counts
-        keys, where, at = np.unique(T.hash_runs(low, start, kind == 0), return_index=True, return_inverse=True)
-        spot = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
-        new = self.keys[spot] != keys if len(self.keys) else np.ones(len(keys), bool)
-        if new.any():
-            raw, until = low.tobytes(), np.append(start, len(low))
-            self._learn_runs([raw[a:b].rstrip() for a, b in zip(start[where[new]].tolist(), until[where[new] + 1].tolist(), strict=True)], keys[new])
-        number = self.number[np.searchsorted(self.keys, keys)][at]
-        first, size = self.run_first[number], self.run_first[number + 1] - self.run_first[number]
+        until = np.append(start, len(low))
+
+        def spell(i: np.ndarray) -> list[bytes]:
+            return [low[a:b].tobytes().rstrip() for a, b in zip(start[i].tolist(), until[i + 1].tolist(), strict=True)]
+
+        ids, size = self.runs.lookup(T.hash_runs(low, start, kind == 0), spell, self._encode_runs)
         ends = np.concatenate([[0], np.cumsum(size)])
-        return self.run_ids[T.ragged(first, size)], np.diff(ends[np.concatenate([[0], np.cumsum(counts)])])
+        return ids, np.diff(ends[np.concatenate([[0], np.cumsum(counts)])])
 
     def _encode_words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if len(self.words) > self.cache_words:
