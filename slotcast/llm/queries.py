@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotcast.llm import lengths, mixing, planes, quality, sharding
+from slotcast.llm import decontam, jaccard, lengths, mixing, planes, quality, sharding
 from slotcast.session import scratch_path
 
 WORD_BPE = "word_bpe_49k.json"
@@ -23,6 +23,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.shard_documents(table(spark, sf_dir, "documents"), [1.0] * 24)
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
@@ -32,6 +36,10 @@ def op3_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), vocabulary(PIECE_BPE), vocabulary(WORD_BPE)).drop("lang")
 
 
+def op6_jaccard_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_hash_threshold_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -47,7 +55,7 @@ def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("grp").alias("lang"), *out.columns[1:], lengths.is_quantile(0.5).alias("is_median"), lengths.is_quantile(0.99).alias("is_p99"))
 
 
-QUERIES = {f.__name__: f for f in (op2_rendezvous_sharding, op3_tokeniser_fertility, op8_hash_threshold_mix, op9_bit_plane_files, op10_length_histogram)}
+QUERIES = {f.__name__: f for f in (op1_spaced_seed_decontamination, op2_rendezvous_sharding, op3_tokeniser_fertility, op6_jaccard_metric_join, op8_hash_threshold_mix, op9_bit_plane_files, op10_length_histogram)}
 
 ORACLE: dict[str, str] = {
     "op8_hash_threshold_mix": """
