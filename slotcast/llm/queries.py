@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotcast.llm import decontam, jaccard, lengths, mixing, planes, quality, sharding, templates
+from slotcast.llm import ctw, decontam, jaccard, lengths, mixing, planes, quality, sharding, templates
 from slotcast.session import scratch_path
 
 WORD_BPE = "word_bpe_49k.json"
@@ -44,6 +44,10 @@ def op6_jaccard_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op7_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score(table(spark, sf_dir, "documents"))
+
+
 def op8_hash_threshold_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -59,7 +63,7 @@ def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("grp").alias("lang"), *out.columns[1:], lengths.is_quantile(0.5).alias("is_median"), lengths.is_quantile(0.99).alias("is_p99"))
 
 
-QUERIES = {f.__name__: f for f in (op1_spaced_seed_decontamination, op2_rendezvous_sharding, op3_tokeniser_fertility, op5_site_template_removal, op6_jaccard_metric_join, op8_hash_threshold_mix, op9_bit_plane_files, op10_length_histogram)}
+QUERIES = {f.__name__: f for f in (op1_spaced_seed_decontamination, op2_rendezvous_sharding, op3_tokeniser_fertility, op5_site_template_removal, op6_jaccard_metric_join, op7_context_tree_weighting, op8_hash_threshold_mix, op9_bit_plane_files, op10_length_histogram)}
 
 ORACLE: dict[str, str] = {
     "op8_hash_threshold_mix": """
