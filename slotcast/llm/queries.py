@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotcast.llm import ctw, decontam, jaccard, lengths, mixing, planes, quality, sharding, templates
+from slotcast.llm import cotrain, ctw, decontam, jaccard, lengths, mixing, planes, quality, sharding, templates
 from slotcast.session import scratch_path
 
 WORD_BPE = "word_bpe_49k.json"
@@ -36,6 +36,10 @@ def op3_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), vocabulary(PIECE_BPE), vocabulary(WORD_BPE)).drop("lang")
 
 
+def op4_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotrain.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_site_template_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.extract(table(spark, sf_dir, "pages"))
 
@@ -63,7 +67,7 @@ def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("grp").alias("lang"), *out.columns[1:], lengths.is_quantile(0.5).alias("is_median"), lengths.is_quantile(0.99).alias("is_p99"))
 
 
-QUERIES = {f.__name__: f for f in (op1_spaced_seed_decontamination, op2_rendezvous_sharding, op3_tokeniser_fertility, op5_site_template_removal, op6_jaccard_metric_join, op7_context_tree_weighting, op8_hash_threshold_mix, op9_bit_plane_files, op10_length_histogram)}
+QUERIES = {f.__name__: f for f in (op1_spaced_seed_decontamination, op2_rendezvous_sharding, op3_tokeniser_fertility, op4_cotraining, op5_site_template_removal, op6_jaccard_metric_join, op7_context_tree_weighting, op8_hash_threshold_mix, op9_bit_plane_files, op10_length_histogram)}
 
 ORACLE: dict[str, str] = {
     "op8_hash_threshold_mix": """
