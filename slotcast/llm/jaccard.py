@@ -246,10 +246,16 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, key: str
 
 
 def one_of_each(docs: DataFrame, k: int = 4, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` less near-duplicates: of each component the row with the smallest (key, text hash) stays.
-
-    Documents without words belong to no component and all stay."""
-    member = jaccard_components(docs, k, percent, key, text)
-    extra = member.where("n_shingles > 0 AND NOT (doc_id <=> component_id)").select("doc_id").distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(key).cast("long").alias("_key"))
-    return rows.join(extra, rows._key.eqNullSafe(extra.doc_id), "left_anti").select("_row.*")
+    """The rows of ``docs`` less near-duplicates: of each component the row with the smallest key stays.
+
+    Rows are told apart by their place, so ``docs`` should be a table read from
+    files.  Documents without words belong to no component and all stay."""
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.monotonically_increasing_id().alias("_place"))
+    placed = rows.select("_place", F.col(f"_row.{key}").alias("_key"), F.col(f"_row.{text}").alias("_text"))
+    member = written(jaccard_components(placed, k, percent, "_place", "_text").where("n_shingles > 0").select(F.col("doc_id").alias("_place"), "component_id"), "near_duplicates")
+    several = member.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("component_id")
+    grouped = written(member.join(several, "component_id").join(placed.select("_place", "_key"), "_place"), "near_duplicate_groups")
+    order = F.struct(F.col("_key").isNull(), "_key", "_place")
+    first = grouped.groupBy("component_id").agg(F.min(order).getField("_place").alias("_place")).select("_place")
+    extra = grouped.select("_place").join(first, "_place", "left_anti")
+    return rows.join(extra, "_place", "left_anti").select("_row.*")

@@ -211,3 +211,12 @@ def quality_rules(docs: DataFrame, piece_model: str, word_model: str, key: str =
     measured = written(measure(docs, piece_model, word_model, key, text, band), "quality_measures")
     out = judge(measured)
     return out.select("doc_id", *BASE, "base_failed", F.coalesce("kept", F.lit(False)).alias("kept"), F.col("band").alias(band), *MEASURES, "score")
+
+
+def passing(docs: DataFrame, piece_model: str, word_model: str, text: str = "text", band: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that the rules keep, all columns kept.  The verdict follows from text and band alone."""
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.xxhash64(text, band).alias("_text_hash"))
+    fields = rows.select("_text_hash", F.col(f"_row.{text}").alias("text"), F.col(f"_row.{band}").alias("band"))
+    judged = quality_rules(fields, piece_model, word_model, "_text_hash", "text", "band")
+    rejected = written(judged.where(~F.col("kept")).select(F.col("doc_id").alias("_text_hash")).distinct(), "quality_rejected")
+    return rows.join(rejected, "_text_hash", "left_anti").select("_row.*")
