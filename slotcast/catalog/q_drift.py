@@ -183,7 +183,8 @@ def agg_mse(spark, sf_dir):
 
 
 def _check(spark, sf_dir, as_of=AS_OF):
-    return D.check_drift(_actuals(spark, sf_dir), _forecasts(spark, sf_dir), as_of, THRESHOLD, check_timestamp=CHECK_TS)
+    sensors = store.readings_dates(spark, sf_dir)  # every sensor, also those without rows in the look-back
+    return D.check_drift(_actuals(spark, sf_dir), _forecasts(spark, sf_dir), as_of, THRESHOLD, check_timestamp=CHECK_TS, sensors=sensors)
 
 
 @query(

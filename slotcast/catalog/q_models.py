@@ -34,7 +34,7 @@ def _scored(spark, sf_dir):
     from slotcast.operators.recent import last_buckets
     from slotcast.sources import store
 
-    recent = last_buckets(store.read_readings(spark, sf_dir), C.N_STEPS, root=store.readings_table(spark, sf_dir))
+    recent = last_buckets(store.read_readings(spark, sf_dir), C.N_STEPS, store.readings_dates(spark, sf_dir))
     lw = Q.last_window(scale_fixed(recent), C.N_STEPS, ["car_scaled", "hour_scaled"])
     return serve(lw.where(F.col("n_rows") == C.N_STEPS), LinearModel.seasonal_naive(C.SERVE_HORIZON))
 
@@ -181,14 +181,12 @@ def _registry(spark, sf_dir):
     sensors = feed.readings(spark, sf_dir).select("sensor_id").distinct()
     arn = lambda v: F.concat(F.lit("arn:slotcast:model-package/parking/"), F.col("sensor_id"), F.lit(f"/{v}"))
     packages = sensors.select(arn(1).alias("model_package_arn"), F.lit(None).cast("string").alias("metrics_uri")).unionByName(
-        sensors.select(arn(2).alias("model_package_arn"), PM.normalize_uri(F.concat(F.lit(root + "/sensor_id="), F.col("sensor_id"))).alias("metrics_uri"))
+        sensors.select(arn(2).alias("model_package_arn"), PM.normalize_uri(RP.report_uri(root, F.col("sensor_id"))).alias("metrics_uri"))
     )
     events = packages.select(
         F.to_json(F.struct(F.struct(F.col("model_package_arn").alias("ModelPackageArn")).alias("detail"))).alias("body")
     )
-    reports = RP.read_eval_report(spark, root).select(
-        PM.normalize_uri(F.regexp_replace("report_path", "/[^/]*$", "")).alias("report_uri"), "r"
-    )
+    reports = RP.read_eval_report(spark, root).select(PM.normalize_uri("report_uri").alias("report_uri"), "r")
     j = PM.join_reports(events, packages, reports)
     return j.withColumn("sensor_id", F.regexp_extract("model_package_arn", r"/parking/([^/]+)/", 1))
 

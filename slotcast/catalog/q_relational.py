@@ -22,6 +22,7 @@ from slotcast.catalog.sqlparts import (
 from slotcast.functions.timecols import fmt_date, fmt_day_first, fmt_seconds, fmt_text
 from slotcast.operators import clean as CL
 from slotcast.operators import dedup as DD
+from slotcast.operators import edges as ED
 from slotcast.operators import ordering as O
 from slotcast.sources import feed, store
 from slotcast.sources.scan import key_range_scan
@@ -41,7 +42,8 @@ SELECT sensor_id, {ts_text('ts')} AS ts, CAST(car_count AS DOUBLE) AS car_count,
 """,
 )
 def topk_latest_n(spark, sf_dir):
-    top = O.latest_n(store.read_readings(spark, sf_dir), C.N_STEPS)
+    needed = ED.dates_of_latest_rows(store.readings_dates(spark, sf_dir), C.N_STEPS)
+    top = O.latest_n(ED.read_dates(store.read_readings(spark, sf_dir), needed), C.N_STEPS)
     return top.select("sensor_id", fmt_text("ts").alias("ts"), F.col("car_count").cast("double"), "rank")
 
 
@@ -182,7 +184,7 @@ def src_key_range_scan(spark, sf_dir):
 @query(
     "proj_reading_columns",
     f"""
-SELECT event_type AS sensor_id, CAST(CAST(value AS DECIMAL(10,2)) AS DOUBLE) AS car_count,
+SELECT event_type AS sensor_id, CAST(value AS DOUBLE) AS car_count,
        strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp FROM events
 """,
 )

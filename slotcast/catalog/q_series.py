@@ -16,7 +16,7 @@ from slotcast.sources import feed
     "flt_clean_readings",
     f"""
 SELECT event_type AS sensor_id, {ts_text('ts')} AS ts,
-       CAST(CAST(value AS DECIMAL(10,2)) AS DOUBLE) AS car_count, event_id AS ingest_seq
+       CAST(value AS DOUBLE) AS car_count, event_id AS ingest_seq
 FROM events WHERE ts IS NOT NULL AND value IS NOT NULL
 """,
 )

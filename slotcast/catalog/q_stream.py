@@ -82,8 +82,8 @@ def src_payload_json_csv(spark, sf_dir):
 
 def _upsert_two_batches(spark, table, df, ts, fn):
     lo, hi = F.lit(SPLIT_LO).cast("timestamp_ntz"), F.lit(SPLIT_HI).cast("timestamp_ntz")
-    fn(spark, table, df.where(F.col(ts) < hi))
-    fn(spark, table, df.where(F.col(ts) >= lo))
+    fn(spark, table, df.where(F.col(ts) < hi), 0)
+    fn(spark, table, df.where(F.col(ts) >= lo), 1)
     return spark.read.parquet(table)
 
 

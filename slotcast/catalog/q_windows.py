@@ -255,7 +255,7 @@ def win_last_sequence(spark, sf_dir):
     from slotcast.operators.recent import last_buckets
     from slotcast.sources import store
 
-    s = FE.scale_fixed(last_buckets(store.read_readings(spark, sf_dir), C.N_STEPS, root=store.readings_table(spark, sf_dir)))
+    s = FE.scale_fixed(last_buckets(store.read_readings(spark, sf_dir), C.N_STEPS, store.readings_dates(spark, sf_dir)))
     lw = Q.last_window(s, C.N_STEPS, ["car_scaled", "hour_scaled"])
     cars = F.filter("x", lambda v, i: i % 2 == 0)
     return lw.select(

@@ -24,7 +24,7 @@ def date_text(expr: str) -> str:
 
 READINGS = """
 readings AS (
-  SELECT event_type AS sensor_id, ts, CAST(value AS DECIMAL(10,2)) AS car_count,
+  SELECT event_type AS sensor_id, ts, CAST(value AS DECIMAL(28,10)) AS car_count,
          event_id AS ingest_seq, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
   FROM events
 )"""

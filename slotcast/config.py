@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 # Fixed values that must equal the source system's for equal results:
 # grid step 5 minutes, window length 288 steps (24 h), serving horizon 12 steps
 # (60 min), evaluation label 13 steps after the last window row, training label
@@ -33,24 +31,12 @@ ISO_MICROS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 RESPONSE_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DRIFT_THRESHOLD_REFERENCE = 10.0
 
+# Fixed texts of the promotion decision.
+APPROVED, REJECTED = "Approved", "Rejected"
+NO_REPORT_TEXT = "Error: Report not found."
+APPROVED_TEXT = "Auto-approved: Better Performance (%s < %s)"
+REJECTED_TEXT = "Auto-rejected: Worse Performance (%s >= %s)"
 
-@dataclass(frozen=True)
-class Grid:
-    """Regular time grid: step length and slots per day."""
-
-    step_minutes: int = STEP_MINUTES
-
-    @property
-    def step_seconds(self) -> int:
-        return self.step_minutes * 60
-
-    @property
-    def slots(self) -> int:
-        return 24 * 60 // self.step_minutes
-
-    @property
-    def interval(self) -> str:
-        return f"{self.step_minutes} minutes"
-
-
-DEFAULT_GRID = Grid()
+# Counts are stored as decimals so that sums are exact on any partitioning; the
+# type is wide enough not to round or cap a reading.
+COUNT_TYPE = "decimal(28,10)"

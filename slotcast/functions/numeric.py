@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from slotcast import config as C
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -27,7 +29,12 @@ def exact_mean(c) -> Column:
 
 def coerce_count(c) -> Column:
     """Numeric coercion of a count given as text or number; bad -> NULL."""
-    return _col(c).cast("string").try_cast("decimal(10,2)")
+    return _col(c).cast("string").try_cast(C.COUNT_TYPE)
+
+
+def count_text(c) -> Column:
+    """A count as text, without the zeros of its stored scale."""
+    return _col(c).cast("double").cast("string")
 
 
 def round_half_even_int(c) -> Column:

@@ -18,6 +18,13 @@ def bucket_start(ts, step_minutes: int = C.STEP_MINUTES) -> Column:
     return F.window(_col(ts), f"{step_minutes} minutes").start
 
 
+def bucket_floor(ts, step_minutes: int = C.STEP_MINUTES) -> Column:
+    """The same bucket by arithmetic, for plans that need more than one per row."""
+    step = step_minutes * 60
+    secs = (F.floor(epoch_seconds(ts) / step) * step).cast("long")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=secs)
+
+
 def epoch_seconds(ts) -> Column:
     """Whole seconds since 1970 for a TIMESTAMP_NTZ (no zone applied)."""
     return F.unix_timestamp(_col(ts))
@@ -29,22 +36,20 @@ def slot_of_day(ts, step_minutes: int = C.STEP_MINUTES) -> Column:
     return F.hour(t) * (60 // step_minutes) + F.floor(F.minute(t) / step_minutes).cast("int")
 
 
-def day_start(date_col) -> Column:
-    return _col(date_col).cast("timestamp_ntz")
+_DAY_FIRST = r"^(\d{2})/(\d{2})/(\d{4}) (\d{2}:\d{2}:\d{2})$"
 
 
 def parse_day_first(text) -> Column:
-    """Strict day-first text -> TIMESTAMP_NTZ; bad text -> NULL."""
-    return F.try_to_timestamp(_col(text), F.lit(C.DAY_FIRST_FORMAT)).cast("timestamp_ntz")
+    """Strict day-first text -> TIMESTAMP_NTZ; bad text -> NULL.  The text is turned into ISO text
+    and cast, so no session zone is involved."""
+    t = _col(text)
+    return F.when(t.rlike(_DAY_FIRST), F.regexp_replace(t, _DAY_FIRST, "$3-$2-$1 $4")).try_cast("timestamp_ntz")
 
 
 def parse_lenient(text) -> Column:
     """Day-first text, else ISO text (with or without fraction), else NULL."""
     t = F.trim(_col(text).cast("string"))
-    return F.coalesce(
-        F.try_to_timestamp(t, F.lit(C.DAY_FIRST_FORMAT)).cast("timestamp_ntz"),
-        t.try_cast("timestamp_ntz"),
-    )
+    return F.coalesce(parse_day_first(t), t.try_cast("timestamp_ntz"))
 
 
 def fmt_day_first(ts) -> Column:

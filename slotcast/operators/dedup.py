@@ -20,8 +20,8 @@ def keep_last(
 ) -> DataFrame:
     """One row per ``key``: the row with the greatest ``order`` tuple.
 
-    Written as ``max_by`` over a struct (an aggregate with map-side partial
-    aggregation) rather than ``row_number`` (which sorts every group): only
+    Written as ``max_by`` over a struct rather than ``row_number``: it sorts too (a
+    struct buffer needs Spark's sort aggregate), but aggregates partially, so only
     one candidate per key and map task crosses the shuffle."""
     others = [c for c in df.columns if c not in key]
     packed = F.struct(*[F.col(c) for c in others])

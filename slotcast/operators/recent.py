@@ -1,87 +1,26 @@
-"""The last ``n`` buckets of each sensor's regular series, reading only the
-newest date partitions.
+"""The last ``n`` buckets of each sensor's regular series, reading only the dates that determine them.
 
-Interpolating a bucket needs only the nearest known buckets around it, so
-the series built from the readings of the last few days is exact from its
-first known bucket on.  When that first known bucket is at or before the start
-of the sensor's last ``n`` buckets, the window is exact; the other sensors
-(gaps, inactive sensors) are rebuilt from their whole history.  The newest
-date comes from the table's partition listing (no data is read for it)."""
+Interpolating a bucket needs only the nearest known buckets around it, so a
+series built from the dates that ``operators.edges`` chooses is exact from its
+first known bucket on.  Every sensor is served, however long it has been silent."""
 
 from __future__ import annotations
 
-import datetime as dt
-import re
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotcast import config as C
 from slotcast.functions.timecols import add_steps
+from slotcast.operators.edges import dates_of_last_buckets, read_dates, sensor_dates
 from slotcast.operators.series import regular_series
 
-_DATE_DIR = re.compile(r"/date=(\d{4}-\d{2}-\d{2})/")
-_DATE_NAME = re.compile(r"date=(\d{4}-\d{2}-\d{2})")
-
-
-def newest_partition_date(table: DataFrame, root: str | None = None) -> dt.date | None:
-    """Largest ``date=`` partition of the table (driver-side metadata only).
-
-    With the table's ``root`` folder this is one listing of its ``date=``
-    folders (one entry per day, whatever the number of files).  Without it
-    the file list of the scan is used; a table that is not partitioned
-    falls back to an aggregate."""
-    if root is not None:
-        dates = partition_dates(table.sparkSession, root)
-    else:
-        dates = [m.group(1) for f in table.inputFiles() if (m := _DATE_DIR.search(f))]
-    if dates:
-        return dt.date.fromisoformat(max(dates))
-    v = table.agg(F.max(F.to_date("ts"))).first()[0]
-    return v
-
-
-def partition_dates(spark, root: str) -> list[str]:
-    """``date=`` folder values directly under ``root`` (not the files)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    out = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if st.isDirectory() and (m := _DATE_NAME.fullmatch(name)):
-            out.append(m.group(1))
-    return out
-
 
-def last_buckets(
-    table: DataFrame,
-    n: int = C.N_STEPS,
-    days: int = 2,
-    as_of: dt.date | None = None,
-    include_inactive: bool = False,
-    root: str | None = None,
-) -> DataFrame:
+def last_buckets(table: DataFrame, n: int = C.N_STEPS, dates: DataFrame | None = None) -> DataFrame:
     """Regular-series rows of the last ``n`` buckets per sensor (exact).
 
-    Sensors with readings in the last ``days`` are served; with
-    ``include_inactive`` the sensors without recent readings are served too
-    (that needs one scan of the whole ``sensor_id`` column)."""
-    newest = as_of or newest_partition_date(table, root)
-    if newest is None:
-        return regular_series(table).limit(0)
-    lo = (newest - dt.timedelta(days=days)).isoformat()
-    recent = regular_series(table.where(F.col("date") >= F.lit(lo).cast("date")))
-    spans = recent.groupBy("sensor_id").agg(
-        F.max("bucket").alias("_hi"), F.min(F.when(F.col("observed"), F.col("bucket"))).alias("_first_known")
-    )
-    exact = spans.where(F.col("_first_known") <= add_steps("_hi", -(n - 1))).select("sensor_id", "_hi")
-    near = recent.join(exact, "sensor_id").where(F.col("bucket") >= add_steps("_hi", -(n - 1))).drop("_hi")
-    candidates = table.select("sensor_id").distinct() if include_inactive else spans.select("sensor_id")
-    rest = candidates.join(exact.select("sensor_id"), "sensor_id", "left_anti")
-    full = regular_series(table.join(rest, "sensor_id", "left_semi"))
-    full_hi = full.groupBy("sensor_id").agg(F.max("bucket").alias("_hi"))
-    far = full.join(full_hi, "sensor_id").where(F.col("bucket") >= add_steps("_hi", -(n - 1))).drop("_hi")
-    return near.unionByName(far)
+    ``dates`` is the table's ``sensor_dates``; without it they are counted from
+    the table."""
+    needed = dates_of_last_buckets(sensor_dates(table) if dates is None else dates, n)
+    series = regular_series(read_dates(table, needed))
+    ends = needed.groupBy("sensor_id").agg(F.max("hi").alias("_hi"))
+    return series.join(ends, "sensor_id").where(F.col("bucket") >= add_steps("_hi", -(n - 1))).drop("_hi")

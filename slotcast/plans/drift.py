@@ -116,9 +116,10 @@ def check_drift(
     """Full drift check from clean-or-raw actuals (sensor_id, ts, car_count,
     date) and forecasts (sensor_id, prediction_for, prediction, date).
 
-    ``sensors`` (a sensor registry) fixes the sensors reported; by default
-    they are the sensors with rows in the look-back on either side, which
-    only needs the pruned date partitions, never a full scan.
+    ``sensors`` (a sensor registry, or the table of each sensor's dates) fixes
+    the sensors reported; by default they are all that ever had a row on
+    either side (a scan of the sensor columns).  A silent sensor has its
+    MISSING_DATA days like any other.
 
     Returns ``(statuses, summary)``."""
     d = _d(as_of)
@@ -129,8 +130,8 @@ def check_drift(
     )
     counts_a = day_counts(in_window_a, "ts", "car_count")
     counts_p = day_counts(in_window_p, "prediction_for", "prediction")
-    if sensors is None:  # from the (small) per-day counts, not another scan
-        sensors = counts_a.select("sensor_id").unionByName(counts_p.select("sensor_id"))
+    if sensors is None:
+        sensors = actuals.select("sensor_id").unionByName(predictions.select("sensor_id"))
     grid = day_grid(sensors, d, days)
     pairs = pair_days(grid, counts_a, counts_p)
     clean_a = in_window_a.where(F.col("ts").isNotNull() & F.col("car_count").isNotNull())

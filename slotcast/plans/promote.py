@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slotcast import config as C
+
 URI_PATTERN = r"^([A-Za-z][A-Za-z0-9+.-]*):/+([^/]*)/(.*)$"
 
 
@@ -37,11 +39,11 @@ def decide(joined: DataFrame) -> DataFrame:
     new_mae = F.coalesce(F.col("r.comparison.new_mae").cast("string"), F.lit("N/A"))
     old_mae = F.coalesce(F.col("r.comparison.old_mae").cast("string"), F.lit("N/A"))
     has = F.col("r").isNotNull()
-    status = F.when(has & (result == "BETTER"), F.lit("Approved")).otherwise(F.lit("Rejected"))
+    status = F.when(has & (result == "BETTER"), F.lit(C.APPROVED)).otherwise(F.lit(C.REJECTED))
     reason = (
-        F.when(~has, F.lit("Error: Report not found."))
-        .when(result == "BETTER", F.format_string("Auto-approved: Better Performance (%s < %s)", new_mae, old_mae))
-        .otherwise(F.format_string("Auto-rejected: Worse Performance (%s >= %s)", new_mae, old_mae))
+        F.when(~has, F.lit(C.NO_REPORT_TEXT))
+        .when(result == "BETTER", F.format_string(C.APPROVED_TEXT, new_mae, old_mae))
+        .otherwise(F.format_string(C.REJECTED_TEXT, new_mae, old_mae))
     )
     return joined.select(
         "model_package_arn", "sensor_id", has.alias("has_report"), result.alias("result"), status.alias("status"), reason.alias("description")

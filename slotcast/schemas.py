@@ -4,40 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-READINGS = T.StructType(
-    [
-        T.StructField("sensor_id", T.StringType(), False),
-        T.StructField("ts", T.TimestampNTZType(), False),
-        T.StructField("car_count", T.DecimalType(10, 2), True),
-        T.StructField("free_spots", T.ArrayType(T.IntegerType()), True),
-        T.StructField("ingest_seq", T.LongType(), True),
-    ]
-)
-
-PREDICTIONS = T.StructType(
-    [
-        T.StructField("sensor_id", T.StringType(), False),
-        T.StructField("timestamp", T.TimestampNTZType(), False),
-        T.StructField("prediction", T.IntegerType(), True),
-        T.StructField("prediction_for", T.TimestampNTZType(), True),
-        T.StructField("created_at", T.TimestampNTZType(), True),
-    ]
-)
-
-# daily CSV exports: text columns exactly as written
-DAILY_ACTUALS_CSV = T.StructType(
-    [
-        T.StructField("car_count", T.StringType(), True),
-        T.StructField("timestamp", T.StringType(), True),
-    ]
-)
-DAILY_PREDICTIONS_CSV = T.StructType(
-    [
-        T.StructField("prediction", T.StringType(), True),
-        T.StructField("prediction_for", T.StringType(), True),
-    ]
-)
-
 READING_BODY = T.StructType(
     [
         T.StructField("timestamp", T.StringType(), True),

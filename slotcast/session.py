@@ -33,12 +33,6 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
     return spark
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Pin settings the library relies on (UTC zone for watermark casts)."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark
-
-
 def shared_root(spark: SparkSession) -> str:
     """Shared folder for scratch tables: the session's checkpoint folder."""
     sc = spark.sparkContext
@@ -47,7 +41,8 @@ def shared_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # unset: local runs and tests only
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = os.path.join(tempfile.gettempdir(), f"slotcast-ckpt-{uuid.uuid4().hex[:8]}")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -76,6 +71,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder of ours, for intermediates that nothing reads any more."""
+    fs, jpath = _fs(spark, path)
+    fs.delete(jpath, True)
+
+
 def table_ready(spark: SparkSession, path: str) -> bool:
     """True when a committed write (``_SUCCESS`` marker) sits at ``path``."""
     return path_exists(spark, path.rstrip("/") + "/_SUCCESS")

@@ -4,20 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from slotcast import schemas
 
 
 def write_drift_report(summary: DataFrame, path: str) -> None:
     """One JSON document per sensor: drift_detected, drift_count, details
-    (date -> {mae, status}), check_timestamp; partitioned by sensor_id."""
+    (date -> {mae, status}), check_timestamp.  One JSON line per sensor: the
+    sensor and the document."""
     doc = F.to_json(F.struct("drift_detected", "drift_count", "details", "check_timestamp"))
-    summary.select("sensor_id", doc.alias("value")).write.mode("overwrite").partitionBy("sensor_id").text(path)
+    summary.select("sensor_id", doc.alias("value")).write.mode("overwrite").json(path)
 
 
 def read_drift_report(spark: SparkSession, path: str) -> DataFrame:
-    raw = spark.read.text(path)
+    raw = spark.read.schema("sensor_id string, value string").json(path)
     return raw.select("sensor_id", F.from_json("value", schemas.DRIFT_REPORT).alias("r")).select("sensor_id", "r.*")
 
 
@@ -30,13 +30,16 @@ def eval_report_struct(new_mae, new_mse, old_mae, result) -> F.Column:
 
 
 def write_eval_report(reports: DataFrame, path: str, key: str = "sensor_id") -> None:
-    """``reports`` has ``key`` and a ``report`` struct; one JSON line per key."""
-    reports.select(key, F.to_json("report").alias("value")).write.mode("overwrite").partitionBy(key).text(path)
+    """``reports`` has ``key`` and a ``report`` struct; one JSON line per key: the key and the document."""
+    reports.select(key, F.to_json("report").alias("value")).write.mode("overwrite").json(path)
 
 
-def read_eval_report(spark: SparkSession, path: str, key: str = "sensor_id") -> DataFrame:
-    raw = spark.read.text(path).withColumn("report_path", F.input_file_name())
-    return raw.select(key, "report_path", F.from_json("value", schemas.EVAL_REPORT).alias("r"))
+def report_uri(path: str, key_value: F.Column, key: str = "sensor_id") -> F.Column:
+    """The name under which a key's report is registered."""
+    return F.concat(F.lit(f"{path}/{key}="), key_value)
+
 
+def read_eval_report(spark: SparkSession, path: str, key: str = "sensor_id") -> DataFrame:
+    raw = spark.read.schema(f"{key} string, value string").json(path)
+    return raw.select(key, report_uri(path, F.col(key), key).alias("report_uri"), F.from_json("value", schemas.EVAL_REPORT).alias("r"))
 
-_ = T  # types re-exported for callers that build report schemas

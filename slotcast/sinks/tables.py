@@ -3,16 +3,22 @@
 ``upsert`` reads only the date partitions the batch touches, keeps the last
 row per key, writes the merged partitions to a staging folder and then
 replaces exactly those partitions (dynamic partition overwrite), so a plan
-never overwrites the files it reads.  Re-running a batch gives the same
-table (idempotent)."""
+never overwrites the files it reads.  Re-running a batch gives the same table.
+The staging folder is removed afterwards.
+
+The last write wins: every row carries the number of the write (the batch id of
+a stream) that brought it, and that is the leading order column.  A key lies in
+one date partition only, so it is unique over the whole table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slotcast import config as C
 from slotcast import session as SS
 from slotcast.operators.dedup import keep_last
+from slotcast.operators.edges import sensor_dates
 
 
 def upsert(
@@ -22,50 +28,64 @@ def upsert(
     key: list[str],
     order: list[str],
     ts: str,
+    after=None,
 ) -> DataFrame:
-    """Merge ``batch`` into ``table``; returns the touched (date) rows."""
+    """Merge ``batch`` into ``table``, partitioned by the date of ``ts``, which must be a key column;
+    returns the touched (date) rows.  ``after`` gets the merged rows of those dates."""
     b = batch.withColumn("date", F.to_date(ts))
-    touched = b.select("date").distinct()
+    dates = [r["date"] for r in b.select("date").distinct().collect()]  # a calendar, so bounded
+    touched = spark.createDataFrame([(d,) for d in dates], "date date")
+    if not dates:
+        return touched
+    both = b
     if SS.table_ready(spark, table):
-        old = spark.read.schema(b.schema).parquet(table).join(touched, "date", "left_semi")
+        old = spark.read.schema(b.schema).parquet(table).where(F.col("date").isin([F.lit(d) for d in dates]))
         both = old.unionByName(b.select(*old.columns))
-    else:
-        both = b
-    merged = keep_last(both, key, order)
     staging = SS.scratch_path(spark, "upsert_staging")
-    merged.write.mode("overwrite").parquet(staging)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (
-        spark.read.parquet(staging)
-        .repartitionByRange(n, "date", *key)
-        .sortWithinPartitions("date", *key)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date")
-        .parquet(table)
-    )
-    SS.mark_ready(spark, table)
-    return spark.read.parquet(staging).select("date").distinct()
-
-
-def upsert_readings(spark: SparkSession, table: str, batch: DataFrame) -> DataFrame:
-    """Key (sensor_id, ts); the latest ingest wins."""
-    cols = ["sensor_id", "ts", "car_count", "free_spots", "ingest_seq"]
-    return upsert(spark, table, batch.select(*cols), ["sensor_id", "ts"], ["ingest_seq"], "ts")
-
-
-def upsert_predictions(spark: SparkSession, table: str, batch: DataFrame) -> DataFrame:
-    """Key (sensor_id, timestamp); the latest ``created_at`` wins.  Forecasts
-    are partitioned by the date they are FOR, so day-level reads (export of a
-    day, drift over a week) prune to those partitions."""
-    cols = ["sensor_id", "timestamp", "prediction", "prediction_for", "created_at"]
-    return upsert(spark, table, batch.select(*cols), ["sensor_id", "timestamp"], ["created_at", "prediction"], "prediction_for")
-
-
-READINGS_TABLE = "sensor_id string, ts timestamp_ntz, car_count decimal(10,2), free_spots array<int>, ingest_seq bigint, date date"
-PREDICTIONS_TABLE = (
-    "sensor_id string, timestamp timestamp_ntz, prediction int, prediction_for timestamp_ntz, created_at timestamp_ntz, date date"
-)
+    keep_last(both, key, order).write.mode("overwrite").parquet(staging)
+    try:
+        merged = spark.read.schema(b.schema).parquet(staging)
+        write_dates(merged.hint("rebalance", "date", key[0]).sortWithinPartitions("date", *key), table)
+        if after is not None:
+            after(merged)
+    finally:
+        SS.delete(spark, staging)
+    return touched
+
+
+def write_dates(rows: DataFrame, table: str) -> None:
+    """Replace the date partitions that ``rows`` holds."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(table)
+    SS.mark_ready(rows.sparkSession, table)
+
+
+def dates_path(table: str) -> str:
+    return table.rstrip("/") + "_dates"
+
+
+def upsert_readings(spark: SparkSession, table: str, batch: DataFrame, write_seq: int = 0) -> DataFrame:
+    """Key (sensor_id, ts); the latest write wins, within a write the latest ingest.  The table of each
+    sensor's dates beside it follows."""
+    cols = ["sensor_id", "ts", "car_count", "free_spots", "ingest_seq", "write_seq"]
+    rows = batch.withColumn("write_seq", F.lit(write_seq).cast("long")).select(*cols)
+    return upsert(
+        spark, table, rows, ["sensor_id", "ts"], ["write_seq", "ingest_seq"], "ts",
+        after=lambda merged: write_dates(sensor_dates(merged), dates_path(table)),
+    )
+
+
+def upsert_predictions(spark: SparkSession, table: str, batch: DataFrame, write_seq: int = 0) -> DataFrame:
+    """Key (sensor_id, timestamp); the latest write wins, within a write the latest ``created_at``.  The
+    table is partitioned by the key's date: a forecast whose target moves to another day replaces
+    the old one."""
+    cols = ["sensor_id", "timestamp", "prediction", "prediction_for", "created_at", "write_seq"]
+    rows = batch.withColumn("write_seq", F.lit(write_seq).cast("long")).select(*cols)
+    return upsert(spark, table, rows, ["sensor_id", "timestamp"], ["write_seq", "created_at"], "timestamp")
+
+
+READINGS_TABLE = f"sensor_id string, ts timestamp_ntz, car_count {C.COUNT_TYPE}, free_spots array<int>, ingest_seq bigint, write_seq bigint, date date"
+DATES_TABLE = "sensor_id string, n bigint, first_bucket timestamp_ntz, last_bucket timestamp_ntz, date date"
+PREDICTIONS_TABLE = "sensor_id string, timestamp timestamp_ntz, prediction int, prediction_for timestamp_ntz, created_at timestamp_ntz, write_seq bigint, date date"
 WINDOWS_TABLE = "window_idx bigint, n_windows bigint, x array<double>, label double, sensor_id string"
 
 

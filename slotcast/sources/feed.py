@@ -1,7 +1,7 @@
 """The readings feed, read from the driver's ``events`` table.
 
 Mapping: sensor_id <- event_type, ts <- ts, car_count <- value (stored as
-DECIMAL(10,2) like the source's decimal store), free_spots <- [props.k],
+decimal like the source's store, config.COUNT_TYPE), free_spots <- [props.k],
 ingest order <- event_id.
 """
 
@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slotcast import config as C
+
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
@@ -23,7 +25,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(
         F.col("event_type").alias("sensor_id"),
         F.col("ts"),
-        F.col("value").cast("decimal(10,2)").alias("car_count"),
+        F.col("value").cast(C.COUNT_TYPE).alias("car_count"),
         F.array(F.get_json_object("props", "$.k").try_cast("int")).alias("free_spots"),
         F.col("event_id").alias("ingest_seq"),
     )

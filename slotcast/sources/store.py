@@ -1,10 +1,11 @@
 """Date-partitioned Parquet tables of readings and forecasts.
 
 The keyed store of the source system (key = sensor_id + timestamp) becomes a
-Parquet table partitioned by ``date``; files are range-partitioned on
-(date, sensor_id, ts) so a hot sensor-day is split over several files and
-each file's min/max statistics let ``sensor_id`` / ``ts`` filters skip row
-groups.  Tables are written once per input folder under the shared folder and
+Parquet table partitioned by ``date``; rows are
+rebalanced by (date, sensor_id), which lets Spark size the files and split a
+hot sensor-day, and sorted, so that each file's min/max statistics let
+``sensor_id`` / ``ts`` filters skip row groups.  Beside the readings lies the small
+table of each sensor's dates (``operators.edges``).  Tables are written once per input folder under the shared folder and
 reused (``_SUCCESS`` marks a finished write)."""
 
 from __future__ import annotations
@@ -13,17 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotcast import session as SS
+from slotcast.operators.edges import sensor_dates
 from slotcast.operators.series import regular_series
 from slotcast.plans.forecast import seasonal_naive
 from slotcast.sources import feed
 
 
 def write_partitioned(df: DataFrame, path: str, ts: str, mode: str = "overwrite", fmt: str = "parquet") -> None:
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     out = df.withColumn("date", F.to_date(ts)) if "date" not in df.columns else df
     (
-        out.repartitionByRange(n, "date", "sensor_id", ts)
+        out.hint("rebalance", "date", "sensor_id")
         .sortWithinPartitions("date", "sensor_id", ts)
         .write.mode(mode)
         .partitionBy("date")
@@ -57,6 +57,14 @@ def read_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(readings_table(spark, sf_dir))
 
 
+def readings_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``sensor_dates`` of the readings table (written once, reused)."""
+    path = SS.store_path(spark, "reading_dates", sf_dir)
+    if not SS.table_ready(spark, path):
+        sensor_dates(read_readings(spark, sf_dir)).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def read_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(predictions_table(spark, sf_dir))
 

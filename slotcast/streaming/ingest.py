@@ -2,27 +2,26 @@
 
 Each micro-batch (``foreachBatch``): parse the envelopes, upsert the valid
 readings into the date-partitioned readings table, then -- for the sensors
-the batch touched -- read their newest readings (only the recent dates are
-scanned), rebuild the regular series, score the last window and upsert the
+the batch touched -- read their newest readings (only the dates that hold
+them, chosen from the table of each sensor's dates), rebuild the regular series, score the last window and upsert the
 forecast.  Everything inside a batch is an ordinary distributed DataFrame
 job; the stream's checkpoint lives under the shared folder."""
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotcast import config as C
 from slotcast.functions.features import scale_fixed
 from slotcast.functions.timecols import fmt_day_first
+from slotcast.operators.edges import dates_of_latest_rows, read_dates
 from slotcast.operators.ordering import latest_n
 from slotcast.operators.sequences import last_window
 from slotcast.operators.series import regular_series
 from slotcast.plans.scoring import LinearModel, serve
-from slotcast.session import scratch_path
-from slotcast.sinks.tables import READINGS_TABLE, read_table, upsert_predictions, upsert_readings
+from slotcast.session import delete, scratch_path
+from slotcast.sinks.tables import DATES_TABLE, READINGS_TABLE, dates_path, read_table, upsert_predictions, upsert_readings
 from slotcast.sources.payloads import ENVELOPE, parse_reading
 
 
@@ -41,8 +40,7 @@ def envelopes(readings: DataFrame) -> DataFrame:
 
 def write_landing(env: DataFrame, path: str) -> None:
     """Land envelopes as JSON-lines files, one folder per date."""
-    n = int(env.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    env.repartitionByRange(n, "date", "sensor_id", "ingest_seq").write.mode("append").partitionBy("date").json(path)
+    env.hint("rebalance", "date", "sensor_id").write.mode("append").partitionBy("date").json(path)
 
 
 def read_landing_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -55,60 +53,37 @@ def read_landing_stream(spark: SparkSession, path: str, max_files: int | None =
 class ReadingIngest:
     """The per-batch work of the ingest stream."""
 
-    def __init__(
-        self,
-        readings_table: str,
-        predictions_table: str | None = None,
-        model: LinearModel | None = None,
-        history_days: int = 7,
-    ):
+    def __init__(self, readings_table: str, predictions_table: str | None = None, model: LinearModel | None = None):
         self.readings_table = readings_table
         self.predictions_table = predictions_table
         self.model = model or LinearModel.seasonal_naive(C.SERVE_HORIZON)
-        self.history_days = history_days
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         parsed = parse_reading(batch).where("valid").drop("valid")
-        touched = upsert_readings(spark, self.readings_table, parsed)
+        upsert_readings(spark, self.readings_table, parsed, batch_id)
         if self.predictions_table is not None:
-            self.score_touched(spark, parsed.select("sensor_id").distinct(), touched)
-
-    def score_touched(self, spark: SparkSession, sensors: DataFrame, touched_dates: DataFrame) -> None:
-        """Newest 288 readings of the touched sensors -> series -> last
-        window -> forecast.  The first pass scans only the last
-        ``history_days`` dates before the newest touched date (288 readings
-        at the 5-minute cadence span one day); sensors still short of 288
-        readings are read again over their whole history, so the result is
-        exact either way."""
-        newest = touched_dates.agg(F.max("date")).first()[0]
-        if newest is None:
-            return
-        lo = newest - dt.timedelta(days=self.history_days)
+            self.score_touched(spark, parsed.select("sensor_id").distinct(), batch_id)
+
+    def score_touched(self, spark: SparkSession, sensors: DataFrame, batch_id: int) -> None:
+        """Newest 288 readings of the touched sensors -> series -> last window -> forecast.
+
+        The newest readings are always those of the sensor, whatever dates the
+        batch brought: a late reading refreshes the forecast at the sensor's end.
+        A re-scored forecast carries the batch id and replaces the older one."""
+        dates = read_table(spark, dates_path(self.readings_table), DATES_TABLE).join(sensors, "sensor_id", "left_semi")
+        ready = dates.groupBy("sensor_id").agg(F.sum("n").alias("n")).where(F.col("n") >= C.N_STEPS).select("sensor_id")
+        needed = dates_of_latest_rows(dates.join(ready, "sensor_id", "left_semi"), C.N_STEPS)
         table = read_table(spark, self.readings_table, READINGS_TABLE)
-        near = table.where(
-            F.col("date").between(F.lit(lo.isoformat()).cast("date"), F.lit(newest.isoformat()).cast("date"))
-        ).join(sensors, "sensor_id", "left_semi")
-        # Both reads are bounded by (touched sensors x 288 rows); each is
-        # written once under the shared folder, so neither the pruned scan nor
-        # the full-history fallback runs twice, and lineage is cut.
-        first = _written(spark, latest_n(near, C.N_STEPS).drop("rank"), "score_first")
-        full = first.groupBy("sensor_id").count().where(F.col("count") >= C.N_STEPS).select("sensor_id")
-        short = sensors.join(full, "sensor_id", "left_anti")
-        second = latest_n(table.join(short, "sensor_id", "left_semi"), C.N_STEPS).drop("rank")
-        recent = _written(spark, first.join(full, "sensor_id", "left_semi").unionByName(second), "score_recent")
-        ready = recent.groupBy("sensor_id").count().where(F.col("count") >= C.N_STEPS).select("sensor_id")
-        series = regular_series(recent.join(ready, "sensor_id", "left_semi"))
-        lw = last_window(scale_fixed(series), C.N_STEPS, ["car_scaled", "hour_scaled"]).where(F.col("n_rows") == C.N_STEPS)
-        scored = serve(lw, self.model).withColumn("created_at", F.col("timestamp"))
-        upsert_predictions(spark, self.predictions_table, scored)
-
-
-def _written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a fresh folder under the shared root and read it back."""
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+        recent = scratch_path(spark, "score_recent")  # touched sensors x 288 rows, written once
+        latest_n(read_dates(table, needed), C.N_STEPS).drop("rank").write.parquet(recent)
+        try:
+            series = regular_series(spark.read.schema(table.schema).parquet(recent))
+            lw = last_window(scale_fixed(series), C.N_STEPS, ["car_scaled", "hour_scaled"]).where(F.col("n_rows") == C.N_STEPS)
+            scored = serve(lw, self.model).withColumn("created_at", F.col("timestamp"))
+            upsert_predictions(spark, self.predictions_table, scored, batch_id)
+        finally:
+            delete(spark, recent)
 
 
 def run_ingest(

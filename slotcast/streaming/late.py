@@ -8,7 +8,6 @@ them that was already exported is exported again from the readings table
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from slotcast import session as SS
 from slotcast.sinks.exports import write_daily_actuals
@@ -35,7 +34,7 @@ class LateAwareIngest:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         parsed = parse_reading(batch).where("valid").drop("valid")
-        touched = upsert_readings(spark, self.readings_table, parsed)
+        touched = upsert_readings(spark, self.readings_table, parsed, batch_id)
         reopened = touched.join(self.exported_dates(spark), "date", "left_semi")
         if reopened.head(1):
             self.export(spark, reopened, batch_id)
@@ -44,6 +43,3 @@ class LateAwareIngest:
         """The scheduled export of every day present so far."""
         dates = read_table(spark, self.readings_table, READINGS_TABLE).select("date").distinct()
         self.export(spark, dates, batch_id)
-
-
-_ = F

@@ -1,12 +1,11 @@
-"""Streaming 5-minute resample with a watermark.
+"""Streaming 5-minute resample that loses no late reading.
 
-``withWatermark`` needs a TIMESTAMP (not TIMESTAMP_NTZ).  The wall-clock time
-is turned into the instant with the same UTC reading through epoch seconds,
-which does not depend on the session zone; the bucket start is turned back the
-same way.  Output mode ``update``: each micro-batch emits the
-buckets it changed; they are appended to a change log partitioned by batch id
-(overwriting a batch's folder on replay), and the table view keeps the
-newest version of every bucket."""
+A mean per bucket is a sum and a count, and both add up: every micro-batch writes
+the partial sums of the buckets it has readings for, into a change log partitioned
+by batch id (a replayed batch overwrites its folder), and the table is the sum
+over the log.  A reading that arrives at any later time therefore enters its
+bucket by its event time, with no state kept and no watermark to drop it.
+``compact`` folds finished batches into one."""
 
 from __future__ import annotations
 
@@ -14,46 +13,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotcast import config as C
-from slotcast.operators.dedup import keep_last
+from slotcast import session as SS
+from slotcast.functions.timecols import bucket_start
 from slotcast.sources.payloads import parse_reading
-from slotcast.streaming.ingest import read_landing_stream
-
-
-def resample_stream(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
-    r = parse_reading(stream).where("valid")
-    instant = F.timestamp_seconds(F.unix_timestamp("ts"))  # zone-free: NTZ wall clock read as UTC
-    epoch0 = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return (
-        r.withColumn("ts_utc", instant)
-        .withWatermark("ts_utc", delay)
-        .groupBy("sensor_id", F.window("ts_utc", f"{C.STEP_MINUTES} minutes").alias("w"))
-        .agg(F.sum("car_count").alias("sum_count"), F.count("car_count").alias("n"))
-        .select(
-            "sensor_id",
-            (epoch0 + F.make_dt_interval(secs=F.unix_timestamp("w.start"))).alias("bucket"),
-            "sum_count",
-            "n",
-        )
-    )
+from slotcast.streaming.ingest import run_ingest
+
+CHANGES = f"sensor_id string, bucket timestamp_ntz, sum_count {C.COUNT_TYPE.replace('28', '38')}, n bigint, batch_id bigint"
+
+
+def partial_sums(envelopes: DataFrame) -> DataFrame:
+    """Sum and count of the valid readings per (sensor, bucket)."""
+    r = parse_reading(envelopes).where("valid")
+    return r.groupBy("sensor_id", bucket_start("ts").alias("bucket")).agg(F.sum("car_count").alias("sum_count"), F.count("car_count").alias("n"))
 
 
 def run_resample(spark: SparkSession, landing: str, changes: str, checkpoint: str, max_files: int | None = None) -> None:
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{changes}/batch_id={batch_id}")
+        partial_sums(batch).write.mode("overwrite").parquet(f"{changes}/batch_id={batch_id}")
+
+    run_ingest(spark, landing, checkpoint, sink, max_files)
+
+
+def compact(spark: SparkSession, changes: str, upto: int, target: str) -> None:
+    """Fold the batches up to ``upto`` into batch ``upto`` of the new log ``target``; later ones are copied."""
+    log = read_changes(spark, changes).withColumn("batch_id", F.greatest("batch_id", F.lit(upto).cast("long")))
+    folded = log.groupBy("batch_id", "sensor_id", "bucket").agg(F.sum("sum_count").alias("sum_count"), F.sum("n").alias("n"))
+    folded.write.mode("overwrite").partitionBy("batch_id").parquet(target)
+
 
-    q = (
-        resample_stream(read_landing_stream(spark, landing, max_files))
-        .writeStream.outputMode("update")
-        .foreachBatch(sink)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
+def read_changes(spark: SparkSession, changes: str) -> DataFrame:
+    if not SS.path_exists(spark, changes):
+        return spark.createDataFrame([], CHANGES)
+    return spark.read.schema(CHANGES).parquet(changes)
 
 
 def resampled_view(spark: SparkSession, changes: str) -> DataFrame:
-    """Newest version of every (sensor, bucket) with its mean."""
-    log = spark.read.parquet(changes)
-    last = keep_last(log, ["sensor_id", "bucket"], ["batch_id"])
-    return last.select("sensor_id", "bucket", (F.col("sum_count").cast("double") / F.col("n")).alias("car_count"), "n")
+    """The mean of every (sensor, bucket) over all batches so far."""
+    log = read_changes(spark, changes).groupBy("sensor_id", "bucket").agg(F.sum("sum_count").alias("sum_count"), F.sum("n").alias("n"))
+    return log.select("sensor_id", "bucket", (F.col("sum_count").cast("double") / F.col("n")).alias("car_count"), "n")

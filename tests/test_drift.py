@@ -1,9 +1,8 @@
-"""Day profiles (pandas parity) and drift status rules."""
+"""Day profiles (interpolated slots) and drift status rules."""
 
 import datetime as dt
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,14 +11,15 @@ from slotcast.plans import drift as D
 from tests.helpers import readings_df
 
 
-def _pandas_profile(rows):
-    """One day's readings -> 288-slot profile: resample, time interpolation,
-    mean per time of day, reindex, forward fill then backward fill."""
-    s = pd.Series([v for _, v in rows], index=pd.to_datetime([t for t, _ in rows])).sort_index()
-    s = s.resample("5min").mean().interpolate(method="time")
-    by_time = s.groupby(s.index.time).mean()
-    grid = pd.date_range("2000-01-01 00:00", "2000-01-01 23:55", freq="5min").time
-    return by_time.reindex(grid).ffill().bfill().to_numpy()
+def _expected_profile(rows):
+    """288 slots by straight-line interpolation between slot means; before the first and after the
+    last slot with readings their values hold."""
+    sums = {}
+    for text, value in rows:
+        t = dt.datetime.fromisoformat(text)
+        sums.setdefault((t.hour * 60 + t.minute) // 5, []).append(value)
+    slots = sorted(sums)
+    return np.interp(np.arange(288), slots, [sum(sums[s]) / len(sums[s]) for s in slots])
 
 
 @pytest.mark.parametrize(
@@ -28,12 +28,20 @@ def _pandas_profile(rows):
         [("2024-01-02 06:02:00", 10.0), ("2024-01-02 06:40:00", 20.0), ("2024-01-02 18:00:00", 5.0)],
         [("2024-01-02 12:00:00", 7.0)],
         [("2024-01-02 00:00:00", 1.0), ("2024-01-02 23:59:59", 3.0)],
+        [("2024-01-02 08:00:01", 1.0), ("2024-01-02 08:04:59", 4.0), ("2024-01-02 09:00:00", 8.5)],
     ],
 )
-def test_day_profile_matches_pandas(spark, rows):
+def test_day_profile_slots(spark, rows):
     prof = day_profile(readings_df(spark, rows)).orderBy("slot").collect()
     assert len(prof) == 288
-    np.testing.assert_allclose([r["car_count"] for r in prof], _pandas_profile(rows), atol=1e-9)
+    np.testing.assert_allclose([r["car_count"] for r in prof], _expected_profile(rows), atol=1e-9)
+
+
+def test_silent_sensor_has_its_missing_days(spark):
+    a, p = _inputs(spark, {"2024-01-02": 5.0}, {"2024-01-02": 5})
+    st, summ = D.check_drift(a, p, "2024-01-31")
+    assert [r["status"] for r in st.collect()] == ["MISSING_DATA"] * 7
+    assert summ.collect()[0]["missing_count"] == 7
 
 
 def _inputs(spark, actual_days, pred_days):

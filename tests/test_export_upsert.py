@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from slotcast import config as C
 from slotcast.session import scratch_path
 from slotcast.sinks import exports as X
 from slotcast.sinks.tables import upsert_readings
@@ -12,7 +13,7 @@ from slotcast.sinks.tables import upsert_readings
 def _r(spark, rows):
     data = [("s1", dt.datetime.fromisoformat(t), v, seq, [1]) for t, v, seq in rows]
     df = spark.createDataFrame(data, "sensor_id string, ts timestamp_ntz, car_count double, ingest_seq long, free_spots array<int>")
-    return df.withColumn("car_count", F.col("car_count").cast("decimal(10,2)"))
+    return df.withColumn("car_count", F.col("car_count").cast(C.COUNT_TYPE))
 
 
 def test_missing_root_gives_empty_table(spark):
@@ -27,7 +28,7 @@ def test_master_merge_keeps_last_per_second_and_is_rerun_safe(spark):
     X.merge_master(spark, root, day2)
     X.merge_master(spark, root, day2)
     rows = sorted((r["timestamp"], r["car_count"]) for r in X.read_csv_or_empty(spark, root, X.MASTER_SCHEMA).collect())
-    assert rows == [("01/01/2024 10:00:00", "1.00"), ("02/01/2024 10:00:00", "7.00"), ("02/01/2024 11:00:00", "8.00")]
+    assert rows == [("01/01/2024 10:00:00", "1.0"), ("02/01/2024 10:00:00", "7.0"), ("02/01/2024 11:00:00", "8.0")]
 
 
 def test_daily_export_overwrites_only_its_day(spark):
@@ -35,7 +36,7 @@ def test_daily_export_overwrites_only_its_day(spark):
     X.write_daily_actuals(_r(spark, [("2024-01-01 10:00:00", 1.0, 1), ("2024-01-02 10:00:00", 2.0, 2)]), root)
     X.write_daily_actuals(_r(spark, [("2024-01-02 12:00:00", 9.0, 3)]), root)
     rows = sorted((str(r["date"]), r["car_count"]) for r in X.read_csv_or_empty(spark, root, X.ACTUALS_SCHEMA).collect())
-    assert rows == [("2024-01-01", "1.00"), ("2024-01-02", "9.00")]
+    assert rows == [("2024-01-01", "1.0"), ("2024-01-02", "9.0")]
 
 
 def test_upsert_last_write_wins_and_idempotent(spark):

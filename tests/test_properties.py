@@ -7,6 +7,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from slotcast import config as C
 from slotcast.operators import series as S
 from tests.helpers import pandas_series
 
@@ -33,7 +34,7 @@ def test_interpolation_matches_pandas(spark, a, b):
     data += [("b", dt.datetime.fromisoformat(t), v, 1000 + i) for i, (t, v) in enumerate(rb)]
     df = spark.createDataFrame(data, "sensor_id string, ts timestamp_ntz, car_count double, ingest_seq long")
     got = {}
-    for r in S.regular_series(df.withColumn("car_count", df["car_count"].cast("decimal(10,2)"))).collect():
+    for r in S.regular_series(df.withColumn("car_count", df["car_count"].cast(C.COUNT_TYPE))).collect():
         got[(r["sensor_id"], r["bucket"])] = r["car_count"]
     for sensor, rr in (("a", ra), ("b", rb)):
         want = pandas_series(rr)

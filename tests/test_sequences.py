@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from slotcast import config as C
 from slotcast.operators import sequences as Q
 
 
@@ -64,46 +65,45 @@ def test_last_window(spark):
     assert lw["n_rows"] == 288 and lw["x"][0] == 12.0 and lw["x"][-1] == 299.0
 
 
-def test_last_buckets_pruned_equals_full(spark, tmp_path):
-    """Recent-partition series equals the full-history series on the last
-    288 buckets, including a sensor whose recent data is too short."""
+def test_last_buckets_of_every_sensor_equal_the_full_series(spark, tmp_path):
+    """Chosen dates give the last 288 buckets of the full-history series, for a sensor with gaps,
+    one that has been silent for a month, and one with a single reading."""
     import datetime as dt
 
+    from pyspark.sql.window import Window as W
+
+    from slotcast.operators.edges import dates_of_last_buckets, sensor_dates
     from slotcast.operators.recent import last_buckets
     from slotcast.operators.series import regular_series
 
     base = dt.datetime(2024, 1, 1)
-    rows = [("dense", base + dt.timedelta(minutes=7 * i), float(i % 50), i) for i in range(1500)]
+    rows = [("dense", base + dt.timedelta(minutes=7 * i), float(i % 50), i) for i in range(8000)]
     rows += [("sparse", base + dt.timedelta(hours=9 * i), float(i), 10000 + i) for i in range(20)]
+    rows += [("silent", base + dt.timedelta(minutes=11 * i), float(i), 20000 + i) for i in range(400)]
+    rows += [("once", base, 3.0, 30000)]
     df = spark.createDataFrame(rows, "sensor_id string, ts timestamp_ntz, car_count double, ingest_seq long")
-    df = df.withColumn("car_count", F.col("car_count").cast("decimal(10,2)")).withColumn("date", F.to_date("ts"))
+    df = df.withColumn("car_count", F.col("car_count").cast(C.COUNT_TYPE)).withColumn("date", F.to_date("ts"))
     path = str(tmp_path / "readings")
     df.write.partitionBy("date").parquet(path)
     table = spark.read.parquet(path)
-    got = {(r["sensor_id"], r["bucket"]): r["car_count"] for r in last_buckets(table, 288).collect()}
-    by_root = {(r["sensor_id"], r["bucket"]): r["car_count"] for r in last_buckets(table, 288, root=path).collect()}
-    assert by_root == got
-    full = regular_series(table)
-    from pyspark.sql.window import Window as W
-
-    ranked = full.withColumn("r", F.row_number().over(W.partitionBy("sensor_id").orderBy(F.col("bucket").desc())))
-    want = {(r["sensor_id"], r["bucket"]): r["car_count"] for r in ranked.where("r <= 288").collect()}
-    assert got == want
+    dates = sensor_dates(table)
+    got = {(r["sensor_id"], r["bucket"]): r["car_count"] for r in last_buckets(table, 288, dates).collect()}
+    ranked = regular_series(table).withColumn("r", F.row_number().over(W.partitionBy("sensor_id").orderBy(F.col("bucket").desc())))
+    assert got == {(r["sensor_id"], r["bucket"]): r["car_count"] for r in ranked.where("r <= 288").collect()}
+    assert {k[0] for k in got} == {"dense", "sparse", "silent", "once"}
+    assert dates_of_last_buckets(dates, 288).where("sensor_id = 'dense'").count() <= 2
 
 
-def test_newest_partition_from_folder_listing(spark, tmp_path):
-    """The newest date read from the ``date=`` folders equals the one read
-    from the file list; other folders and a missing root are ignored."""
+def test_latest_rows_from_chosen_dates(spark):
     import datetime as dt
 
-    from slotcast.operators.recent import newest_partition_date, partition_dates
+    from slotcast.operators.edges import dates_of_latest_rows, read_dates, sensor_dates
+    from slotcast.operators.ordering import latest_n
+
+    rows = [("a", dt.datetime(2024, 1, 1 + i // 10, i % 10), float(i), i) for i in range(60)] + [("b", dt.datetime(2023, 5, 1), 1.0, 99)]
+    df = spark.createDataFrame(rows, "sensor_id string, ts timestamp_ntz, car_count double, ingest_seq long").withColumn("date", F.to_date("ts"))
+    needed = dates_of_latest_rows(sensor_dates(df), 15)
+    assert needed.count() == 3
+    key = lambda t: {(r["sensor_id"], r["ts"]) for r in latest_n(t, 15).collect()}
+    assert key(read_dates(df, needed)) == key(df)
 
-    rows = [("s", dt.datetime(2024, 1, d, 8), 1.0) for d in (3, 9, 17)]
-    df = spark.createDataFrame(rows, "sensor_id string, ts timestamp_ntz, car_count double").withColumn("date", F.to_date("ts"))
-    path = str(tmp_path / "t")
-    df.write.partitionBy("date").parquet(path)
-    (tmp_path / "t" / "_staging").mkdir()
-    table = spark.read.parquet(path)
-    assert sorted(partition_dates(spark, path)) == ["2024-01-03", "2024-01-09", "2024-01-17"]
-    assert newest_partition_date(table, path) == newest_partition_date(table) == dt.date(2024, 1, 17)
-    assert partition_dates(spark, str(tmp_path / "missing")) == []
