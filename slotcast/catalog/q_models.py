@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from slotcast import config as C
@@ -10,8 +13,10 @@ from slotcast.catalog.q_windows import _DIGEST_COLS, _digest_out, _train_sql
 from slotcast.catalog.registry import query
 from slotcast.catalog.sqlparts import INDEXED, READINGS, RESAMPLED, SERIES, TAIL, q4, sec_text, with_
 from slotcast.functions.features import scale_fixed
+from slotcast.functions.numeric import q4 as q4c
 from slotcast.functions.timecols import fmt_seconds
 from slotcast.operators import sequences as Q
+from slotcast.operators.recent import last_buckets
 from slotcast.operators.series import regular_series
 from slotcast.plans import evaluate as EV
 from slotcast.plans import promote as PM
@@ -20,7 +25,8 @@ from slotcast.plans.fit import fit_forecaster
 from slotcast.plans.scoring import LinearModel, response_json, serve
 from slotcast.session import scratch_path, store_path, table_ready
 from slotcast.sinks import reports as RP
-from slotcast.sources import feed
+from slotcast.sinks.tables import WINDOWS_TABLE, read_table
+from slotcast.sources import feed, store
 
 SERIES_BASE = with_(READINGS, RESAMPLED, SERIES)
 D100 = "CAST(100.0 AS DOUBLE)"
@@ -31,9 +37,6 @@ def _series(spark, sf_dir):
 
 
 def _scored(spark, sf_dir):
-    from slotcast.operators.recent import last_buckets
-    from slotcast.sources import store
-
     recent = last_buckets(store.read_readings(spark, sf_dir), C.N_STEPS, store.readings_dates(spark, sf_dir))
     lw = Q.last_window(scale_fixed(recent), C.N_STEPS, ["car_scaled", "hour_scaled"])
     return serve(lw.where(F.col("n_rows") == C.N_STEPS), LinearModel.seasonal_naive(C.SERVE_HORIZON))
@@ -238,10 +241,9 @@ SELECT {_DIGEST_COLS} FROM digest WHERE sensor_id IN (SELECT sensor_id FROM summ
 @query("gate_retrain", _gate_sql())
 def gate_retrain(spark, sf_dir):
     _, summary = _check(spark, sf_dir)
-    gated = TR.training_set(feed.readings(spark, sf_dir)).join(
-        summary.where(F.col("drift_detected")).select("sensor_id"), "sensor_id", "left_semi"
-    )
-    return _digest_out(gated)
+    drifted = summary.where(F.col("drift_detected")).select("sensor_id")
+    # the gate comes first: no window is built for a sensor that isn't retrained
+    return _digest_out(TR.training_set(feed.readings(spark, sf_dir).join(drifted, "sensor_id", "left_semi")))
 
 
 @query("ml_fit_forecaster")
@@ -253,3 +255,26 @@ def ml_fit_forecaster(spark, sf_dir):
     windows = TR.split(windows_store(spark, sf_dir))
     results, _ = fit_forecaster(spark, windows)
     return results
+
+
+FIT_CUT = "2024-01-22"  # the model is fitted on readings before this day and evaluated on those from it on
+
+
+@query("ml_evaluate_fitted")
+def ml_evaluate_fitted(spark, sf_dir):
+    """The fitted model against persistence and the training mean, on windows of days that the fit hasn't seen."""
+    cut = F.lit(FIT_CUT).cast("date")
+    readings = store.read_readings(spark, sf_dir)
+    past = readings.where(F.col("date") < cut)
+    path = scratch_path(spark, "fit_windows")
+    TR.write_windows(TR.training_set(past, tensors=True), path)
+    _, model = fit_forecaster(spark, TR.split(read_table(spark, path, WINDOWS_TABLE)))
+    mean = past.agg(F.avg(F.col("car_count").cast("double"))).first()[0]
+    models = [
+        replace(model, name="fitted"),
+        LinearModel.persistence(),
+        LinearModel("constant", np.zeros(C.N_STEPS * 2), mean / C.CAR_MAX),
+    ]
+    later = regular_series(readings.where(F.col("date") >= cut))
+    m = EV.evaluate_series(later, models)
+    return m.select("sensor_id", "model", q4c("mae").alias("mae"), q4c("mse").alias("mse"), "n_windows")

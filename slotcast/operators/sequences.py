@@ -91,42 +91,6 @@ def window_digest(
     return out.where(keep).drop("_home", "_chunk", "_start", *[f"_cum_{name}" for name in sums])
 
 
-def window_linear(
-    df: DataFrame,
-    n: int,
-    lead: int,
-    features: list[str],
-    models: dict,
-    label: Column | None,
-    keys: tuple[str, ...] = ("sensor_id",),
-    idx: str = "idx",
-    carry: tuple[str, ...] = (),
-    chunk_rows: int = DEFAULT_CHUNK,
-) -> DataFrame:
-    """Linear models applied to every full window without building it:
-    row ``r`` of the window ending at the current row is ``lag(n - 1 - r)``,
-    so a model is ``bias + sum(w * lag(feature, n - 1 - r))`` over its
-    non-zero weights -- plain JVM expressions, O(non-zeros) per row.
-    Adds ``pred_<name>`` (scaled) per model."""
-    ch = _chunked(df, n, lead, idx, chunk_rows)
-    w = _frame(keys, idx)
-    nf = len(features)
-    cols = [F.lag(F.col(idx), n - 1).over(w).alias("_start")]
-    for name, m in models.items():
-        expr = F.lit(float(m.bias))
-        for flat in m.weights.nonzero()[0].tolist():
-            r, f = divmod(int(flat), nf)
-            expr = expr + F.lit(float(m.weights[flat])) * F.lag(F.col(features[f]).cast("double"), n - 1 - r).over(w)
-        cols.append(expr.alias(f"pred_{name}"))
-    if label is not None:
-        cols.append(F.lead(label, lead).over(w).alias("label"))
-    out = ch.select(*keys, idx, "_home", "_chunk", *carry, *cols)
-    keep = (F.col("_chunk") == F.col("_home")) & (F.col("_start") == F.col(idx) - (n - 1))
-    if label is not None:
-        keep = keep & F.col("label").isNotNull()
-    return out.where(keep).drop("_home", "_chunk", "_start")
-
-
 def window_arrays(
     df: DataFrame,
     n: int,

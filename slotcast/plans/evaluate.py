@@ -20,30 +20,9 @@ def eval_windows(series: DataFrame, n: int = C.N_STEPS, lead: int = C.EVAL_LEAD)
     return Q.window_arrays(s, n, lead, ["car_scaled", "hour_scaled"], F.col("car_count"), carry=("bucket",))
 
 
-SPARSE_LIMIT = 32  # models with at most this many non-zero weights are scored with lag() expressions
-
-
-def evaluate_series(
-    series: DataFrame,
-    models: list[LinearModel],
-    n: int = C.N_STEPS,
-    lead: int = C.EVAL_LEAD,
-    sparse_limit: int = SPARSE_LIMIT,
-) -> DataFrame:
-    """MAE / MSE per (sensor, model) over every evaluation window of the
-    series.  Sparse linear models (the baselines) are applied with lag()
-    expressions -- no window is materialised and nothing leaves the JVM;
-    dense models go through the Arrow ``predict_batch_udf`` on window
-    tensors."""
-    if all(int((m.weights != 0).sum()) <= sparse_limit for m in models):
-        s = scale_fixed(series).withColumn("idx", Q.bucket_index())
-        w = Q.window_linear(
-            s, n, lead, ["car_scaled", "hour_scaled"], {str(i): m for i, m in enumerate(models)}, F.col("car_count")
-        )
-        scored = w.select(
-            "sensor_id", "label", *[(F.col(f"pred_{i}") * F.lit(C.CAR_MAX)).alias(f"_p{i}") for i in range(len(models))]
-        )
-        return _metrics_from_scored(scored, models)
+def evaluate_series(series: DataFrame, models: list[LinearModel], n: int = C.N_STEPS, lead: int = C.EVAL_LEAD) -> DataFrame:
+    """MAE / MSE per (sensor, model) over every evaluation window of the series, in one pass for all
+    models, baselines and fitted ones alike."""
     return evaluate_many(eval_windows(series, n, lead), models)
 
 
@@ -61,10 +40,6 @@ def evaluate_many(windows: DataFrame, models: list[LinearModel]) -> DataFrame:
         "label",
         *[(score_scaled(windows, m) * F.lit(C.CAR_MAX)).alias(f"_p{i}") for i, m in enumerate(models)],
     )
-    return _metrics_from_scored(scored, models)
-
-
-def _metrics_from_scored(scored: DataFrame, models: list[LinearModel]) -> DataFrame:
     aggs = []
     for i, _ in enumerate(models):
         err = F.col("label") - F.col(f"_p{i}")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from slotcast.plans.scoring import LinearModel
 
-REG_PARAMS = (0.0, 0.001, 0.01)
+REG_PARAMS = (0.0, 0.01, 10.0)
 
 
 def fit_forecaster(spark: SparkSession, windows: DataFrame, reg_params=REG_PARAMS, max_iter: int = 50):
