@@ -11,8 +11,10 @@ The bands of each language come from histograms of all documents that pass the
 base rule (median, and median deviation as the spread), so they need no sort and
 no collected group.  A document is rejected if its deviations below the medians,
 in spreads, add up to more than ``CUT``, or its byte-fallback share lies above its
-band.  Spreads grow for short documents as the measures' noise does.  A language
-with fewer than ``MIN_BAND`` such documents is held to the band of all documents.
+band.  Spreads grow for short documents as the measures' noise does, and for
+languages with few documents, whose medians are less certain.  With fewer than
+``MIN_BAND`` documents that pass the base rule a language has no bands, and the base
+rule alone decides.
 
 Nulls: a null text is empty and fails the base rule; a null language is a
 language of its own.  Repeated rows are judged alike.  An empty table gives no
@@ -34,7 +36,8 @@ MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 CUT = 9.0  # spreads below the medians, summed over the four measures
 NOISE = 400  # tokens at which a document's own noise adds as much as the spread of its language
-MIN_BAND = 30
+MIN_BAND = 8
+FEW = 30  # documents of a language at which its medians' own noise adds as much as the spread
 SCALE = 1000  # histogram bins per unit of a measure
 FALLBACK = 0.1  # byte-fallback share that may exceed the median at least
 MEASURES = {"chars_per_piece": 0.02, "chars_per_token": 0.02, "piece_entropy": 0.05, "token_entropy": 0.05, "fallback_share": 0.0}  # with the least spread
@@ -170,12 +173,10 @@ def _median(hist: DataFrame, by: list[str], value: str) -> DataFrame:
 
 
 def bands(measured: DataFrame) -> DataFrame:
-    """(band, measure) -> median, spread, n_docs, also for all documents together (band "all")."""
+    """(band, measure) -> median, spread, n_docs."""
     values = F.array(*(F.struct(F.lit(m).alias("measure"), F.round(F.col(m) * SCALE).cast("long").alias("bin")) for m in MEASURES))
     good = measured.where(~base_failed()).select(_key(F.col("band")).alias("band"), F.explode(values).alias("v"))
-    one = good.groupBy("band", "v.measure", "v.bin").agg(F.count(F.lit(1)).alias("n"))
-    both = one.withColumn("band", F.explode(F.array(F.col("band"), F.lit("all"))))
-    hist = written(both.groupBy("band", "measure", "bin").agg(F.sum("n").alias("n")), "quality_histogram")
+    hist = written(good.groupBy("band", "v.measure", "v.bin").agg(F.count(F.lit(1)).alias("n")), "quality_histogram")
     middle = _median(hist, ["band", "measure"], "bin")
     away = hist.join(middle.select("band", "measure", "median"), ["band", "measure"]).withColumn("away", F.abs(F.col("bin") - F.col("median")))
     spread = _median(away.groupBy("band", "measure", "away").agg(F.sum("n").alias("n")), ["band", "measure"], "away")
@@ -187,13 +188,10 @@ def judge(measured: DataFrame) -> DataFrame:
     table = bands(measured)
     wide = table.groupBy("band").pivot("measure", list(MEASURES)).agg(F.first("median").alias("median"), F.first("spread").alias("spread"))
     wide = wide.join(table.groupBy("band").agg(F.max("n_docs").alias("n_docs")), "band")
-    limits = written(wide.select("band", "n_docs", F.struct(*(c for c in wide.columns if c not in ("band", "n_docs"))).alias("own")), "quality_bands")
-    everything = limits.where("band = 'all'").select(F.col("own").alias("everything"))
-    own = limits.where((F.col("band") != "all") & (F.col("n_docs") >= MIN_BAND)).select("band", "own")
-    rows = measured.withColumn("_band", _key(F.col("band")))
-    rows = rows.join(own.withColumnRenamed("band", "_band"), "_band", "left").join(F.broadcast(everything), how="left")  # one row
-    limit = F.coalesce("own", "everything")
-    widen = F.sqrt(1 + NOISE / F.greatest("n_pieces", F.lit(1)))
+    wide = wide.where(F.col("n_docs") >= MIN_BAND).select(F.col("band").alias("_band"), F.struct(*(c for c in wide.columns if c != "band")).alias("_limit"))
+    rows = measured.withColumn("_band", _key(F.col("band"))).join(written(wide, "quality_bands"), "_band", "left")
+    limit = F.col("_limit")
+    widen = F.sqrt((1 + NOISE / F.greatest("n_pieces", F.lit(1))) * (1 + FEW / limit["n_docs"]))
 
     def off(m: str) -> Column:
         spread = F.greatest(limit[f"{m}_spread"] / SCALE * 1.4826, F.lit(MEASURES[m]))
@@ -202,7 +200,7 @@ def judge(measured: DataFrame) -> DataFrame:
     score = sum((F.least(off(m), F.lit(0.0)) for m in list(MEASURES)[1:4]), F.least(off("chars_per_piece"), F.lit(0.0)))
     allowed = limit["fallback_share_median"] / SCALE + F.greatest(limit["fallback_share_spread"] / SCALE * 5 * 1.4826, F.lit(FALLBACK)) * widen
     return rows.withColumn("base_failed", base_failed()).withColumn("score", score).withColumn(
-        "kept", ~F.col("base_failed") & (F.col("score") >= -CUT) & (F.col("fallback_share") <= allowed)
+        "kept", ~F.col("base_failed") & F.coalesce((F.col("score") >= -CUT) & (F.col("fallback_share") <= allowed), F.lit(True))
     )
 
 
@@ -210,7 +208,7 @@ def quality_rules(docs: DataFrame, piece_model: str, word_model: str, key: str =
     """Base counts, measures, score and verdict of every document."""
     measured = written(measure(docs, piece_model, word_model, key, text, band), "quality_measures")
     out = judge(measured)
-    return out.select("doc_id", *BASE, "base_failed", F.coalesce("kept", F.lit(False)).alias("kept"), F.col("band").alias(band), *MEASURES, "score")
+    return out.select("doc_id", *BASE, "base_failed", "kept", F.col("band").alias(band), *MEASURES, "score")
 
 
 def passing(docs: DataFrame, piece_model: str, word_model: str, text: str = "text", band: str = "lang") -> DataFrame:
