@@ -22,6 +22,7 @@ from slotcast.llm.store import written
 WORD = r"[^\x20\x09-\x0D]+"
 MOST = 3  # times that a source or a document may be repeated
 BITS, LEVELS = 15, 4  # of the hash, per level
+FEW_SOURCES = 100_000  # up to so many, per-source tables (under 100 bytes a row) are broadcast; beyond, joins shuffle
 KEY = "_source_key"
 
 
@@ -65,12 +66,19 @@ def source_targets(sizes: DataFrame, cycle: int = 3, most: int = MOST) -> DataFr
     return s.select(KEY, "source", "source_size", "weight", F.coalesce(target, F.lit(0.0)).alias("target"))
 
 
+def per_source(table: DataFrame) -> DataFrame:
+    """A written per-source table, ready for joins with documents: broadcast if its counted rows are few, as
+    otherwise a hot source's documents meet in one task."""
+    return F.broadcast(table) if table.count() <= FEW_SOURCES else table
+
+
 def budget_thresholds(sizes: DataFrame, budgets: DataFrame) -> DataFrame:
     """Per source the hash at which its budget ends: the rows below ``_prefix`` fit, with ``_left`` to spare, and the ``_sum`` of the rows at that hash doesn't."""
     state = budgets.select(KEY, F.lit(0).cast("long").alias("_prefix"), F.col("_left").cast("double").alias("_left"), F.lit(0).cast("long").alias("_sum"))
+    state = written(state, "mix_thresholds")
     for level in range(1, LEVELS + 1):
         up, here = BITS * (LEVELS - level + 1), BITS * (LEVELS - level)
-        rows = sizes.where(F.col("size") > 0).join(state.select(KEY, "_prefix"), KEY).where(F.shiftright("_hash", up) == F.col("_prefix"))
+        rows = sizes.where(F.col("size") > 0).join(per_source(state.select(KEY, "_prefix")), KEY).where(F.shiftright("_hash", up) == F.col("_prefix"))
         buckets = rows.groupBy(KEY, F.shiftright("_hash", here).alias("_bucket")).agg(F.sum("size").alias("_sum"))
         w = Window.partitionBy(KEY).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         over = buckets.withColumn("_upto", F.sum("_sum").over(w)).join(state.select(KEY, "_left"), KEY).where(F.col("_upto") > F.col("_left"))
@@ -94,7 +102,8 @@ def thresholds(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     targets = targets.withColumn("_copies", whole.cast("int"))
     one = budget_thresholds(sizes, targets.withColumn("_left", F.col("target") - F.col("_copies") * F.col("source_size")))
     one = one.select(KEY, F.col("_prefix").alias("_first"), F.col("_left").alias("_rest"))
-    rest = sizes.join(one, KEY).where((F.col("_hash") >= F.col("_first")) & (F.col("size") <= F.col("_rest")))
+    one = written(one, "mix_first")
+    rest = sizes.join(per_source(one), KEY).where((F.col("_hash") >= F.col("_first")) & (F.col("size") <= F.col("_rest")))
     two = budget_thresholds(rest.select(KEY, "_hash", "size"), one.withColumn("_left", F.col("_rest")))
     two = two.select(KEY, F.col("_prefix").alias("_next"), (F.col("_sum") < 2 * F.col("_left")).alias("_with"))
     return written(targets.join(one, KEY).join(two, KEY), "mix_plan")
@@ -114,14 +123,14 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     """Per row: its size, its source's size and target, and how many words of it the mix takes.  Other columns are not read."""
     sizes = written(sized(docs, key, text, source), "mix_sizes")
     state = thresholds(sizes, source_targets(sizes, cycle))
-    out = sizes.join(state.select(KEY, "source_size", "target", *PLAN), KEY)
+    out = sizes.join(per_source(state.select(KEY, "source_size", "target", *PLAN)), KEY)
     return out.select("doc_id", "source", "size", "source_size", "target", copies().alias("copies"), (F.col("size") * copies()).alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", cycle: int = 3) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as it is taken, all columns kept."""
     sizes = written(sized(docs, key, text, source), "mix_sizes")
-    plan = thresholds(sizes, source_targets(sizes, cycle)).select(F.col(KEY).alias("_mix_key"), F.struct(*PLAN).alias("_mix"))
+    plan = per_source(thresholds(sizes, source_targets(sizes, cycle)).select(F.col(KEY).alias("_mix_key"), F.struct(*PLAN).alias("_mix")))
     rows = docs.select(F.struct(*docs.columns).alias("_row")).withColumn("_mix_key", source_key(F.col(f"_row.{source}"))).join(plan, "_mix_key")
     rows = rows.select("_row", "_mix.*", hash60(F.col(f"_row.{key}")).alias("_hash"), word_count(F.col(f"_row.{text}")).alias("size"))
     rows = rows.select("_row", copies().alias("_n")).where("_n > 0")
