@@ -1,4 +1,4 @@
-"""Bitmaps of 64-bit hashes: a prefilter of bounded size before an exact join."""
+"""Bloom filters of 64-bit hashes: a prefilter of bounded size before an exact join."""
 
 from __future__ import annotations
 
@@ -7,22 +7,35 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MIN_BITS, MAX_BITS = 16, 29  # log2 of the bitmap's bits: 64 MB at most, which is what is broadcast
-BITS_PER_HASH = 16
+from slotcast.llm.textops import mix64
+
+MIN_BITS, MAX_BITS = 16, 29  # log2 of the filter's bits: 64 MB at most, which is what is broadcast
+BITS_PER_HASH = 32
+PROBES = 4
 CHUNK = 16  # log2 of the bits in one row
 
 
-def bitmap(rows: DataFrame, column: str, n: int) -> np.ndarray:
-    """Bits of all hashes in a long column of about ``n`` rows, of a size that follows n up to MAX_BITS."""
-    log = int(np.clip(np.ceil(np.log2(max(1, n * BITS_PER_HASH))), MIN_BITS, MAX_BITS))
-    bit = F.shiftrightunsigned(column, 64 - log)
+def _probe(h: np.ndarray, number: int, log: int) -> np.ndarray:
+    """Place of the hash's bit for one probe (int64)."""
+    return (mix64(h + np.uint64(0x9E3779B97F4A7C15 * (number + 1) % 2**64)) >> np.uint64(64 - log)).astype(np.int64)
+
+
+def bitmap(rows: DataFrame, column: str, n: int, bits_per_hash: int = BITS_PER_HASH) -> np.ndarray:
+    """Filter of all hashes in a long column of about ``n`` rows, of a size that follows n up to MAX_BITS."""
+    log = int(np.clip(np.ceil(np.log2(max(1, n * bits_per_hash))), MIN_BITS, MAX_BITS))
+
+    def places(batches):
+        for b in batches:
+            h = b.column("h").to_numpy().view(np.uint64)
+            at = np.unique(np.concatenate([_probe(h, i, log) for i in range(PROBES)]))
+            yield pa.RecordBatch.from_arrays([pa.array(at >> CHUNK), pa.array(at)], ["chunk", "bit"])
 
     def piece(table: pa.Table) -> pa.Table:  # at most 2 ** CHUNK distinct bits
         bits = np.zeros(1 << CHUNK, bool)
         bits[table.column("bit").to_numpy() & ((1 << CHUNK) - 1)] = True
         return pa.table({"chunk": table.column("chunk")[:1], "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
 
-    distinct = rows.select(F.shiftright(bit, CHUNK).alias("chunk"), bit.alias("bit")).distinct()
+    distinct = rows.select(F.col(column).alias("h")).mapInArrow(places, "chunk long, bit long").distinct()
     out = np.zeros(1 << (log - 3), np.uint8)
     for chunk, bits in distinct.groupBy("chunk").applyInArrow(piece, "chunk long, bits binary").collect():
         out[chunk << (CHUNK - 3) : (chunk + 1) << (CHUNK - 3)] = np.frombuffer(bits, np.uint8)
@@ -30,6 +43,12 @@ def bitmap(rows: DataFrame, column: str, n: int) -> np.ndarray:
 
 
 def in_bitmap(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Which of the hashes (uint64) may be among those of the bitmap."""
-    at = h >> np.uint64(64 - (len(bits).bit_length() - 1 + 3))
-    return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & 1 > 0
+    """Which of the hashes (uint64) may be among those of the filter."""
+    log = len(bits).bit_length() - 1 + 3
+    live = np.arange(len(h))
+    for i in range(PROBES):
+        at = _probe(h[live], i, log)
+        live = live[(bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0]
+    out = np.zeros(len(h), bool)
+    out[live] = True
+    return out

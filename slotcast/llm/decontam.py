@@ -5,12 +5,12 @@ mask hashes some places of a window of words and ignores the others, so a hit
 survives substitutions at the ignored places.  The hashes of all benchmark
 windows are joined with those of all documents; every hit proposes an alignment
 of an item with a document, and the alignment is verified word by word: the best
-run with at least four matches in five words must hold ``MIN_MATCH`` matching words,
+run with over three matches for each mismatch must hold ``MIN_MATCH`` matching words,
 or four fifths of an item shorter than that.
 
-Most document windows match nothing, so a bitmap of the benchmark's hashes, whose
+Most document windows match nothing, so a Bloom filter of the benchmark's hashes, whose
 size is bounded (``bitmaps.MAX_BITS``) whatever the benchmark, drops them before the join;
-what a full bitmap lets through by chance the join still drops.  Equal texts
+what it lets through by chance the join still drops.  Equal texts
 are verified once.
 
 Nulls: a null text has no words; a null key is a key.  Items with fewer than
@@ -32,7 +32,7 @@ from slotcast.llm.store import written
 MASKS = [(0, 1, 3, 4, 6), (0, 1, 2, 5, 6), (0, 1, 2, 3, 5), (0, 2, 4, 5, 6)]
 MIN_ITEM = 8
 MIN_MATCH = 13
-MISS = 4  # matches that one mismatch outweighs
+MISS = 3  # matches that one mismatch outweighs
 
 NOT_WORD = np.ones(256, bool)
 NOT_WORD[48:58] = NOT_WORD[65:91] = NOT_WORD[97:123] = NOT_WORD[128:] = False
@@ -139,7 +139,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: s
     items = written(benchmark_items(benchmark, item_key, item_text), "benchmark_items")
     seeds = written(item_seeds(items), "benchmark_seeds")
     longest, n_seeds = items.agg(F.coalesce(F.max(F.octet_length("words")) / 8, F.lit(0)).cast("int")).first()[0], seeds.count()
-    segments = written(hit_segments(docs, bitmap(seeds, "hash", n_seeds), longest, key, text), "benchmark_hits")
+    segments = written(hit_segments(docs, bitmap(seeds, "hash", n_seeds, 64), longest, key, text), "benchmark_hits")
     own = segments.dropDuplicates(["text_hash", "lo"])
     hits = own.select("text_hash", "lo", F.explode("hits").alias("hit")).select("text_hash", "lo", "hit.pos", "hit.hash")
     aligned = hits.join(seeds.withColumnRenamed("pos", "at"), "hash").select("text_hash", "lo", "item_id", (F.col("pos") - F.col("at")).alias("shift")).distinct()
