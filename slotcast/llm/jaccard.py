@@ -11,15 +11,20 @@
    of their first common shingle.  Rare pivots keep regions small: most
    hold one class and need no more work.  The order comes from counts of all
    shingles in a table of fixed size; any order gives the same links.
-2. **Document pivots.**  A region with several classes chooses a class as pivot and
-   measures the exact distances of the others to it.
-3. **Recursion.**  Only classes that aren't yet connected have to meet.  In a region of
-   at most ``LEAF`` classes every class is a pivot for those that the triangle
-   inequality leaves: ``|d(x, p) - d(y, p)| <= r``.  A larger region draws several
-   pivots, each class goes to the Voronoi region of its nearest pivot and, as a
-   boundary document, to every other whose pivot is at most ``2 r`` further away;
-   these regions join in the same way.  A pivot's links are then all known and it
-   leaves, so the recursion ends.
+2. **Document pivots.**  In a region of at most ``LEAF`` classes every class is a pivot.  A
+   larger one chooses one pivot and measures the others against it.
+3. **Recursion.**  Only classes that aren't yet connected have to meet, and only if the
+   triangle inequality allows it, ``|d(x, p) - d(y, p)| <= r``.  In a region with at
+   most ``MINOR`` classes outside of its largest component each of these is a pivot; a
+   region with more of them draws several pivots, each class goes to the Voronoi region of its
+   nearest pivot and, as a boundary document, to every other whose own classes reach
+   within ``r`` of its distance to the pivot; these regions join in the same way.  A pivot's links are
+   then all known and it leaves, so the recursion ends.
+
+Distances are bounded from below first: a set's sketch holds, for about half a bit
+per shingle, the parity of the shingles of each hash bucket, and two sketches
+differ in no more bits than the sets differ in shingles.  Only pairs that pass are
+measured exactly, so only their sets are read from the texts.
 
 Links are never expanded within a class or a component.  A set's id is a 64-bit
 hash of its shingles.
@@ -34,7 +39,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotcast.llm import textops as T
@@ -44,8 +49,9 @@ from slotcast.llm.store import written
 
 COUNT_BITS = 22  # log2 of the shingle counters that give the pivots' order
 COUNT_CHUNK = 14  # log2 of the counters in one row
-LEAF = 64
-PIVOTS = 8  # of a larger region in the first round; twice as many in each later one
+LEAF = 16  # classes of a region that all meet at once
+MINOR = 1024  # classes outside of a region's largest component that all are pivots at once
+PIVOTS = 32  # of a larger region in the first round; twice as many in each later one
 SEEN = 1 << 20  # sets that one task remembers, so that it sends copies once
 EPS = 1e-9
 
@@ -68,6 +74,26 @@ def set_ids(sets: list[np.ndarray]) -> np.ndarray:
     return np.array([int(np.add.reduce(T.mix64(s ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)) + len(s) & (2**64 - 1) for s in sets], np.uint64).view(np.int64)
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """Parity of the shingles in each of a power of two of hash buckets, from half a bucket per shingle to one."""
+    bits = 64
+    while 2 * bits < len(s):
+        bits *= 2
+    count = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits(count & 1 > 0, bitorder="little").tobytes()
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """Two sets with these sketches differ in at least so many shingles."""
+    if len(x) < len(y):
+        x, y = y, x
+    a, b, size = int.from_bytes(x, "little"), int.from_bytes(y, "little"), len(x)
+    while size > len(y):  # fold: buckets of the smaller sketch are unions of those of the larger
+        size //= 2
+        a = (a >> (8 * size)) ^ (a & ((1 << (8 * size)) - 1))
+    return (a ^ b).bit_count()
+
+
 def prefix_size(n: int, percent: int) -> int:
     """How many regions a set of n shingles is in: its own and those at distance <= r."""
     return n - (percent * n + 99) // 100 + 1
@@ -122,7 +148,7 @@ def rarity(measured: DataFrame) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, k: int, percent: int, levels, key: str, text: str, keep=None) -> DataFrame:
-    """Per class and task: (set_id, n, regions); with ``keep``, only regions in that bitmap, and the set itself if any is left."""
+    """Per class and task: (set_id, n, regions); with ``keep``, only regions in that bitmap, and the set's sketch if any is left."""
     spread = docs.sparkSession.sparkContext.broadcast(levels)
     kept = docs.sparkSession.sparkContext.broadcast(keep) if keep is not None else None
 
@@ -143,12 +169,27 @@ def _prefixes(docs: DataFrame, k: int, percent: int, levels, key: str, text: str
                         first = first[in_bitmap(kept.value, first)]
                         if not len(first):
                             continue
-                    out.append((i, len(s), first.view(np.int64), s.tobytes() if kept is not None else None))
+                    out.append((i, len(s), first.view(np.int64), sketch(s) if kept is not None else None))
                 sizes = np.array([len(x[2]) for x in out], np.int64)
                 flat = np.concatenate([x[2] for x in out]) if out else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), T.list_array(pa.array(flat), sizes), pa.array([x[3] for x in out], pa.binary())], ["set_id", "n", "regions", "shingles"])
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), T.list_array(pa.array(flat), sizes), pa.array([x[3] for x in out], pa.binary())], ["set_id", "n", "regions", "sketch"])
 
-    return _rows(docs, key, text).mapInArrow(run, "set_id long, n long, regions array<long>, shingles binary")
+    return _rows(docs, key, text).mapInArrow(run, "set_id long, n long, regions array<long>, sketch binary")
+
+
+def bounded(pairs: DataFrame, percent: int) -> DataFrame:
+    """Of pairs with both sides' sizes and sketches (a, na, ka, b, nb, kb): the least distance, and whether they may link."""
+
+    def run(batches):
+        for b in batches:
+            na, nb = (b.column(x).to_numpy() for x in ("na", "nb"))
+            apart = np.fromiter(map(least_difference, b.column("ka").to_pylist(), b.column("kb").to_pylist()), np.int64, len(na))
+            apart = np.maximum(apart, np.abs(na - nb))
+            total = na + nb
+            may = 100 * (total - apart) >= percent * (total + apart)
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(2 * apart / (total + apart)), pa.array(may)], ["a", "b", "lo", "may"])
+
+    return pairs.select("a", "b", "na", "nb", "ka", "kb").mapInArrow(run, "a long, b long, lo double, may boolean")
 
 
 def distances(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -170,8 +211,42 @@ def distances(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, d double, linked boolean")
 
 
-def _sizes_fit(percent: int) -> Column:
-    return 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+class Sets:
+    """The shingle sets of classes, read from the texts when a distance first needs them."""
+
+    def __init__(self, docs: DataFrame, k: int, key: str, text: str):
+        self.docs, self.k, self.key, self.text = docs, k, key, text
+        self.known: DataFrame | None = None
+
+    def of(self, ids: DataFrame) -> DataFrame:
+        new = ids if self.known is None else ids.join(self.known.select("set_id"), "set_id", "left_anti")
+        new = written(new.distinct(), "sets_wanted")
+        n = new.count()
+        if n or self.known is None:
+            read = written(self._read(new, n), "sets")
+            self.known = read if self.known is None else self.known.unionByName(read)
+        return self.known
+
+    def _read(self, ids: DataFrame, n: int) -> DataFrame:
+        wanted, k = self.docs.sparkSession.sparkContext.broadcast(bitmap(ids, "set_id", n)), self.k
+
+        def run(batches):
+            seen: set[int] = set()
+            for b in batches:
+                for c in T.chunks(b.column("text")):
+                    sets = shingle_sets(c, k)
+                    of = set_ids(sets)
+                    out = []
+                    for i in np.flatnonzero(in_bitmap(wanted.value, of.view(np.uint64))).tolist():
+                        if of[i] not in seen:
+                            if len(seen) >= SEEN:
+                                seen.clear()
+                            seen.add(of[i])
+                            out.append(i)
+                    yield pa.RecordBatch.from_arrays([pa.array(of[out]), pa.array([sets[i].tobytes() for i in out], pa.binary())], ["set_id", "shingles"])
+
+        read = _rows(self.docs, self.key, self.text).mapInArrow(run, "set_id long, shingles binary")
+        return read.join(ids, "set_id", "left_semi").dropDuplicates(["set_id"])
 
 
 def _label(members: DataFrame, links: DataFrame) -> DataFrame:
@@ -179,6 +254,10 @@ def _label(members: DataFrame, links: DataFrame) -> DataFrame:
     return members.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
 
 
+def _side(rows: DataFrame, x: str, *more: str) -> DataFrame:
+    return rows.select("region", F.col("set_id").alias(x), F.col("n").alias(f"n{x}"), *(F.col(c).alias(f"{c}_{x}") for c in more))
+
+
 def link_classes(docs: DataFrame, measured: DataFrame, k: int, percent: int, key: str, text: str) -> DataFrame:
     """(a, b) links between classes that connect all that the join connects."""
     r = 1 - percent / 100 + EPS
@@ -188,46 +267,62 @@ def link_classes(docs: DataFrame, measured: DataFrame, k: int, percent: int, key
     shared = written(shared, "regions")
     keep = bitmap(shared, "region", shared.count())
     found = written(_prefixes(docs, k, percent, levels, key, text, keep), "region_sets")
-    members = written(found.select("set_id", "n", F.explode("regions").alias("region")).join(shared, "region").distinct(), "region_members")
-    needed = members.select("set_id").distinct()
-    sets = written(found.select("set_id", "shingles").join(needed, "set_id", "left_semi").dropDuplicates(["set_id"]), "sets")
-
-    star = members.where("set_id <> pivot").select(F.col("pivot").alias("a"), F.col("set_id").alias("b")).distinct()
-    measured_pairs = written(distances(star, sets, percent), "distances")
-    links = measured_pairs.where("linked").select("a", "b")
+    sketches = written(found.select("set_id", "n", "sketch").dropDuplicates(["set_id"]), "sketches")
+    members = found.select("set_id", "n", F.explode("regions").alias("region")).join(shared, "region").distinct()
+    sizes = members.groupBy("region").agg(F.count(F.lit(1)).alias("m"))
+    members = written(members.join(sizes, "region"), "region_members")
+    sets = Sets(docs, k, key, text)
+
+    def tested(pairs: DataFrame) -> DataFrame:
+        """(a, b, lo, hi, linked) of pairs; hi is 1 where the bound was enough."""
+        one, two = (sketches.select(F.col("set_id").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"k{x}")) for x in "ab")
+        bounds = written(bounded(pairs.select("a", "b").distinct().join(one, "a").join(two, "b"), percent), "bounds")
+        close = bounds.where("may").select("a", "b")
+        ids = close.select(F.explode(F.array("a", "b")).alias("set_id"))
+        exact = written(distances(close, sets.of(ids), percent), "distances")
+        joined = bounds.join(exact, ["a", "b"], "left")
+        return joined.select("a", "b", F.coalesce("d", "lo").alias("lo"), F.coalesce("d", F.lit(1.0)).alias("hi"), F.coalesce("linked", F.lit(False)).alias("linked"))
+
+    sizes_fit = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    small, large = members.where(F.col("m") <= LEAF), members.where(F.col("m") > LEAF)
+    star = _side(large.where("set_id = pivot"), "a").join(_side(large.where("set_id <> pivot"), "b"), "region")
+    pairs = _side(small, "a").join(_side(small, "b"), "region").where((F.col("a") < F.col("b")) & sizes_fit)
+    first = written(tested(pairs.unionByName(star)), "tested")
+    links = first.where("linked").select("a", "b")
     # from here on a pivot is resolved in its region and leaves it
-    others = members.where("set_id <> pivot").join(measured_pairs.select(F.col("a").alias("pivot"), F.col("b").alias("set_id"), "d"), ["pivot", "set_id"]).select("region", "set_id", "n", "d")
+    others = large.where("set_id <> pivot").join(first.select(F.col("a").alias("pivot"), F.col("b").alias("set_id"), "lo", "hi"), ["pivot", "set_id"]).select("region", "set_id", "n", "lo", "hi")
     turn = 0
     while True:
-        state = _label(others, links)
-        split = state.groupBy("region").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo <> hi").select("region", "m")
+        state = written(_label(others, links), "region_labels")
+        counts = state.groupBy("region", "root").agg(F.count(F.lit(1)).alias("m"))
+        split = counts.groupBy("region").agg(F.max(F.struct("m", "root")).alias("top"), F.sum("m").alias("m"))
+        split = split.select("region", F.col("top.root").alias("major"), (F.col("m") - F.col("top.m")).alias("m")).where("m > 0")
         state = written(state.join(split, "region"), "region_state")
         if state.isEmpty():
             return links
-        leaf, large = state.where(F.col("m") <= LEAF), state.where(F.col("m") > LEAF)
-
-        def side(rows: DataFrame, x: str) -> DataFrame:
-            return rows.select("region", F.col("set_id").alias(x), F.col("n").alias(f"n{x}"), F.col("d").alias(f"d{x}"), F.col("root").alias(f"r{x}"))
-
-        apart = (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & _sizes_fit(percent) & (F.abs(F.col("da") - F.col("db")) <= r)
-        pairs = side(leaf, "a").join(side(leaf, "b"), "region").where(apart).select("a", "b").distinct()
-        tested = written(distances(pairs, sets, percent), "distances")
-        more = tested.where("linked").select("a", "b")
+        # of two classes that aren't connected yet, one at least is outside of the region's largest component
+        leaf, large = state.where(F.col("m") <= MINOR), state.where(F.col("m") > MINOR)
+        window = (F.col("lo_a") - F.col("hi_b") <= r) & (F.col("lo_b") - F.col("hi_a") <= r)
+        minor = _side(leaf.where("root <> major"), "a", "lo", "hi", "root")
+        met = (F.col("root_a") != F.col("root_b")) & ((F.col("root_b") == F.col("major_b")) | (F.col("a") < F.col("b")))
+        pairs = minor.join(_side(leaf, "b", "lo", "hi", "root", "major"), "region").where(met & window & sizes_fit)
+        more = tested(pairs).where("linked").select("a", "b")
         if large.isEmpty():
             return links.unionByName(more)
         # larger regions: random pivots, Voronoi regions with their boundary documents
         share = F.pmod(F.xxhash64("set_id", F.lit(turn)), F.lit(1 << 20)) / F.lit(float(1 << 20))
-        large = large.withColumn("is_pivot", share < F.lit(float(PIVOTS << turn)) / F.col("m"))
-        pivots = large.where("is_pivot").select("region", F.col("set_id").alias("a"))
-        to_pivot = written(large.join(pivots, "region").where("set_id <> a").select("region", "a", F.col("set_id").alias("b"), "n", "is_pivot"), "region_pivots")
-        known = written(distances(to_pivot.select("a", "b").distinct(), sets, percent), "distances")
-        more = more.unionByName(known.where("linked").select("a", "b"))
-        links = written(links.unionByName(more), "links")
-        rest = to_pivot.where(~F.col("is_pivot")).join(known.select("a", "b", "d"), ["a", "b"])
-        nearest = rest.groupBy("region", "b").agg(F.min("d").alias("near"))
-        placed = rest.join(nearest, ["region", "b"]).where(F.col("d") <= F.col("near") + 2 * r)
-        unplaced = large.join(pivots.select("region").distinct(), "region", "left_anti").select("region", "set_id", "n", "d")  # no pivot drawn
-        others = written(placed.select(F.xxhash64("region", "a").alias("region"), F.col("b").alias("set_id"), "n", "d").unionByName(unplaced), "region_members")
+        drawn = (F.col("root") != F.col("major")) & (share < F.lit(float(PIVOTS << turn)) / F.col("m"))
+        large = written(large.withColumn("is_pivot", drawn), "region_pivots")
+        to_pivot = _side(large.where("is_pivot"), "a").join(_side(large, "b", "is_pivot"), "region").where("a <> b")
+        known = written(tested(to_pivot), "tested")
+        links = written(links.unionByName(more).unionByName(known.where("linked").select("a", "b")), "links")
+        rest = to_pivot.where(~F.col("is_pivot_b")).select("region", "a", F.col("b").alias("set_id"), F.col("nb").alias("n"))
+        rest = rest.join(known.select("a", F.col("b").alias("set_id"), "lo", "hi"), ["a", "set_id"])
+        home = rest.groupBy("region", "set_id").agg(F.min(F.struct("hi", "a")).alias("home")).select("region", "home.*")
+        radius = home.groupBy("region", "a").agg(F.max("hi").alias("radius"))
+        placed = rest.join(radius, ["region", "a"]).where(F.col("lo") <= F.col("radius") + r)
+        undrawn = large.join(large.where("is_pivot").select("region").distinct(), "region", "left_anti").select("region", "set_id", "n", "lo", "hi")  # no pivot drawn
+        others = written(placed.select(F.xxhash64("region", "a").alias("region"), "set_id", "n", "lo", "hi").unionByName(undrawn), "region_members")
         turn += 1
 
 
