@@ -7,12 +7,14 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from slotcast.llm import bitmaps, components, cotrain, ctw, decontam, jaccard, lengths, mixing, planes, quality, queries, sharding, templates
+from slotcast.llm import textops as T
 from slotcast.session import scratch_path
 
 SF = "/root/testdata/sf0.001"
@@ -434,6 +436,32 @@ def test_language_model_scores(spark, monkeypatch):
     check_scores(rows_of(queries.op7_context_tree_weighting(spark, SF)), rows_of(sf_docs(spark)))
 
 
+def test_contexts_are_kept_by_a_fixed_count_whatever_the_corpus(spark, monkeypatch):
+    """The tree has every context seen twice, though it holds less than 1 / 131,072 of the bytes; scores are those of one tree in memory."""
+    filler = [(7 * i, "ab" * 100_000) for i in range(3)]
+    rare = [(1000 + i, f"zq{chr(107 + i % 7)}xv") for i in range(14)]
+    docs = spark.createDataFrame(filler + rare + [(None, None)], "doc_id long, text string")
+    texts = [t or "" for _, t in filler + rare + [(None, None)]]
+    out = [zlib.crc32(("" if d is None else str(d)).encode()) % 7 == 2 for d, _ in filler + rare + [(None, None)]]
+    cut = lambda x: next(iter(T.chunks(pa.array(x, pa.string()), 1 << 30)))
+    c = cut([t for t, o in zip(texts, out, strict=True) if not o])
+    keys = ctw.grams(c.data, c.offsets, ctw.DEPTH)[0]
+    tables = []
+    for d in range(ctw.DEPTH + 1):
+        u, n = np.unique(keys & np.uint64((1 << 8 * (d + 1)) - 1), return_counts=True)
+        contexts, of = np.unique(u >> np.uint64(8), return_inverse=True)
+        keep = (np.bincount(of, weights=n) >= 2)[of] | (d == 0)
+        tables.append(((u >> np.uint64(8))[keep], (u & np.uint64(255))[keep], n[keep]))
+    tree = ctw.build_tree(tables)
+    c = cut(texts)
+    key, doc = ctw.grams(c.data, c.offsets, ctw.DEPTH)
+    want = np.bincount(doc, weights=ctw.score_bytes(tree, key), minlength=len(texts))
+    for common in (1 << 22, 8):
+        monkeypatch.setattr(ctw, "COMMON_GRAMS", common)
+        got = {r["doc_id"]: r["score"] for r in rows_of(ctw.score(docs))}
+        assert [got[d] for d, _ in filler + rare + [(None, None)]] == pytest.approx(want.tolist(), rel=1e-4, abs=1e-3)
+
+
 # ---- pipeline
 
 
