@@ -5,8 +5,8 @@ mask hashes some places of a window of words and ignores the others, so a hit
 survives substitutions at the ignored places.  The hashes of all benchmark
 windows are joined with those of all documents; every hit proposes an alignment
 of an item with a document, and the alignment is verified word by word: the best
-run with over three matches for each mismatch must hold ``MIN_MATCH`` matching words,
-or four fifths of an item shorter than that.
+stretch of which at least four fifths match must hold ``MIN_MATCH`` matching words,
+or four fifths of the item if that is less.
 
 Most document windows match nothing, so a Bloom filter of the benchmark's hashes, whose
 size is bounded (``bitmaps.MAX_BITS``) whatever the benchmark, drops them before the join;
@@ -32,7 +32,7 @@ from slotcast.llm.store import written
 MASKS = [(0, 1, 3, 4, 6), (0, 1, 2, 5, 6), (0, 1, 2, 3, 5), (0, 2, 4, 5, 6)]
 MIN_ITEM = 8
 MIN_MATCH = 13
-MISS = 3  # matches that one mismatch outweighs
+MISS = 4  # matches that a stretch needs for each mismatch: four fifths of it
 
 NOT_WORD = np.ones(256, bool)
 NOT_WORD[48:58] = NOT_WORD[65:91] = NOT_WORD[97:123] = NOT_WORD[128:] = False
@@ -121,16 +121,19 @@ def hit_segments(docs: DataFrame, bits: np.ndarray, reach: int, key: str = "doc_
 
 
 def best_overlap(doc: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int]:
-    """Words and matches of the best run when item word j lies at document word shift + j."""
-    at = np.arange(len(item)) + shift
-    inside = (at >= 0) & (at < len(doc))
-    same = np.zeros(len(item), bool)
-    same[inside] = doc[at[inside]] == item[inside]
+    """Words and matches of the best stretch when item word j lies at document word shift + j: the one with the most
+    matches of all in which these are four fifths, and the longest of several."""
+    lo, hi = max(0, -shift), min(len(item), len(doc) - shift)
+    if lo >= hi:
+        return 0, 0
+    same = doc[lo + shift : hi + shift] == item[lo:hi]
     total = np.concatenate([[0], np.cumsum(np.where(same, 1, -MISS))])
-    gain = total - np.minimum.accumulate(total)
-    end = int(gain.argmax())
-    start = int(total[: end + 1].argmin())
-    return end - start, int(same[start:end].sum())
+    start = np.searchsorted(-np.minimum.accumulate(total), -total)  # for each end, the first place that is no higher
+    matches = np.concatenate([[0], np.cumsum(same)])
+    matches = matches - matches[start]
+    size = np.arange(len(total)) - start
+    end = np.lexsort((size, matches))[-1]
+    return int(size[end]), int(matches[end])
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> tuple[DataFrame, DataFrame]:

@@ -1,5 +1,6 @@
 """Parts of the operators that need no Spark, held against plain Python."""
 
+import itertools
 import random
 import re
 import zlib
@@ -173,6 +174,31 @@ def test_seeds_survive_a_substitution_anywhere():
     assert decontam.best_overlap(np.concatenate([item[:3], other]), item, 3)[1] == 16
 
 
+def test_one_or_two_substitutions_anywhere_are_found():
+    of = lambda h: set(decontam.seed_hashes(T.Words(h, h, np.zeros(len(h), np.int64), np.array([0, len(h)])))[1].tolist())
+    for n in range(8, 21):
+        item = np.random.default_rng(n).integers(1, 1 << 62, n).astype(np.uint64)
+        seeds = of(item)
+        for places in [*itertools.combinations(range(n), 1), *itertools.combinations(range(n), 2)]:
+            if 5 * (n - len(places)) < 4 * n:
+                continue
+            other = item.copy()
+            other[list(places)] += np.uint64(1)
+            assert decontam.best_overlap(np.concatenate([item[:2] + np.uint64(3), other]), item, 2) == (n, n - len(places))
+            assert seeds & of(other)
+
+
+def test_best_overlap_by_hand():
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        n, m = rng.integers(1, 30, 2)
+        item, doc, shift = rng.integers(1, 3, n).astype(np.uint64), rng.integers(1, 3, m).astype(np.uint64), int(rng.integers(-30, 30))
+        same = [doc[j + shift] == item[j] for j in range(n) if 0 <= j + shift < m]
+        stretches = [(sum(same[i:j]), j - i) for i in range(len(same)) for j in range(i + 1, len(same) + 1) if 5 * sum(same[i:j]) >= 4 * (j - i)]
+        match, size = max(stretches, default=(0, 0))
+        assert decontam.best_overlap(doc, item, shift) == (size, match)
+
+
 def kt(a, b):
     p, zeros, ones = 1.0, 0, 0
     for bit in [0] * a + [1] * b:
