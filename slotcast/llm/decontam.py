@@ -1,6 +1,7 @@
 """Benchmark decontamination with spaced seeds.
 
-Words are runs of letters, digits and non-ASCII characters, lower-cased.  A fixed
+Words are runs of letters, digits and non-ASCII characters, lower-cased; each character
+of a script without spaces (Han, kana, Thai, ...) is a word of its own.  A fixed
 mask hashes some places of a window of words and ignores the others, so a hit
 survives substitutions at the ignored places.  The hashes of all benchmark
 windows are joined with those of all documents; every hit proposes an alignment
@@ -60,7 +61,7 @@ def seed_hashes(words: T.Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _words(c: T.Chunk) -> T.Words:
-    return T.hash_words(c.data, c.offsets, lower=True, space=NOT_WORD)
+    return T.hash_words(c.data, c.offsets, lower=True, space=NOT_WORD, characters=True)
 
 
 def benchmark_items(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:

@@ -96,11 +96,47 @@ def word_starts(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = IS_SP
     return np.flatnonzero(begin), gap
 
 
-def hash_words(data: np.ndarray, offsets: np.ndarray, lower: bool = True, space: np.ndarray = IS_SPACE) -> Words:
-    """64-bit hashes of all words, with A-Z lower-cased if asked."""
+#: Code points of scripts written without spaces between words (Thai, Lao, Tibetan, Myanmar, Khmer, Tai,
+#: Javanese, kana, Bopomofo, Han), and of their punctuation and the full-width one.
+UNSPACED = [(0x0E00, 0x1000), (0x1000, 0x10A0), (0x1780, 0x1800), (0x1950, 0x1AB0), (0x3005, 0x3008), (0x3021, 0x3030), (0x3031, 0x3036), (0x3038, 0x303D), (0x3040, 0x30FB), (0x30FC, 0x3130),
+            (0x31A0, 0x31C0), (0x31F0, 0x3200), (0x3400, 0x4DC0), (0x4E00, 0xA000), (0xA9E0, 0xAA00), (0xA980, 0xA9E0), (0xAA60, 0xAA80), (0xF900, 0xFB00), (0xFF66, 0xFFA0), (0x1B000, 0x1B170), (0x20000, 0x3FFFE)]
+UNSPACED_GAPS = [(0x0E5A, 0x0E5C), (0x0F04, 0x0F15), (0x104A, 0x1050), (0x17D4, 0x17D7), (0x3000, 0x3005), (0x3008, 0x3021), (0x3030, 0x3031), (0x3036, 0x3038), (0x303D, 0x3040), (0x30FB, 0x30FC), (0xFF01, 0xFF10), (0xFF1A, 0xFF21), (0xFF3B, 0xFF41), (0xFF5B, 0xFF66)]
+
+
+def unspaced(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lead bytes of the characters of unspaced scripts, the bytes after them, and all bytes of such scripts' punctuation."""
+    at = np.flatnonzero((data >= 0xE0) & (data < 0xF8))
+    long = data[at] >= 0xF0
+    padded = np.append(data, np.zeros(3, np.uint8)).astype(np.int64)
+    code = np.where(long, padded[at] & 7, padded[at] & 15) << 12 | (padded[at + 1] & 63) << 6 | padded[at + 2] & 63
+    code = np.where(long, code << 6 | padded[at + 3] & 63, code)
+    size = np.where(long, 4, 3)
+
+    def among(ranges: list[tuple[int, int]]) -> np.ndarray:
+        out = np.zeros(len(code), bool)
+        for lo, hi in ranges:
+            out |= (code >= lo) & (code < hi)
+        return out
+
+    gaps = among(UNSPACED_GAPS)
+    own = among(UNSPACED) & ~gaps
+    return at[own], at[own] + size[own], ragged(at[gaps], size[gaps])
+
+
+def hash_words(data: np.ndarray, offsets: np.ndarray, lower: bool = True, space: np.ndarray = IS_SPACE, characters: bool = False) -> Words:
+    """64-bit hashes of all words, with A-Z lower-cased if asked; with ``characters`` each one of an unspaced script is a word."""
     if lower:
         data = LOWER[data]
     start, gap = word_starts(data, offsets, space)
+    if characters and (data >= 0xE0).any():
+        lead, after, gaps = unspaced(data)
+        gap[gaps] = True
+        begin = np.zeros(len(data) + 1, bool)
+        begin[start] = begin[lead] = begin[after] = True
+        if len(gaps):
+            begin[gaps + 1] = True
+        begin = begin[:-1] & ~gap
+        start = np.flatnonzero(begin)
     first = np.searchsorted(start, offsets, "left")
     return Words(hash_runs(data, start, gap), start, np.repeat(np.arange(len(offsets) - 1), np.diff(first)), first)
 

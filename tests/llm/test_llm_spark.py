@@ -350,6 +350,14 @@ def test_decontamination(spark):
     assert decontam.contaminated(table, empty(bench)).count() == 0
 
 
+def test_decontamination_of_unspaced_scripts(spark):
+    passages = {1: "春眠不覚暁処処聞啼鳥。夜来風雨声、花落知多少。", 2: "ภาษาไทยเป็นภาษาที่ไม่เว้นวรรคระหว่างคำ", 3: "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"}
+    bench = spark.createDataFrame(list(passages.items()), "item_id long, text string")
+    docs = [(1, "前の文です" + passages[1] + "後の文です"), (2, "ก่อน" + passages[2]), (3, passages[1].replace("風", "雪")), (4, "全く別の文章で、何も写していません。"), (5, "a " + passages[3].replace("thirteen", "x") + " b")]
+    rows = {r["doc_id"]: r["best_item"] for r in rows_of(decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench))}
+    assert rows == {1: 1, 2: 2, 3: 1, 5: 3}
+
+
 def test_decontamination_finds_every_planted_passage(spark):
     plain = lambda t: " " + " ".join(re.findall(r"\w+", (t or "").lower())) + " "
     items = [plain(b["text"]) for b in rows_of(queries.table(spark, SF, "benchmark"))]

@@ -199,6 +199,22 @@ def test_best_overlap_by_hand():
         assert decontam.best_overlap(doc, item, shift) == (size, match)
 
 
+def test_characters_of_unspaced_scripts_are_words():
+    def cut(text):
+        c = chunk([text])
+        w = T.hash_words(c.data, c.offsets, space=decontam.NOT_WORD, characters=True)
+        return w.hash.tolist()
+
+    one = lambda text: cut(text)[0]
+    assert cut("日本語。テスト「x」") == [one(x) for x in "日本語テストx"]
+    assert cut("ภาษาไทย") == [one(x) for x in "ภาษาไทย"]
+    assert cut("été abc日x𠀋y，z é") == [one(x) for x in ["été", "abc", "日", "x", "𠀋", "y", "z", "é"]]
+    assert cut("，。") == cut("") == []
+    c = chunk(["日。", "", "本a", None, "。b"])
+    assert np.diff(T.hash_words(c.data, c.offsets, space=decontam.NOT_WORD, characters=True).first).tolist() == [1, 0, 2, 0, 1]
+    assert len(T.hash_words(c.data, c.offsets, space=decontam.NOT_WORD).hash) == 3
+
+
 def kt(a, b):
     p, zeros, ones = 1.0, 0, 0
     for bit in [0] * a + [1] * b:
