@@ -12,9 +12,11 @@ base rule (median, and median deviation as the spread), so they need no sort and
 no collected group.  A document is rejected if its deviations below the medians,
 in spreads, add up to more than ``CUT``, or its byte-fallback share lies above its
 band.  Spreads grow for short documents as the measures' noise does, and for
-languages with few documents, whose medians are less certain.  With fewer than
-``MIN_BAND`` documents that pass the base rule a language has no bands, and the base
-rule alone decides.
+languages with few documents, whose medians are less certain.  A language with fewer
+than ``MIN_BAND`` documents that pass the base rule has no bands of its own: the bands
+of all documents in the text's script hold (most of its letters decide), or those of all
+documents if these are too few or the text has no letters, as wide as the smallest
+language's.
 
 Nulls: a null text is empty and fails the base rule; a null language is a
 language of its own.  Repeated rows are judged alike.  An empty table gives no
@@ -45,6 +47,20 @@ SYMBOL = np.zeros(256, bool)
 SYMBOL[list(b"#*$%&|<>")] = True
 LINE_END = np.zeros(256, bool)
 LINE_END[0x0A] = True
+#: Code points of scripts; other letters, symbols and signs belong to none.
+SCRIPTS = {
+    "latin": [(0x41, 0x5B), (0x61, 0x7B), (0xC0, 0xD7), (0xD8, 0xF7), (0xF8, 0x2B0), (0x1E00, 0x1F00)], "greek": [(0x370, 0x400), (0x1F00, 0x2000)], "cyrillic": [(0x400, 0x530)],
+    "armenian": [(0x530, 0x590)], "hebrew": [(0x590, 0x600)], "arabic": [(0x600, 0x700), (0x750, 0x780), (0x8A0, 0x900)], "devanagari": [(0x900, 0x980)], "bengali": [(0x980, 0xA00)],
+    "gurmukhi": [(0xA00, 0xA80)], "gujarati": [(0xA80, 0xB00)], "oriya": [(0xB00, 0xB80)], "tamil": [(0xB80, 0xC00)], "telugu": [(0xC00, 0xC80)], "kannada": [(0xC80, 0xD00)],
+    "malayalam": [(0xD00, 0xD80)], "sinhala": [(0xD80, 0xE00)], "thai": [(0xE00, 0xE80)], "lao": [(0xE80, 0xF00)], "tibetan": [(0xF00, 0x1000)], "myanmar": [(0x1000, 0x10A0)],
+    "georgian": [(0x10A0, 0x1100)], "hangul": [(0x1100, 0x1200), (0xAC00, 0xD7B0)], "ethiopic": [(0x1200, 0x13A0)], "khmer": [(0x1780, 0x1800)], "mongolian": [(0x1800, 0x18B0)],
+    "kana": [(0x3041, 0x3100)], "han": [(0x3400, 0x4DC0), (0x4E00, 0xA000), (0xF900, 0xFB00), (0x20000, 0x323B0)],
+}
+SCRIPT_NAMES = np.array([None, *SCRIPTS], object)
+SCRIPT_OF = np.zeros(0x110000, np.uint8)
+for _number, _ranges in enumerate(SCRIPTS.values(), 1):
+    for _lo, _hi in _ranges:
+        SCRIPT_OF[_lo:_hi] = _number
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 CACHE_WORDS = 600_000
 _PIECES: dict[str, Pieces] = {}
@@ -118,6 +134,23 @@ def _collision_entropy(ids: np.ndarray, ends: np.ndarray, vocabulary: int) -> np
     return -np.log2(np.maximum(same, 1.0) / np.maximum(n * (n - 1.0), 1.0))
 
 
+def scripts(c: T.Chunk) -> np.ndarray:
+    """The script of most letters of each document, None without letters."""
+    n_docs, width = len(c.offsets) - 1, len(SCRIPT_NAMES)
+    lead = np.flatnonzero((c.data & 0xC0) != 0x80)
+    code = c.data[lead].astype(np.int64)
+    wide = np.flatnonzero(code >= 0xC0)
+    byte = np.append(c.data, np.zeros(3, np.uint8)).astype(np.int64) & 0x3F
+    at, first = lead[wide], code[wide]
+    two, three = (first & 0x1F) << 6 | byte[at + 1], (first & 0x0F) << 12 | byte[at + 1] << 6 | byte[at + 2]
+    four = (first & 0x07) << 18 | byte[at + 1] << 12 | byte[at + 2] << 6 | byte[at + 3]
+    code[wide] = np.where(first < 0xE0, two, np.where(first < 0xF0, three, np.minimum(four, 0x10FFFF)))
+    doc = np.repeat(np.arange(n_docs), _per_doc((c.data & 0xC0) != 0x80, c.offsets))
+    counts = np.bincount(doc * width + SCRIPT_OF[code], minlength=n_docs * width).reshape(n_docs, width)
+    counts[:, 0] = 0
+    return SCRIPT_NAMES[np.where(counts.any(axis=1), counts.argmax(axis=1), 0)]
+
+
 def fertility(c: T.Chunk, words: T.Words, of: Pieces, encoder: WordEncoder) -> dict[str, np.ndarray]:
     """Tokens, byte-fallback tokens and token entropies in bits of each document."""
     until = np.append(words.start, len(c.data))
@@ -133,7 +166,7 @@ def fertility(c: T.Chunk, words: T.Words, of: Pieces, encoder: WordEncoder) -> d
     return out | {"n_tokens": sizes, "token_entropy": _collision_entropy(ids, ends, len(encoder.ends_piece))}
 
 
-MEASURED = "doc_id long, band string, " + ", ".join(f"{x} long" for x in BASE) + ", n_pieces long, n_fallback long, piece_entropy double, n_tokens long, token_entropy double"
+MEASURED = "doc_id long, band string, script string, " + ", ".join(f"{x} long" for x in BASE) + ", n_pieces long, n_fallback long, piece_entropy double, n_tokens long, token_entropy double"
 
 
 def measure(docs: DataFrame, piece_model: str, word_model: str, key: str = "doc_id", text: str = "text", band: str = "lang") -> DataFrame:
@@ -146,8 +179,8 @@ def measure(docs: DataFrame, piece_model: str, word_model: str, key: str = "doc_
             for c in T.chunks(b.column("text")):
                 words = T.hash_words(c.data, c.offsets, lower=False)
                 out = base_counts(c, words) | fertility(c, words, of, encoder)
-                own = [b.column(x).slice(c.lo, c.hi - c.lo) for x in ("doc_id", "band")]
-                yield pa.RecordBatch.from_arrays(own + [pa.array(x) for x in out.values()], ["doc_id", "band", *out])
+                own = [*(b.column(x).slice(c.lo, c.hi - c.lo) for x in ("doc_id", "band")), pa.array(scripts(c), pa.string())]
+                yield pa.RecordBatch.from_arrays(own + [pa.array(x) for x in out.values()], ["doc_id", "band", "script", *out])
 
     measured = rows.mapInArrow(run, MEASURED)
     return measured.withColumns({
@@ -165,6 +198,13 @@ def _key(band: Column) -> Column:
     return F.coalesce(F.concat(F.lit("b"), band), F.lit("n"))
 
 
+ALL = "a"  # the band of all documents
+
+
+def _script() -> Column:
+    return F.concat(F.lit("s"), F.col("script"))
+
+
 def _median(hist: DataFrame, by: list[str], value: str) -> DataFrame:
     """Lower median of ``value`` in a histogram with counts ``n``; the bins are bounded by the measures' range."""
     w = Window.partitionBy(*by)
@@ -173,10 +213,12 @@ def _median(hist: DataFrame, by: list[str], value: str) -> DataFrame:
 
 
 def bands(measured: DataFrame) -> DataFrame:
-    """(band, measure) -> median, spread, n_docs."""
+    """(band, measure) -> median, spread, n_docs; the bands are those of each language, of each script and of all documents."""
     values = F.array(*(F.struct(F.lit(m).alias("measure"), F.round(F.col(m) * SCALE).cast("long").alias("bin")) for m in MEASURES))
-    good = measured.where(~base_failed()).select(_key(F.col("band")).alias("band"), F.explode(values).alias("v"))
-    hist = written(good.groupBy("band", "v.measure", "v.bin").agg(F.count(F.lit(1)).alias("n")), "quality_histogram")
+    good = measured.where(~base_failed()).select(_key(F.col("band")).alias("band"), _script().alias("script"), F.explode(values).alias("v"))
+    hist = good.groupBy("band", "script", "v.measure", "v.bin").agg(F.count(F.lit(1)).alias("n"))
+    hist = hist.select(F.explode(F.array_compact(F.array("band", "script", F.lit(ALL)))).alias("band"), "measure", "bin", "n")
+    hist = written(hist.groupBy("band", "measure", "bin").agg(F.sum("n").alias("n")), "quality_histogram")
     middle = _median(hist, ["band", "measure"], "bin")
     away = hist.join(middle.select("band", "measure", "median"), ["band", "measure"]).withColumn("away", F.abs(F.col("bin") - F.col("median")))
     spread = _median(away.groupBy("band", "measure", "away").agg(F.sum("n").alias("n")), ["band", "measure"], "away")
@@ -188,10 +230,16 @@ def judge(measured: DataFrame) -> DataFrame:
     table = bands(measured)
     wide = table.groupBy("band").pivot("measure", list(MEASURES)).agg(F.first("median").alias("median"), F.first("spread").alias("spread"))
     wide = wide.join(table.groupBy("band").agg(F.max("n_docs").alias("n_docs")), "band")
-    wide = wide.where(F.col("n_docs") >= MIN_BAND).select(F.col("band").alias("_band"), F.struct(*(c for c in wide.columns if c != "band")).alias("_limit"))
-    rows = measured.withColumn("_band", _key(F.col("band"))).join(written(wide, "quality_bands"), "_band", "left")
+    wide = wide.where((F.col("n_docs") >= MIN_BAND) | (F.col("band") == ALL))
+    wide = written(wide.select(F.col("band").alias("_band"), F.struct(*(c for c in wide.columns if c != "band")).alias("_limit")), "quality_bands")
+    rows = measured.withColumns({"_band": _key(F.col("band")), "_script": _script()}).join(wide, "_band", "left")
+    of_script = wide.where(F.col("_band").startswith("s")).select(F.col("_band").alias("_script"), F.col("_limit").alias("_script_limit"))
+    of_all = wide.where(F.col("_band") == ALL).select(F.col("_limit").alias("_all_limit"))  # one row, or none
+    rows = rows.join(F.broadcast(of_script), "_script", "left").join(F.broadcast(of_all), F.lit(True), "left")  # a row for each script
+    own = F.col("_limit").isNotNull()
+    rows = rows.withColumns({"_limit": F.coalesce("_limit", "_script_limit", "_all_limit"), "_few": F.when(own, F.col("_limit.n_docs")).otherwise(F.least(F.lit(MIN_BAND), F.coalesce("_script_limit", "_all_limit")["n_docs"]))})
     limit = F.col("_limit")
-    widen = F.sqrt((1 + NOISE / F.greatest("n_pieces", F.lit(1))) * (1 + FEW / limit["n_docs"]))
+    widen = F.sqrt((1 + NOISE / F.greatest("n_pieces", F.lit(1))) * (1 + FEW / F.col("_few")))
 
     def off(m: str) -> Column:
         spread = F.greatest(limit[f"{m}_spread"] / SCALE * 1.4826, F.lit(MEASURES[m]))

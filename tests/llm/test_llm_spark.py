@@ -231,6 +231,17 @@ def test_byte_fallback_band(spark):
     assert {r["doc_id"] for r in rows if not r["kept"]} == {99}
 
 
+def test_rare_languages_have_the_bands_of_their_script_or_of_all(spark):
+    rng = random.Random(6)
+    text = lambda i: " ".join(rng.sample(BASE.split(), 22) + [f"number {i} in the long row of plain sentences"])
+    runs = " ".join("".join(rng.choice("#*$%&|<>!~^") for _ in range(6)) for _ in range(60))
+    broken = " ".join("".join(chr(rng.randint(0xC0, 0x17F)) for _ in range(6)) for _ in range(60))
+    docs = [(i, text(i), "en") for i in range(60)] + [(100, text(100), "xx"), (101, runs, "xx"), (102, broken, "yy"), (103, runs + " |", None)]
+    rows = {r["doc_id"]: r for r in rows_of(quality.quality_rules(spark.createDataFrame(docs, "doc_id long, text string, lang string"), PIECE_BPE, WORD_BPE))}
+    assert not any(r["base_failed"] for r in rows.values()) and len(rows) == len(docs)
+    assert {i for i, r in rows.items() if not r["kept"]} == {101, 102, 103}
+
+
 # ---- jaccard join
 
 

@@ -104,6 +104,11 @@ def test_fertility_counts_byte_fallback_and_entropy(encoder):
     assert per == len(ids) and out["piece_entropy"][0] == pytest.approx(-np.log2(pairs / (n * (n - 1))))
 
 
+def test_script_of_most_letters():
+    texts = ["plain é text", "日本 abc", "漢字漢字 ab", "ひらがな 漢字", "12 %% 🧿", "", None, "Привет x", "ภาษาไทย", "한국어 z", "Ωμέγα a", "𠀋𠀋 a"]
+    assert quality.scripts(chunk(texts)).tolist() == ["latin", "latin", "han", "kana", None, None, None, "cyrillic", "thai", "hangul", "greek", "han"]
+
+
 @pytest.mark.parametrize("bits", [False, True])
 def test_planes_round_trip(bits):
     rng = np.random.default_rng(1)
