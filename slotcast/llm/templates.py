@@ -9,7 +9,10 @@ main) is the text.
 
 Paragraphs, headings, lists, quotes and tables inside a marked article are its
 flow and stay even if they recur, as sites repeat passages between articles.
-Pages with equal HTML count once, so copies of a page don't make it a template.
+Pages with equal main content count once, so copies of a page or of an article under
+other menus don't make it a template.  A page's main content is the smallest subtree, or
+run of paragraphs, lists, quotes and tables of one parent, with more than half of its
+text; a page without one is its own.
 
 Text: character references are decoded, white space inside a block becomes one
 space, blocks are joined by one newline in page order.  Broken markup (unclosed
@@ -49,6 +52,7 @@ BLOCK = frozenset(
     " legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 FLOW = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table thead tbody tfoot tr td th figure figcaption".split())
+PASSAGE = frozenset("p ul ol dl blockquote pre table figure".split())
 WRAPPER = frozenset("html body main article".split())
 FURNITURE_TAGS = frozenset("nav aside footer form menu dialog button label input fieldset legend option optgroup".split())
 FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
@@ -93,6 +97,8 @@ class Page:
         self.open: list[tuple[str, bool, list[str], int]] = []
         self.skip = self.in_article = 0
         self.loose: list[str] = []
+        self.spans: list[tuple[list[int], list[tuple[int, int]]]] = []  # digests and block spans of what may be the main content
+        self.runs: dict[int, tuple[list[str], list[int], list[tuple[int, int]]]] = {}  # the passages of each parent, by its hash parts
         self._read(html)
 
     def _flush(self) -> None:
@@ -116,7 +122,14 @@ class Page:
         if block:
             self._flush()
         digest = xxhash.xxh64_intdigest("\x00".join([tag, *parts]).encode("utf-8", "replace")) - (1 << 63)
-        (self.open[-1][2] if self.open else self.loose).append(f"\x01{digest:x}")
+        around = self.open[-1][2] if self.open else self.loose
+        around.append(f"\x01{digest:x}")
+        if block and not self.skip and tag not in ("html", "body"):
+            self.spans.append(([digest], [(first, len(self.blocks))]))
+            if tag in PASSAGE:
+                _, digests, spans = self.runs.setdefault(id(around), (around, [], []))
+                digests.append(digest)
+                spans.append((first, len(self.blocks)))
         if tag in ("article", "main") and not furniture:
             self.in_article -= 1
             if not self.skip:
@@ -186,6 +199,15 @@ class Page:
             self._close()
         self._flush()
 
+    def core(self) -> int | None:
+        """Hash of the main content, None if nothing holds more than half of the text."""
+        upto = [0]
+        for x in self.blocks:
+            upto.append(upto[-1] + len(x))
+        found = ((sum(upto[b] - upto[a] for a, b in spans), digests) for digests, spans in [*self.spans, *(x[1:] for x in self.runs.values())])
+        size, digests = min((x for x in found if 2 * x[0] > upto[-1]), key=lambda x: x[0], default=(0, None))
+        return None if digests is None else digests[0] if len(digests) == 1 else xxhash.xxh64_intdigest(repr(digests).encode()) - (1 << 63)
+
     def main_text(self, template: set[int]) -> str:
         """The blocks of the article (else main, else all) that lie in no template subtree."""
         keep = [False] * len(self.blocks)
@@ -209,7 +231,7 @@ def _host(url: str | None) -> str:
 
 
 def subtrees(pages: DataFrame) -> DataFrame:
-    """(host, page_hash, subtree, deletable) of every page's block elements, each once per page."""
+    """(host, page_hash, core, subtree, deletable) of every page's block elements, each once per page."""
 
     def run(batches):
         for b in batches:
@@ -217,20 +239,23 @@ def subtrees(pages: DataFrame) -> DataFrame:
             for url, page, html in zip(*(b.column(x).to_pylist() for x in ("url", "page_hash", "html")), strict=True):
                 host = _host(url)
                 once = {}
-                for digest, _, _, deletable in Page(html or "").elements:
+                read = Page(html or "")
+                core = read.core()
+                for digest, _, _, deletable in read.elements:
                     once[digest] = once.get(digest, False) or deletable
-                out += [(host, page, digest, deletable) for digest, deletable in once.items()]
-            types = (pa.string(), pa.int64(), pa.int64(), pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True) if out else [[]] * 4, types, strict=True)], ["host", "page_hash", "subtree", "deletable"])
+                out += [(host, page, page if core is None else core, digest, deletable) for digest, deletable in once.items()]
+            types = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True) if out else [[]] * 5, types, strict=True)], ["host", "page_hash", "core", "subtree", "deletable"])
 
-    return pages.select("url", "page_hash", "html").mapInArrow(run, "host string, page_hash long, subtree long, deletable boolean")
+    return pages.select("url", "page_hash", "html").mapInArrow(run, "host string, page_hash long, core long, subtree long, deletable boolean")
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
     rows = pages.select(F.col(key).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"), F.xxhash64(html).alias("page_hash"))
     found = written(subtrees(rows).distinct(), "subtrees")
-    counts = found.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"), F.max("deletable").alias("deletable")).where((F.col("n") >= MIN_PAGES) & F.col("deletable"))
+    contents = found.groupBy("host", "subtree", "core").agg(F.max("deletable").alias("deletable"))
+    counts = contents.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"), F.max("deletable").alias("deletable")).where((F.col("n") >= MIN_PAGES) & F.col("deletable"))
     hosts = found.select("host", "page_hash").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"))
     template = counts.join(hosts, "host").where(F.col("n") >= F.col("n_pages") * MIN_SHARE).select("host", "subtree")
     cuts = found.where("deletable").join(template, ["host", "subtree"]).groupBy("host", "page_hash").agg(F.collect_set("subtree").alias("cut"))

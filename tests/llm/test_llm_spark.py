@@ -422,6 +422,14 @@ def test_site_templates(spark):
     assert templates.extract(empty(pages)).count() == 0
 
 
+def test_copies_of_an_article_under_other_menus_are_no_template(spark):
+    body = "".join(f"<p>paragraph {j} of one long article that is reprinted</p>" for j in range(6))
+    forms = {"a": "<article><h1>T{0}</h1><div>%s</div></article>", "b": "<div>menu {0}</div><div>%s</div>", "c": "<h1>title {0}</h1><div>menu {0}</div>%s<div>Site line</div>", "d": "<main>%s</main><div>x{0}</div>"}
+    rows = [(i, f"http://{k}.example/{i}", f"<body>{(f % body).format(i)}</body>") for k, f in forms.items() for i in range(8)]
+    for r in rows_of(templates.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))):
+        assert all(f"paragraph {j} of" in r["text"] for j in range(6)), r
+
+
 def test_extraction_of_given_pages(spark):
     """The given pages have one article each: its paragraphs and heading, nothing else."""
     import html as h
