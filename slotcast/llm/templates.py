@@ -34,8 +34,7 @@ from pyspark.sql import functions as F
 
 from slotcast.llm.store import written
 
-MIN_PAGES = 5
-MIN_SHARE = 0.005  # of the host's pages
+MIN_PAGES = 5  # different pages of a host of any size
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|textarea|noscript|template|iframe|svg|select|object|head)\b[^>]*+>.*?(?:</\1\s*>|(?=<body\b)|\Z)"
@@ -256,8 +255,7 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     found = written(subtrees(rows).distinct(), "subtrees")
     contents = found.groupBy("host", "subtree", "core").agg(F.max("deletable").alias("deletable"))
     counts = contents.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"), F.max("deletable").alias("deletable")).where((F.col("n") >= MIN_PAGES) & F.col("deletable"))
-    hosts = found.select("host", "page_hash").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"))
-    template = counts.join(hosts, "host").where(F.col("n") >= F.col("n_pages") * MIN_SHARE).select("host", "subtree")
+    template = counts.select("host", "subtree")
     cuts = found.where("deletable").join(template, ["host", "subtree"]).groupBy("host", "page_hash").agg(F.collect_set("subtree").alias("cut"))
     # one page may stand under several hosts
     cuts = written(cuts, "template_cuts").groupBy("page_hash").agg(F.map_from_entries(F.collect_list(F.struct("host", "cut"))).alias("cuts"))

@@ -430,6 +430,12 @@ def test_copies_of_an_article_under_other_menus_are_no_template(spark):
         assert all(f"paragraph {j} of" in r["text"] for j in range(6)), r
 
 
+def test_templates_of_a_section_of_a_large_host_are_removed(spark):
+    rows = [(i, f"http://large.example/{i}", f"<body>{'<div>Section line</div>' if i < 6 else ''}<p>these are the own words of page {i}</p></body>") for i in range(1500)]
+    text = {r["page_id"]: r["text"] for r in rows_of(templates.extract(spark.createDataFrame(rows, "page_id long, url string, html string")))}
+    assert text == {i: f"these are the own words of page {i}" for i in range(1500)}
+
+
 def test_extraction_of_given_pages(spark):
     """The given pages have one article each: its paragraphs and heading, nothing else."""
     import html as h
