@@ -29,7 +29,7 @@ import re
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotcast.llm.store import written
@@ -224,9 +224,10 @@ class Page:
         return "\n".join(x for x, k in zip(self.blocks, keep, strict=True) if k)
 
 
-def _host(url: str | None) -> str:
-    m = re.match(r"(?:[a-z][a-z0-9+.-]*:)?//([^/?#]*)", url or "", re.I)
-    return m[1].rsplit("@", 1)[-1].split(":")[0].lower() if m else ""
+def _host(url: Column) -> Column:
+    """The lower-cased host of an address, without user and port; empty if there is none."""
+    place = F.coalesce(F.regexp_extract(url, r"^(?i:[a-z][a-z0-9+.-]*:)?//([^/?#]*)", 1), F.lit(""))
+    return F.lower(F.substring_index(F.substring_index(place, "@", -1), ":", 1))
 
 
 def subtrees(pages: DataFrame) -> DataFrame:
@@ -235,8 +236,7 @@ def subtrees(pages: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             out = []
-            for url, page, html in zip(*(b.column(x).to_pylist() for x in ("url", "page_hash", "html")), strict=True):
-                host = _host(url)
+            for host, page, html in zip(*(b.column(x).to_pylist() for x in ("host", "page_hash", "html")), strict=True):
                 once = {}
                 read = Page(html or "")
                 core = read.core()
@@ -246,27 +246,26 @@ def subtrees(pages: DataFrame) -> DataFrame:
             types = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True) if out else [[]] * 5, types, strict=True)], ["host", "page_hash", "core", "subtree", "deletable"])
 
-    return pages.select("url", "page_hash", "html").mapInArrow(run, "host string, page_hash long, core long, subtree long, deletable boolean")
+    return pages.select("host", "page_hash", "html").mapInArrow(run, "host string, page_hash long, core long, subtree long, deletable boolean")
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
-    rows = pages.select(F.col(key).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"), F.xxhash64(html).alias("page_hash"))
+    rows = pages.select(F.col(key).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"), _host(F.col(url)).alias("host"), F.xxhash64(html).alias("page_hash"))
     found = written(subtrees(rows).distinct(), "subtrees")
     contents = found.groupBy("host", "subtree", "core").agg(F.max("deletable").alias("deletable"))
     counts = contents.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"), F.max("deletable").alias("deletable")).where((F.col("n") >= MIN_PAGES) & F.col("deletable"))
     template = counts.select("host", "subtree")
     cuts = found.where("deletable").join(template, ["host", "subtree"]).groupBy("host", "page_hash").agg(F.collect_set("subtree").alias("cut"))
-    # one page may stand under several hosts
-    cuts = written(cuts, "template_cuts").groupBy("page_hash").agg(F.map_from_entries(F.collect_list(F.struct("host", "cut"))).alias("cuts"))
+    cuts = written(cuts, "template_cuts")  # of each page under each host only that host's
 
     def run(batches):
         for b in batches:
             texts = []
-            for address, raw, cut in zip(*(b.column(x).to_pylist() for x in ("url", "html", "cuts")), strict=True):
-                texts.append(Page(raw or "").main_text(set(dict(cut or ()).get(_host(address), ()))))
+            for raw, cut in zip(*(b.column(x).to_pylist() for x in ("html", "cut")), strict=True):
+                texts.append(Page(raw or "").main_text(set(cut or ())))
             yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    joined = rows.join(cuts, "page_hash", "left").select("page_id", "url", "html", "cuts")
+    joined = rows.join(cuts, ["host", "page_hash"], "left").select("page_id", "url", "html", "cut")
     kind = dict(joined.dtypes)["page_id"]
     return joined.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")

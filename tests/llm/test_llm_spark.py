@@ -436,6 +436,24 @@ def test_templates_of_a_section_of_a_large_host_are_removed(spark):
     assert text == {i: f"these are the own words of page {i}" for i in range(1500)}
 
 
+def test_a_page_under_many_hosts_is_joined_with_its_own_hosts_cuts(spark, monkeypatch):
+    shared = "<body><div>Site line</div><p>the same words on every mirror of it</p></body>"
+    rows = [(100 * h, f"http://u:p@M{h}.example:8080/", shared) for h in range(20)]
+    rows += [(100 * h + i, f"//m{h}.example/{i}?q", f"<body><div>Site line</div><p>some words of page {i} on host {h}</p></body>") for h in range(10) for i in range(1, 6)]
+    tables = {}
+    keep = templates.written
+    monkeypatch.setattr(templates, "written", lambda df, name: tables.setdefault(name, keep(df, name)))
+    text = {r["page_id"]: r["text"] for r in rows_of(templates.extract(spark.createDataFrame(rows, "page_id long, url string, html string")))}
+    assert all(("Site line" in x) == (i >= 1000) for i, x in text.items()) and len(text) == len(rows)
+    cuts = rows_of(tables["template_cuts"])
+    assert {"host", "page_hash", "cut"} == set(cuts[0]) and len({(c["host"], c["page_hash"]) for c in cuts}) == len(cuts) and all(len(c["cut"]) == 1 for c in cuts)
+    hosts = ["http://a.B/x", "https://u@c:9/", "//D?x", "nonsense", None, "http:///x", "HTTP://e#f", "x http://a/"]
+    got = spark.createDataFrame([(x,) for x in hosts], "url string").select(templates._host(F.col("url")).alias("h"))
+    assert [r["h"] for r in got.collect()] == ["a.b", "c", "d", "", "", "", "e", ""]
+    plan = templates.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Join LeftOuter, .*host.*page_hash", plan)
+
+
 def test_extraction_of_given_pages(spark):
     """The given pages have one article each: its paragraphs and heading, nothing else."""
     import html as h
