@@ -5,14 +5,14 @@
   capitals, symbols, digits and white space).
 
 Each view has a logistic regression of its own.  Over ``ROUNDS`` rounds each
-classifier labels the unlabelled pool, and where it is confident the other view
+classifier labels all unlabelled documents, and where it is confident the other view
 learns from its label.  Both are then calibrated on labelled documents that no round has
 seen (Platt scaling), and their log-odds are added, less the prior's, to score all
 documents.
 
-Fitting uses a bounded sample, drawn by a hash of the key: at most about ``LABELLED``
-labelled and ``POOL`` unlabelled documents, whatever the table's size.  Scoring
-covers every document.  All of it is Spark ML and built-in expressions.
+A fit reads a bounded sample, drawn by a hash of the key: at most about ``LABELLED``
+labelled documents and ``POOL`` of the confidently labelled ones, an equal share of these
+from each language and source, so that rare ones take part.  Scoring covers every document.  All of it is Spark ML and built-in expressions.
 
 Nulls: a null text is empty, a null language or source a value of its own; null
 labels don't count.  A document with several labels has their mean, at least a
@@ -115,18 +115,27 @@ class CoTrained:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality") -> tuple[DataFrame, DataFrame]:
-    """Bounded samples of ``docs``: labelled (with ``label``) and unlabelled."""
+    """A bounded sample of the labelled ``docs`` (with ``label``), and all others."""
     marks = labels.select(F.col(key).alias("doc_id"), F.col(label).alias("_mark")).where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.avg("_mark").alias("_mark"))
     marks = marks.where("_mark IS NOT NULL").select("doc_id", (F.col("_mark") >= 0.5).cast("double").alias("label"))
-    n_marks, n_docs = marks.count(), docs.count()
+    n_marks = marks.count()
     drawn = written(marks.where(_draw(F.col("doc_id"), 1, LABELLED, n_marks)), "labels_drawn")
     # the text columns of the drawn rows only; the bounded side decides the join
     some = docs.where(F.col(key).isNotNull()).drop("label")
     with_label = some.join(F.broadcast(drawn.withColumnRenamed("doc_id", key)), key)  # at most about LABELLED rows
-    pool = some.where(_draw(F.col(key), 2, POOL, n_docs)).join(F.broadcast(drawn.withColumnRenamed("doc_id", key).drop("label")), key, "left_anti")
+    pool = some.join(F.broadcast(drawn.withColumnRenamed("doc_id", key).drop("label")), key, "left_anti")
     return with_label, pool
 
 
+def taught(sure: DataFrame) -> DataFrame:
+    """doc_id and label of at most about POOL of the rows (doc_id, label, lang, source), an equal share of each language and source."""
+    by = ["lang", "source"]
+    groups = written(sure.groupBy(by).agg(F.count(F.lit(1)).alias("_n")), "cotrain_groups")
+    share = POOL / max(1, groups.count())
+    keep = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(1 << 30)) < F.least(F.lit(1.0), share / F.col("_n")) * (1 << 30)
+    return sure.join(groups, by).where(keep).select("doc_id", "label").distinct()
+
+
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality", **columns) -> CoTrained | float:
     """The co-trained classifier, or the labels' mean if either class has too few."""
     marked, pool = labelled(docs, labels, key, label)
@@ -136,7 +145,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "q
     counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     if min(counts.get(0.0, 0), counts.get(1.0, 0)) < FEWEST:
         return counts.get(1.0, 0) / sum(counts.values()) if counts else 0.5
-    unknown = written(features(views(pool, key, **columns)).select("doc_id", "text_features", "meta_features"), "cotrain_pool")
+    unknown = features(views(pool, key, **columns))
     apart = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(CALIBRATE)) == 0
     teach, check = known.where(~apart), known.where(apart)
     if teach.where("label = 0").isEmpty() or teach.where("label = 1").isEmpty() or check.where("label = 0").isEmpty() or check.where("label = 1").isEmpty():
@@ -146,10 +155,17 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "q
         models = {view: _fit(rows, view, "label") for view, rows in sets.items()}
         if turn == ROUNDS:
             break
+        scored = unknown
+        for model in models.values():
+            scored = model.transform(scored)
+        p = {view: vector_to_array(F.col(f"{view}_p"))[1] for view in models}
+        sure = {view: (x >= CONFIDENT) | (x <= 1 - CONFIDENT) for view, x in p.items()}
+        scored = scored.select("doc_id", "lang", "source", *(F.when(x, F.col(f"{view}_label")).alias(view) for view, x in sure.items()))
+        scored = written(scored.where("text IS NOT NULL OR meta IS NOT NULL"), "cotrain_sure")
         for view, other in (("text", "meta"), ("meta", "text")):
-            p = vector_to_array(F.col(f"{view}_p"))[1]
-            sure = models[view].transform(unknown).where((p >= CONFIDENT) | (p <= 1 - CONFIDENT))
-            found = sure.select("doc_id", F.col(f"{view}_label").alias("label"), "text_features", "meta_features")
+            drawn = written(taught(scored.where(F.col(view).isNotNull()).select("doc_id", F.col(view).alias("label"), "lang", "source")), "cotrain_drawn")
+            some = pool.join(F.broadcast(drawn.select(F.col("doc_id").alias(key)).distinct()), key, "left_semi")  # at most about POOL rows
+            found = features(views(some, key, **columns)).join(F.broadcast(drawn), "doc_id").select("doc_id", "label", "text_features", "meta_features")
             sets[other] = written(teach.unionByName(found), "cotrain_taught")
     platt = {}
     for view, model in models.items():

@@ -402,6 +402,13 @@ def test_cotraining_edges(spark):
     assert cotrain.classify(empty(docs), both).count() == 0
 
 
+def test_cotraining_takes_confident_rows_of_rare_sources_from_all(spark, monkeypatch):
+    monkeypatch.setattr(cotrain, "POOL", 40)
+    rows = [(i, 1.0, "en", "big") for i in range(4000)] + [(10_000 + i, 0.0, "fi", "rare") for i in range(10)]
+    got = rows_of(cotrain.taught(spark.createDataFrame(rows, "doc_id long, label double, lang string, source string")))
+    assert sum(r["doc_id"] >= 10_000 for r in got) == 10 and 5 <= len(got) - 10 <= 45
+
+
 # ---- html
 
 
