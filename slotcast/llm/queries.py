@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotcast.llm import cotrain, ctw, decontam, jaccard, lengths, mixing, planes, quality, sharding, templates
+from slotcast.llm import cotrain, ctw, decontam, jaccard, lengths, mixing, planes, quality, runs, sharding, templates
 from slotcast.session import scratch_path
 
 WORD_BPE = "word_bpe_49k.json"
@@ -67,7 +67,28 @@ def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("grp").alias("lang"), *out.columns[1:], lengths.is_quantile(0.5).alias("is_median"), lengths.is_quantile(0.99).alias("is_p99"))
 
 
-QUERIES = {f.__name__: f for f in (op1_spaced_seed_decontamination, op2_rendezvous_sharding, op3_tokeniser_fertility, op4_cotraining, op5_site_template_removal, op6_jaccard_metric_join, op7_context_tree_weighting, op8_hash_threshold_mix, op9_bit_plane_files, op10_length_histogram)}
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) in which every tenth text by crc32 of its key repeats from some word on, as op11's contract says."""
+    h = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(1))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    rows = docs.select("doc_id", "text", (h % 10 == 0).alias("chosen"), F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("w"))
+    rows = rows.withColumn("n", F.coalesce(F.size("w"), F.lit(0)).cast("long"))
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    rows = rows.withColumn("p", F.lit(1) + F.floor((F.col("n") - F.col("a")) / (F.lit(3) + F.col("g") % 8)))
+    source = lambda i: F.when(i >= F.col("a"), F.col("a") + (i - F.col("a")) % F.col("p")).otherwise(i).cast("int")
+    repeated = F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda i: F.get("w", source(i))), " ")
+    return rows.select("doc_id", F.when(F.col("chosen") & (F.col("n") > 0), repeated).otherwise(F.col("text")).alias("text"))
+
+
+def op11_maximal_pair_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    best = found.withColumn("best", runs.strongest(F.col("runs")))
+    milli = F.expr("1000 * best.length div best.period").alias("exponent_milli")
+    columns = ["doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period", milli]
+    return best.select(*columns, runs.digest(F.col("runs")).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_spaced_seed_decontamination, op2_rendezvous_sharding, op3_tokeniser_fertility, op4_cotraining, op5_site_template_removal, op6_jaccard_metric_join, op7_context_tree_weighting, op8_hash_threshold_mix, op9_bit_plane_files, op10_length_histogram, op11_maximal_pair_runs)}
 
 ORACLE: dict[str, str] = {
     "op8_hash_threshold_mix": """
