@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotcast.llm import cotrain, ctw, decontam, jaccard, lengths, mixing, planes, quality, runs, sharding, templates
+from slotcast.llm import cotrain, ctw, decontam, jaccard, lengths, mixing, planes, quality, runs, secret_scan, sharding, templates
 from slotcast.session import scratch_path
 
 WORD_BPE = "word_bpe_49k.json"
@@ -88,7 +88,15 @@ def op11_maximal_pair_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.select(*columns, runs.digest(F.col("runs")).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_spaced_seed_decontamination, op2_rendezvous_sharding, op3_tokeniser_fertility, op4_cotraining, op5_site_template_removal, op6_jaccard_metric_join, op7_context_tree_weighting, op8_hash_threshold_mix, op9_bit_plane_files, op10_length_histogram, op11_maximal_pair_runs)}
+def op12_combined_automaton_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+    kinds = [r.kind for r in secret_scan.BASE]
+    base = F.filter("spans", lambda s: s["kind"].isin(kinds))
+    counts = [secret_scan.of_kind(F.col("spans"), k).alias(f"n_{k}") for k in kinds]
+    return found.select("doc_id", *counts, F.sha2(secret_scan.listed(base).cast("binary"), 256).alias("base_sha256"), secret_scan.listed(F.col("spans")).alias("spans"))
+
+
+QUERIES = {f.__name__: f for f in (op1_spaced_seed_decontamination, op2_rendezvous_sharding, op3_tokeniser_fertility, op4_cotraining, op5_site_template_removal, op6_jaccard_metric_join, op7_context_tree_weighting, op8_hash_threshold_mix, op9_bit_plane_files, op10_length_histogram, op11_maximal_pair_runs, op12_combined_automaton_secrets)}
 
 ORACLE: dict[str, str] = {
     "op8_hash_threshold_mix": """
