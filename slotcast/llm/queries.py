@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotcast.llm import cotrain, ctw, decontam, jaccard, lengths, mixing, planes, quality, runs, secret_scan, sharding, templates
+from slotcast.llm import cotrain, ctw, decontam, jaccard, lengths, mixing, negatives, planes, quality, runs, secret_scan, sharding, templates
 from slotcast.session import scratch_path
 
 WORD_BPE = "word_bpe_49k.json"
@@ -96,7 +96,16 @@ def op12_combined_automaton_secrets(spark: SparkSession, sf_dir: str) -> DataFra
     return found.select("doc_id", *counts, F.sha2(secret_scan.listed(base).cast("binary"), 256).alias("base_sha256"), secret_scan.listed(F.col("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_spaced_seed_decontamination, op2_rendezvous_sharding, op3_tokeniser_fertility, op4_cotraining, op5_site_template_removal, op6_jaccard_metric_join, op7_context_tree_weighting, op8_hash_threshold_mix, op9_bit_plane_files, op10_length_histogram, op11_maximal_pair_runs, op12_combined_automaton_secrets)}
+def op13_anchor_tree_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    whole = F.transform("embedding", lambda x: F.floor(F.lit(256.0) * x.cast("double")))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.select("vec_id", label.alias("label"), F.when(finite, whole).alias("vector"))
+    return negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_spaced_seed_decontamination, op2_rendezvous_sharding, op3_tokeniser_fertility, op4_cotraining, op5_site_template_removal, op6_jaccard_metric_join, op7_context_tree_weighting, op8_hash_threshold_mix, op9_bit_plane_files, op10_length_histogram, op11_maximal_pair_runs, op12_combined_automaton_secrets, op13_anchor_tree_negatives)}
 
 ORACLE: dict[str, str] = {
     "op8_hash_threshold_mix": """
@@ -135,5 +144,45 @@ SELECT d.doc_id, d.size, x.source_size, x.target,
        (d.size * (x.whole + CASE WHEN d.h < x.edge OR (m.h IS NOT NULL AND d.size <= x.rest) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM d JOIN x ON d.source IS NOT DISTINCT FROM x.source
        LEFT JOIN more m ON d.source IS NOT DISTINCT FROM m.source AND d.h = m.h
+""",
+    "op12_combined_automaton_secrets": """
+WITH rules(r, kind, pattern, least, own) AS (VALUES
+  (0, 'assign', '(?i:password|passwd|secret|token|api_?key)["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)', 8, 1),
+  (1, 'access', 'AKIA[A-Z0-9]+', 16, 0), (2, 'hex', '[0-9a-f]{32,}', 32, 0), (3, 'github', 'gh[pousr]_[A-Za-z0-9]+', 40, 0),
+  (4, 'slack', 'xox[abprs]-[A-Za-z0-9-]+', 20, 0), (5, 'google', 'AIza[A-Za-z0-9_-]+', 39, 0), (6, 'private_key', '-----BEGIN [A-Z ]*PRIVATE KEY-----', 1, 0)),
+d AS (SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS t FROM documents),
+p AS (  -- all matches of a rule, their secrets, and the texts between them
+  SELECT n, r, kind, least, regexp_extract_all(t, pattern) AS m, regexp_extract_all(t, pattern, own) AS v, regexp_split_to_array(t, pattern) AS gap FROM d, rules),
+e AS (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM p WHERE len(m) > 0),
+s AS (
+  SELECT n, kind, r, list_sum(list_transform(gap[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS a, length(m[i]) AS size
+  FROM e WHERE length(v[i]) >= least),
+g AS (
+  SELECT n, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(kind || ':' || a::BIGINT || ':' || (a + size)::BIGINT, ',' ORDER BY a, r) FILTER (r < 3) AS base,
+         string_agg(kind || ':' || a::BIGINT || ':' || (a + size)::BIGINT, ',' ORDER BY a, r) AS spans
+  FROM s GROUP BY n)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (n)
+""",
+    "op13_anchor_tree_negatives": """
+WITH v AS (
+  SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::INT AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id, list_dot_product(a.x, b.x)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER w)::INT AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 5
 """,
 }
