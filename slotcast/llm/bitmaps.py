@@ -1,8 +1,11 @@
-"""Bloom filters of 64-bit hashes: a prefilter of bounded size before an exact join."""
+"""Bloom filters of 64-bit hashes: a prefilter of bounded size before an exact join.
+
+Null hashes are in no filter and are kept by ``without``; a filter of no hashes holds none."""
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +38,7 @@ def bitmap(rows: DataFrame, column: str, n: int, bits_per_hash: int = BITS_PER_H
         bits[table.column("bit").to_numpy() & ((1 << CHUNK) - 1)] = True
         return pa.table({"chunk": table.column("chunk")[:1], "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
 
-    distinct = rows.select(F.col(column).alias("h")).mapInArrow(places, "chunk long, bit long").distinct()
+    distinct = rows.select(F.col(column).alias("h")).where("h IS NOT NULL").mapInArrow(places, "chunk long, bit long").distinct()
     out = np.zeros(1 << (log - 3), np.uint8)
     for chunk, bits in distinct.groupBy("chunk").applyInArrow(piece, "chunk long, bits binary").collect():
         out[chunk << (CHUNK - 3) : (chunk + 1) << (CHUNK - 3)] = np.frombuffer(bits, np.uint8)
@@ -52,3 +55,18 @@ def in_bitmap(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     out = np.zeros(len(h), bool)
     out[live] = True
     return out
+
+
+def without(rows: DataFrame, column: str, gone: DataFrame) -> DataFrame:
+    """The rows whose (long) column stands in no row of ``gone``, which has that column only.
+
+    Rows that the filter of ``gone`` doesn't mark stay as they are; the marked ones are joined, so only these are shuffled.
+    Both tables are read twice and should be written ones."""
+    sent = rows.sparkSession.sparkContext.broadcast(bitmap(gone, column, gone.count()))
+
+    @F.pandas_udf("boolean")
+    def marked(h: pd.Series) -> pd.Series:
+        return pd.Series(in_bitmap(sent.value, h.to_numpy(np.int64).view(np.uint64)))
+
+    suspect = marked(F.coalesce(F.col(column), F.lit(0).cast("long"))) & F.col(column).isNotNull()
+    return rows.where(~suspect).unionByName(rows.where(suspect).join(gone.distinct(), column, "left_anti").select(*rows.columns))

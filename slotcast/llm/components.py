@@ -2,14 +2,17 @@
 
 Each round is two joins on a node and its smallest neighbour; a node with very
 many edges is a skewed join key, which Spark splits.  Rounds are written to the
-shared folder, so lineage stays short."""
+shared folder, so lineage stays short; a round's table is deleted when the next one is there.
+
+Edges with a null end and edges from a node to itself join nothing; repeated edges count
+once; no edges give no rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotcast.llm.store import written
+from slotcast.llm.store import Scratch
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -32,10 +35,11 @@ def _state(edges: DataFrame):
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of ``edges`` (u, v) that isn't its component's smallest node."""
-    now = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    tables = Scratch()
+    now = tables.put(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     before = _state(now)
     while True:
-        now = written(_small_star(_large_star(now)), "edges")
+        now = tables.put(_small_star(_large_star(now)), "edges")
         after = _state(now)
         if after == before:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))

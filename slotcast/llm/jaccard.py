@@ -8,18 +8,24 @@
    shingle is ``s``; a set is replicated into the regions that are no further than
    ``r`` from it: those of its shingle number ``i`` with ``i <= r |x|``, as any set of that
    region lacks the ``i`` shingles before.  Two sets that link therefore meet in the region
-   of their first common shingle.  Rare pivots keep regions small: most
-   hold one class and need no more work.  The order comes from counts of all
-   shingles in a table of fixed size; any order gives the same links.
-2. **Document pivots.**  In a region of at most ``LEAF`` classes every class is a pivot.  A
-   larger one chooses one pivot and measures the others against it.
-3. **Recursion.**  Only classes that aren't yet connected have to meet, and only if the
-   triangle inequality allows it, ``|d(x, p) - d(y, p)| <= r``.  In a region with at
-   most ``MINOR`` classes outside of its largest component each of these is a pivot; a
-   region with more of them draws several pivots, each class goes to the Voronoi region of its
-   nearest pivot and, as a boundary document, to every other whose own classes reach
-   within ``r`` of its distance to the pivot; these regions join in the same way.  A pivot's links are
-   then all known and it leaves, so the recursion ends.
+   of their first common shingle.  Rare pivots keep regions small.  The order comes from
+   counts of all shingles in a table of fixed size; any order gives the same links.
+2. **Windows of places.**  In the region of their first common shingle, number ``i`` of ``x``, the
+   sets have at most ``|x| - i`` in common, so ``x`` links with no set of more than
+   ``(1 + t) / t (|x| - i) - |x|`` shingles (``t`` the threshold), its *reach*, and both sizes must be within the
+   other's reach.  A class without such a partner outside of its own component leaves the region.
+3. **Document pivots, by rounds.**  Each region draws the ``PIVOTS`` (each later round ``GROWTH`` times as many) classes that
+   have its shingle earliest, and measures the others against them.  Then all classes that
+   are connected by now get one label, regions whose classes are all connected are done, and a
+   pivot leaves, as its links in the region are known.  Near copies of one text so
+   become one component by their distances to one or two of them.
+4. **Voronoi regions, recursively.**  From the second round on, a region of more than ``LEAF`` classes has
+   all distances to its pivots measured, and every class goes to the region of its nearest pivot
+   and, as a boundary document, to each other region ``q`` that the triangle inequality
+   leaves open: ``d(x, q) <= radius(q) + r`` and ``d(x, q) - d(x, nearest) <= 2 r``.  Inside, two classes meet only if
+   their distances to the pivot differ by ``r`` at most.  These regions join in the same way.  A region
+   that would hold more than twice its classes in this way stays whole, since all its classes
+   are as far from each other as from the pivots; its next round has more pivots.
 
 Distances are bounded from below first: a set's sketch holds, for about half a bit
 per shingle, the parity of the shingles of each hash bucket, and two sketches
@@ -27,7 +33,8 @@ differ in no more bits than the sets differ in shingles.  Only pairs that pass a
 measured exactly, so only their sets are read from the texts.
 
 Links are never expanded within a class or a component.  A set's id is a 64-bit
-hash of its shingles.
+hash of its shingles, and shingles are 64-bit hashes; but for collisions of these the join is exact.
+Tables of a round are deleted when the next one has its own.
 
 Nulls: a null text has no words; a document without words has an empty set and
 links with nothing.  Documents with a null key take part in links but name no
@@ -39,19 +46,19 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slotcast.llm import textops as T
-from slotcast.llm.bitmaps import bitmap, in_bitmap
+from slotcast.llm.bitmaps import bitmap, in_bitmap, without
 from slotcast.llm.components import components
-from slotcast.llm.store import written
+from slotcast.llm.store import Scratch, written
 
 COUNT_BITS = 22  # log2 of the shingle counters that give the pivots' order
 COUNT_CHUNK = 14  # log2 of the counters in one row
-LEAF = 16  # classes of a region that all meet at once
-MINOR = 1024  # classes outside of a region's largest component that all are pivots at once
-PIVOTS = 32  # of a larger region in the first round; twice as many in each later one
+PIVOTS = 1  # of a region in the first round
+GROWTH = 4  # times as many in each later one
+LEAF = 8  # classes of a region that aren't laid into Voronoi regions of their own
 SEEN = 1 << 20  # sets that one task remembers, so that it sends copies once
 EPS = 1e-9
 
@@ -148,7 +155,9 @@ def rarity(measured: DataFrame) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, k: int, percent: int, levels, key: str, text: str, keep=None) -> DataFrame:
-    """Per class and task: (set_id, n, regions); with ``keep``, only regions in that bitmap, and the set's sketch if any is left."""
+    """Per class and task: (set_id, n, regions, places); with ``keep``, only regions in that bitmap, and the set's sketch if any is left.
+
+    A place is the number of the region's shingle in the set's order."""
     spread = docs.sparkSession.sparkContext.broadcast(levels)
     kept = docs.sparkSession.sparkContext.broadcast(keep) if keep is not None else None
 
@@ -165,16 +174,18 @@ def _prefixes(docs: DataFrame, k: int, percent: int, levels, key: str, text: str
                         seen.clear()
                     seen.add(i)
                     first = s[np.argsort(spread.value[(s >> np.uint64(64 - COUNT_BITS)).astype(np.int64)], kind="stable")[: prefix_size(len(s), percent)]]
+                    places = np.arange(len(first))
                     if kept is not None:
-                        first = first[in_bitmap(kept.value, first)]
-                        if not len(first):
+                        places = np.flatnonzero(in_bitmap(kept.value, first))
+                        if not len(places):
                             continue
-                    out.append((i, len(s), first.view(np.int64), sketch(s) if kept is not None else None))
+                    out.append((i, len(s), first.view(np.int64)[places], places, sketch(s) if kept is not None else None))
                 sizes = np.array([len(x[2]) for x in out], np.int64)
-                flat = np.concatenate([x[2] for x in out]) if out else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), T.list_array(pa.array(flat), sizes), pa.array([x[3] for x in out], pa.binary())], ["set_id", "n", "regions", "sketch"])
+                flat = [np.concatenate([x[j] for x in out]) if out else np.zeros(0, np.int64) for j in (2, 3)]
+                lists = [T.list_array(pa.array(x, pa.int64()), sizes) for x in flat]
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), *lists, pa.array([x[4] for x in out], pa.binary())], ["set_id", "n", "regions", "places", "sketch"])
 
-    return _rows(docs, key, text).mapInArrow(run, "set_id long, n long, regions array<long>, sketch binary")
+    return _rows(docs, key, text).mapInArrow(run, "set_id long, n long, regions array<long>, places array<long>, sketch binary")
 
 
 def bounded(pairs: DataFrame, percent: int) -> DataFrame:
@@ -211,129 +222,156 @@ def distances(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, d double, linked boolean")
 
 
-class Sets:
-    """The shingle sets of classes, read from the texts when a distance first needs them."""
+def read_sets(docs: DataFrame, ids: DataFrame, k: int, key: str, text: str) -> DataFrame:
+    """(set_id, shingles) of the classes in ``ids``, read from the texts."""
+    wanted = docs.sparkSession.sparkContext.broadcast(bitmap(ids, "set_id", ids.count()))
+
+    def run(batches):
+        seen: set[int] = set()
+        for b in batches:
+            for c in T.chunks(b.column("text")):
+                sets = shingle_sets(c, k)
+                of = set_ids(sets)
+                out = []
+                for i in np.flatnonzero(in_bitmap(wanted.value, of.view(np.uint64))).tolist():
+                    if of[i] not in seen:
+                        if len(seen) >= SEEN:
+                            seen.clear()
+                        seen.add(of[i])
+                        out.append(i)
+                yield pa.RecordBatch.from_arrays([pa.array(of[out]), pa.array([sets[i].tobytes() for i in out], pa.binary())], ["set_id", "shingles"])
 
-    def __init__(self, docs: DataFrame, k: int, key: str, text: str):
-        self.docs, self.k, self.key, self.text = docs, k, key, text
-        self.known: DataFrame | None = None
+    read = _rows(docs, key, text).mapInArrow(run, "set_id long, shingles binary")
+    return read.join(ids, "set_id", "left_semi").dropDuplicates(["set_id"])
 
-    def of(self, ids: DataFrame) -> DataFrame:
-        new = ids if self.known is None else ids.join(self.known.select("set_id"), "set_id", "left_anti")
-        new = written(new.distinct(), "sets_wanted")
-        n = new.count()
-        if n or self.known is None:
-            read = written(self._read(new, n), "sets")
-            self.known = read if self.known is None else self.known.unionByName(read)
-        return self.known
 
-    def _read(self, ids: DataFrame, n: int) -> DataFrame:
-        wanted, k = self.docs.sparkSession.sparkContext.broadcast(bitmap(ids, "set_id", n)), self.k
+# ---- regions
 
-        def run(batches):
-            seen: set[int] = set()
-            for b in batches:
-                for c in T.chunks(b.column("text")):
-                    sets = shingle_sets(c, k)
-                    of = set_ids(sets)
-                    out = []
-                    for i in np.flatnonzero(in_bitmap(wanted.value, of.view(np.uint64))).tolist():
-                        if of[i] not in seen:
-                            if len(seen) >= SEEN:
-                                seen.clear()
-                            seen.add(of[i])
-                            out.append(i)
-                    yield pa.RecordBatch.from_arrays([pa.array(of[out]), pa.array([sets[i].tobytes() for i in out], pa.binary())], ["set_id", "shingles"])
 
-        read = _rows(self.docs, self.key, self.text).mapInArrow(run, "set_id long, shingles binary")
-        return read.join(ids, "set_id", "left_semi").dropDuplicates(["set_id"])
+def merged(labels: DataFrame | None, links: DataFrame, tables: Scratch) -> DataFrame | None:
+    """Labels (node, root) of all classes that aren't their component's smallest, after more links (a, b)."""
+    if labels is not None:
+        for c in "ab":
+            links = links.join(labels.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")), c, "left").withColumn(c, F.coalesce(f"root_{c}", c)).drop(f"root_{c}")
+    edges = tables.put(links.where("a <> b").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(), "links")
+    if edges.isEmpty():
+        return labels
+    roots = components(edges)
+    if labels is not None:
+        above = roots.select(F.col("node").alias("root"), F.col("root").alias("above"))
+        roots = labels.join(above, "root", "left").select("node", F.coalesce("above", "root").alias("root")).unionByName(roots)
+    return tables.put(roots, "labels")
 
 
-def _label(members: DataFrame, links: DataFrame) -> DataFrame:
-    roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    return members.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
+def reach(n: Column, place: Column, percent: int) -> Column:
+    """Shingles of the largest set that may link with a set of n, whose first common shingle is number ``place``."""
+    return F.floor((100 + percent) * (n - place) / F.lit(percent) + EPS) - n
+
+
+def with_partners(state: DataFrame) -> DataFrame:
+    """The classes of each region that may link with one of another component there.
+
+    Sizes are taken together by their eight leading bits; of each the two components that reach furthest stand for all."""
+    cut = F.greatest(F.floor(F.log2("n")).cast("int") - 7, F.lit(0))
+    floor = F.expr("shiftleft(shiftright(n, cut), cut)")
+    own = state.withColumn("cut", cut).groupBy("region", floor.alias("floor"), "root").agg(F.max("most").alias("most"))
+    order = Window.partitionBy("region", "floor").orderBy(F.desc("most"), "root")
+    two = own.withColumn("rank", F.row_number().over(order)).where("rank <= 2")
+    ends = two.groupBy("region").agg(F.collect_list(F.struct("floor", "most", "root")).alias("ends")).where("size(ends) > 1")
+    met = F.exists("ends", lambda e: (e["root"] != F.col("root")) & (e["floor"] <= F.col("most")) & (e["most"] >= F.col("n")))
+    return state.join(ends, "region").where(met).drop("ends")
 
 
 def _side(rows: DataFrame, x: str, *more: str) -> DataFrame:
-    return rows.select("region", F.col("set_id").alias(x), F.col("n").alias(f"n{x}"), *(F.col(c).alias(f"{c}_{x}") for c in more))
+    return rows.select("region", F.col("set_id").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("n", "place", "most", "root", "near", *more)))
+
 
+def voronoi(star: DataFrame, known: DataFrame, r: float) -> DataFrame:
+    """(cell, region, set_id, near) of the classes that remain, from the pairs (region, a, b) of pivots and classes and their
+    distances (a, b, d): Voronoi regions of the pivots with their boundary documents, or the whole region if these hold too much."""
+    left = star.select("region", "a", "place_a", F.col("b").alias("set_id")).join(known.select("a", F.col("b").alias("set_id"), "d"), ["a", "set_id"])
+    home = left.groupBy("region", "set_id").agg(F.min(F.struct("d", "a")).alias("home"), F.min(F.struct("place_a", "a", "d")).getField("d").alias("to_first"))
+    radius = home.groupBy("region", F.col("home.a").alias("a")).agg(F.max("home.d").alias("radius"))
+    cells = left.join(home, ["region", "set_id"]).join(radius, ["region", "a"])
+    cells = cells.where((F.col("a") == F.col("home.a")) | ((F.col("d") <= F.col("radius") + r) & (F.col("d") - F.col("home.d") <= 2 * r)))
+    size = cells.groupBy("region").agg((F.count(F.lit(1)) > 2 * F.count_distinct("set_id")).alias("crowded"))
+    split = cells.join(size.where("NOT crowded"), "region").select(F.xxhash64("region", "a").alias("region"), "region", "set_id", F.col("d").alias("near"))
+    whole = home.join(size.where("crowded"), "region").select("region", "region", "set_id", F.col("to_first").alias("near"))
+    return split.toDF("cell", "region", "set_id", "near").unionByName(whole.toDF("cell", "region", "set_id", "near"))
 
-def link_classes(docs: DataFrame, measured: DataFrame, k: int, percent: int, key: str, text: str) -> DataFrame:
-    """(a, b) links between classes that connect all that the join connects."""
+
+def connected(docs: DataFrame, measured: DataFrame, k: int, percent: int, key: str, text: str, trace: list | None = None) -> DataFrame | None:
+    """(node, root) of the classes that links connect to a smaller one; ``trace`` gets a dictionary of counts for each round."""
     r = 1 - percent / 100 + EPS
+    tables = Scratch()
     levels = rarity(measured)
     each = _prefixes(docs, k, percent, levels, key, text).select("set_id", F.explode("regions").alias("region"))
-    shared = each.groupBy("region").agg(F.min("set_id").alias("pivot"), F.max("set_id").alias("last")).where("pivot <> last").select("region", "pivot")
-    shared = written(shared, "regions")
+    shared = tables.put(each.groupBy("region").agg(F.min("set_id").alias("least"), F.max("set_id").alias("last")).where("least <> last").select("region"), "regions")
     keep = bitmap(shared, "region", shared.count())
-    found = written(_prefixes(docs, k, percent, levels, key, text, keep), "region_sets")
-    sketches = written(found.select("set_id", "n", "sketch").dropDuplicates(["set_id"]), "sketches")
-    members = found.select("set_id", "n", F.explode("regions").alias("region")).join(shared, "region").distinct()
-    sizes = members.groupBy("region").agg(F.count(F.lit(1)).alias("m"))
-    members = written(members.join(sizes, "region"), "region_members")
-    sets = Sets(docs, k, key, text)
-
-    def tested(pairs: DataFrame) -> DataFrame:
-        """(a, b, lo, hi, linked) of pairs; hi is 1 where the bound was enough."""
-        one, two = (sketches.select(F.col("set_id").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"k{x}")) for x in "ab")
-        bounds = written(bounded(pairs.select("a", "b").distinct().join(one, "a").join(two, "b"), percent), "bounds")
-        close = bounds.where("may").select("a", "b")
-        ids = close.select(F.explode(F.array("a", "b")).alias("set_id"))
-        exact = written(distances(close, sets.of(ids), percent), "distances")
-        joined = bounds.join(exact, ["a", "b"], "left")
-        return joined.select("a", "b", F.coalesce("d", "lo").alias("lo"), F.coalesce("d", F.lit(1.0)).alias("hi"), F.coalesce("linked", F.lit(False)).alias("linked"))
-
-    sizes_fit = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-    small, large = members.where(F.col("m") <= LEAF), members.where(F.col("m") > LEAF)
-    star = _side(large.where("set_id = pivot"), "a").join(_side(large.where("set_id <> pivot"), "b"), "region")
-    pairs = _side(small, "a").join(_side(small, "b"), "region").where((F.col("a") < F.col("b")) & sizes_fit)
-    first = written(tested(pairs.unionByName(star)), "tested")
-    links = first.where("linked").select("a", "b")
-    # from here on a pivot is resolved in its region and leaves it
-    others = large.where("set_id <> pivot").join(first.select(F.col("a").alias("pivot"), F.col("b").alias("set_id"), "lo", "hi"), ["pivot", "set_id"]).select("region", "set_id", "n", "lo", "hi")
-    turn = 0
+    found = tables.put(_prefixes(docs, k, percent, levels, key, text, keep).dropDuplicates(["set_id"]), "region_sets")
+    sketches = found.select("set_id", "n", "sketch")
+    members = found.select("set_id", "n", F.explode(F.arrays_zip("regions", "places")).alias("m")).select("m.regions", "set_id", "n", "m.places")
+    state = members.toDF("region", "set_id", "n", "place").withColumns({"most": reach(F.col("n"), F.col("place"), percent), "near": F.lit(None).cast("double")})
+    labels, sets, pivots, turn = None, None, PIVOTS, 0
     while True:
-        state = written(_label(others, links), "region_labels")
-        counts = state.groupBy("region", "root").agg(F.count(F.lit(1)).alias("m"))
-        split = counts.groupBy("region").agg(F.max(F.struct("m", "root")).alias("top"), F.sum("m").alias("m"))
-        split = split.select("region", F.col("top.root").alias("major"), (F.col("m") - F.col("top.m")).alias("m")).where("m > 0")
-        state = written(state.join(split, "region"), "region_state")
+        if labels is None:
+            state = state.withColumn("root", F.col("set_id"))
+        else:
+            state = state.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
+        state = tables.put(with_partners(state), "state")
         if state.isEmpty():
-            return links
-        # of two classes that aren't connected yet, one at least is outside of the region's largest component
-        leaf, large = state.where(F.col("m") <= MINOR), state.where(F.col("m") > MINOR)
-        window = (F.col("lo_a") - F.col("hi_b") <= r) & (F.col("lo_b") - F.col("hi_a") <= r)
-        minor = _side(leaf.where("root <> major"), "a", "lo", "hi", "root")
-        met = (F.col("root_a") != F.col("root_b")) & ((F.col("root_b") == F.col("major_b")) | (F.col("a") < F.col("b")))
-        pairs = minor.join(_side(leaf, "b", "lo", "hi", "root", "major"), "region").where(met & window & sizes_fit)
-        more = tested(pairs).where("linked").select("a", "b")
-        if large.isEmpty():
-            return links.unionByName(more)
-        # larger regions: random pivots, Voronoi regions with their boundary documents
-        share = F.pmod(F.xxhash64("set_id", F.lit(turn)), F.lit(1 << 20)) / F.lit(float(1 << 20))
-        drawn = (F.col("root") != F.col("major")) & (share < F.lit(float(PIVOTS << turn)) / F.col("m"))
-        large = written(large.withColumn("is_pivot", drawn), "region_pivots")
-        to_pivot = _side(large.where("is_pivot"), "a").join(_side(large, "b", "is_pivot"), "region").where("a <> b")
-        known = written(tested(to_pivot), "tested")
-        links = written(links.unionByName(more).unionByName(known.where("linked").select("a", "b")), "links")
-        rest = to_pivot.where(~F.col("is_pivot_b")).select("region", "a", F.col("b").alias("set_id"), F.col("nb").alias("n"))
-        rest = rest.join(known.select("a", F.col("b").alias("set_id"), "lo", "hi"), ["a", "set_id"])
-        home = rest.groupBy("region", "set_id").agg(F.min(F.struct("hi", "a")).alias("home")).select("region", "home.*")
-        radius = home.groupBy("region", "a").agg(F.max("hi").alias("radius"))
-        placed = rest.join(radius, ["region", "a"]).where(F.col("lo") <= F.col("radius") + r)
-        undrawn = large.join(large.where("is_pivot").select("region").distinct(), "region", "left_anti").select("region", "set_id", "n", "lo", "hi")  # no pivot drawn
-        others = written(placed.select(F.xxhash64("region", "a").alias("region"), "set_id", "n", "lo", "hi").unionByName(undrawn), "region_members")
+            break
+        order = Window.partitionBy("region").orderBy("place", "set_id")
+        drawn = tables.put(state.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= pivots).drop("rank"), "pivots")
+        star = _side(drawn, "a").join(_side(state, "b"), "region").where("place_a < place_b OR (place_a = place_b AND a < b)")
+        may = (F.col("n_b") <= F.col("most_a")) & (F.col("n_a") <= F.col("most_b")) & (F.col("root_a") != F.col("root_b"))
+        may &= F.coalesce(F.abs(F.col("near_a") - F.col("near_b")) <= r, F.lit(True))
+        large = None
+        if turn:
+            large = tables.put(state.groupBy("region").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > LEAF).select("region"), "large")
+            if large.isEmpty():
+                large = None
+        pairs = star.where(may) if large is None else star.join(large, "region", "left_anti").where(may)
+        pairs = tables.put(pairs.select("a", "b").distinct(), "pairs")
+        one, two = (sketches.select(F.col("set_id").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"k{x}")) for x in "ab")
+        close = tables.put(bounded(pairs.join(one, "a").join(two, "b"), percent).where("may").select("a", "b"), "close")
+        if turn < 2:  # the first round's close pairs, then all that are left in any region
+            ids = close.select(F.explode(F.array("a", "b")).alias("set_id")) if turn == 0 else state.select("set_id")
+            ids = tables.put(ids.distinct(), "sets_wanted")
+            sets = tables.put(read_sets(docs, ids, k, key, text), "sets")
+        known = tables.put(distances(close, sets, percent), "distances")
+        links = known.where("linked").select("a", "b")
+        rest = state.join(drawn.select("region", "set_id"), ["region", "set_id"], "left_anti")
+        if trace is not None:
+            trace.append({"regions": state.select("region").distinct().count(), "classes": state.count(), "pivots": drawn.count(), "pairs": pairs.count(), "links": links.count(), "large": large.count() if large is not None else 0})
+        if large is not None:
+            inner = tables.put(star.join(large, "region", "left_semi"), "star")
+            measured_star = tables.put(distances(inner.select("a", "b").distinct(), sets, percent), "star_distances")
+            links = links.unionByName(measured_star.where("linked").select("a", "b"))
+            others = inner.join(drawn.select("region", F.col("set_id").alias("b")), ["region", "b"], "left_anti")
+            cells = voronoi(others, measured_star, r)
+            placed = cells.join(rest.drop("near"), ["region", "set_id"]).drop("region").withColumnRenamed("cell", "region")
+            rest = rest.join(large, "region", "left_anti").unionByName(placed)
+            if trace is not None:
+                trace[-1] |= {"cells": placed.select("region").distinct().count(), "placed": placed.count()}
+        state = tables.put(rest.drop("root"), "rest")
+        labels = merged(labels, links, tables)
+        pivots *= GROWTH
         turn += 1
+    tables.free("regions", "region_sets", "pivots", "large", "pairs", "close", "sets_wanted", "sets", "distances", "star", "star_distances", "rest", "links", "state")
+    return labels
 
 
 def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, set_id, n_shingles, component_id) of every document; columns beside the key and the text are not read."""
     measured = written(measured_sets(docs, k, key, text), "shingle_sets")
-    links = link_classes(docs, measured, k, percent, key, text)
-    roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    roots = connected(docs, measured, k, percent, key, text)
     rows = measured.where("chunk IS NULL").select("doc_id", "set_id", "n_shingles")
     classes = rows.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("least"))
-    classes = classes.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
+    if roots is None:
+        classes = classes.withColumn("root", F.col("set_id"))
+    else:
+        classes = classes.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     least = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     named = classes.join(least, "root").select("set_id", "component_id")
     whole = rows.where("n_shingles > 0").join(named, "set_id").select("doc_id", "set_id", "n_shingles", "component_id")
@@ -341,16 +379,17 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, key: str
 
 
 def one_of_each(docs: DataFrame, k: int = 4, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` less near-duplicates: of each component the row with the smallest key stays.
+    """The rows of ``docs`` less near-duplicates: of each component the row with the smallest key stays, of several with that
+    key one of them; a null key comes last.  Documents without words belong to no component and all stay.
 
-    Rows are told apart by their place, so ``docs`` should be a table read from
-    files.  Documents without words belong to no component and all stay."""
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.monotonically_increasing_id().alias("_place"))
+    Every row gets a number and is written with it once, as keys may be null or repeat.  Of the rows only those that a
+    filter of the others' numbers marks are joined, so texts that stay aren't shuffled."""
+    numbered = docs.select(F.struct(*docs.columns).alias("_row"), F.monotonically_increasing_id().alias("_place"))
+    rows = written(numbered.select("_row", "_place"), "numbered")
     placed = rows.select("_place", F.col(f"_row.{key}").alias("_key"), F.col(f"_row.{text}").alias("_text"))
-    member = written(jaccard_components(placed, k, percent, "_place", "_text").where("n_shingles > 0").select(F.col("doc_id").alias("_place"), "component_id"), "near_duplicates")
-    several = member.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("component_id")
-    grouped = written(member.join(several, "component_id").join(placed.select("_place", "_key"), "_place"), "near_duplicate_groups")
+    member = jaccard_components(placed, k, percent, "_place", "_text").where("n_shingles > 0").select(F.col("doc_id").alias("_place"), "component_id")
+    member = written(member.join(placed.select("_place", "_key"), "_place"), "near_duplicates")
     order = F.struct(F.col("_key").isNull(), "_key", "_place")
-    first = grouped.groupBy("component_id").agg(F.min(order).getField("_place").alias("_place")).select("_place")
-    extra = grouped.select("_place").join(first, "_place", "left_anti")
-    return rows.join(extra, "_place", "left_anti").select("_row.*")
+    first = member.groupBy("component_id").agg(F.min(order).getField("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    extra = member.join(first.where("_n > 1"), "component_id").where("_place <> _first").select("_place")
+    return without(rows, "_place", written(extra, "near_duplicates_extra")).select("_row.*")

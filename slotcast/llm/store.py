@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotcast.session import scratch_path
+from slotcast.session import delete, scratch_path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -16,6 +16,27 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Intermediate tables by name.  A table that is put again replaces the one before, which is deleted once the new one is
+    written; ``free`` deletes tables that nothing reads any more."""
+
+    def __init__(self) -> None:
+        self.at: dict[str, tuple] = {}
+
+    def put(self, df: DataFrame, name: str) -> DataFrame:
+        spark = df.sparkSession
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        self.free(name)
+        self.at[name] = (spark, path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    def free(self, *names: str) -> None:
+        for name in names:
+            if name in self.at:
+                delete(*self.at.pop(name))
+
+
 def text_crc32(text: Column) -> Column:
     """Unsigned crc32 of the UTF-8 bytes; a null text counts as empty."""
     return F.crc32(F.encode(F.coalesce(text, F.lit("")), "UTF-8"))

@@ -303,12 +303,71 @@ def test_jaccard_join_is_exact_with_and_without_recursion(spark, monkeypatch, le
     """With tiny leaves and pivot counts the Voronoi recursion does the work."""
     monkeypatch.setattr(jaccard, "LEAF", leaf)
     monkeypatch.setattr(jaccard, "PIVOTS", 2)
-    monkeypatch.setattr(jaccard, "MINOR", leaf)
+    monkeypatch.setattr(jaccard, "GROWTH", 2)
     monkeypatch.setattr(jaccard, "COUNT_BITS", 15)  # a poor order of the pivots, so regions are larger
     docs = spark.createDataFrame(near_copies(100, leaf), "doc_id long, text string")
     check_join(jaccard.jaccard_components(docs), rows_of(docs))
 
 
+def crowd(groups, copies, words, changes, seed=7):
+    """Texts of some groups, all with one passage of words that stand nowhere else; copies with few changes, so that most don't link."""
+    rng = random.Random(seed)
+    mark = "rare passage that all of them share"
+    rows = []
+    for g in range(groups):
+        base = [f"g{g}w{i}" for i in range(words)]
+        for _ in range(copies):
+            text = list(base)
+            for i in rng.sample(range(words), rng.choice(changes)):
+                text[i] = f"x{rng.random()}"
+            rows.append(" ".join([mark, *text]))
+    return list(enumerate(rows))
+
+
+def test_jaccard_join_draws_pivots_by_default(spark):
+    """Copies with two changes each of a text that isn't there: crowded regions without links, which take several rounds."""
+    rows = crowd(2, 30, 140, [2]) + [(1000 + i, t) for i, t in crowd(2, 10, 70, [0, 1, 1, 2], 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    measured = jaccard.written(jaccard.measured_sets(docs, 4, "doc_id", "text"), "sets")
+    trace = []
+    jaccard.connected(docs, measured, 4, 85, "doc_id", "text", trace)
+    assert len(trace) > 2 and all(t["pivots"] >= t["regions"] for t in trace) and any(t["large"] for t in trace)
+    check_join(jaccard.jaccard_components(docs), rows_of(docs))
+
+
+def test_voronoi_regions_keep_every_near_pair(spark):
+    """Points of a line and a cluster: regions of the nearest pivots with boundary points; a cluster that would be copied to all stays whole."""
+    rng = random.Random(1)
+    at = {(1, i): i / 60 for i in range(60)} | {(2, 100 + i): 0.5 + rng.random() / 100 for i in range(20)}
+    pivots = {1: [5, 20, 35, 50], 2: [100, 101, 102]}
+    star = [(g, p, pivots[g].index(p), i) for (g, i) in at for p in pivots[g] if i not in pivots[g]]
+    known = [(p, i, abs(at[g, p] - at[g, i])) for g, p, _, i in star]
+    cells = jaccard.voronoi(spark.createDataFrame(star, "region long, a long, place_a long, b long"), spark.createDataFrame(known, "a long, b long, d double"), 0.02).collect()
+    of = collections.defaultdict(dict)
+    for c in cells:
+        of[c.cell][c.set_id] = c.near
+    assert {c for c in of if 100 < min(of[c])} == {2} and len(of[2]) == 17  # the whole cluster
+    line = [c for c in of if min(of[c]) < 100]
+    assert len(line) == 4 and max(len(of[c]) for c in line) < 20 and sum(len(of[c]) for c in line) > 56  # some stand in two
+    rest = [i for g, i in at if g == 1 and i not in pivots[1]]
+    for x in rest:
+        for y in rest:
+            if abs(at[1, x] - at[1, y]) <= 0.02:
+                assert any(x in of[c] and y in of[c] and abs(of[c][x] - of[c][y]) <= 0.02 + 1e-9 for c in line)
+
+
+def test_jaccard_pairs_grow_with_a_group_of_copies(spark):
+    """Copies with up to two changes are one component by a pivot or two, not by all their pairs."""
+    pairs = []
+    for n in (100, 400):
+        docs = spark.createDataFrame(crowd(1, n, 140, [0, 1, 1, 2, 3]), "doc_id long, text string")
+        measured = jaccard.written(jaccard.measured_sets(docs, 4, "doc_id", "text"), "sets")
+        trace = []
+        jaccard.connected(docs, measured, 4, 85, "doc_id", "text", trace)
+        pairs.append(sum(t["pairs"] for t in trace))
+    assert pairs[0] < 300 and pairs[1] < 1200
+
+
 def test_one_of_each(spark):
     docs = edge_docs(spark)
     left = jaccard.one_of_each(docs)
