@@ -21,11 +21,10 @@ from slotcast.operators.series import regular_series
 from slotcast.plans import evaluate as EV
 from slotcast.plans import promote as PM
 from slotcast.plans import training as TR
-from slotcast.plans.fit import fit_forecaster
+from slotcast.plans.fit import fit_forecaster, fit_sums
 from slotcast.plans.scoring import LinearModel, response_json, serve
 from slotcast.session import scratch_path, store_path, table_ready
 from slotcast.sinks import reports as RP
-from slotcast.sinks.tables import WINDOWS_TABLE, read_table
 from slotcast.sources import feed, store
 
 SERIES_BASE = with_(READINGS, RESAMPLED, SERIES)
@@ -248,15 +247,40 @@ def gate_retrain(spark, sf_dir):
 
 @query("ml_fit_forecaster")
 def ml_fit_forecaster(spark, sf_dir):
-    """Fit on the written training windows (the table cuts the lineage; the
-    288-wide windows are read, never cached)."""
-    from slotcast.catalog.q_windows import windows_store
-
-    windows = TR.split(windows_store(spark, sf_dir))
-    results, _ = fit_forecaster(spark, windows)
+    """Fit from the second moments of the newest 70 % of the rows' windows; no window is built."""
+    results, _ = fit_forecaster(spark, TR.indexed_rows(feed.readings(spark, sf_dir)))
     return results
 
 
+_LAG_SQL = f"""
+w AS (
+  SELECT sensor_id, idx - floor(CAST(n_total AS DOUBLE) * (CAST(1.0 AS DOUBLE) - CAST(0.7 AS DOUBLE))) AS i,
+         n_total - floor(CAST(n_total AS DOUBLE) * (CAST(1.0 AS DOUBLE) - CAST(0.7 AS DOUBLE))) - {C.N_STEPS} AS n_windows,
+         CAST(car_count AS DOUBLE) / {D100} AS car, CAST(hour(ts) AS DOUBLE) / CAST(24.0 AS DOUBLE) AS hour
+  FROM tail),
+s AS (
+  SELECT *, CASE WHEN i >= floor(n_windows * CAST(0.8 AS DOUBLE)) AND i < floor(n_windows * CAST(0.9 AS DOUBLE)) THEN 'valid' ELSE 'train' END AS part
+  FROM w WHERE i < n_windows)
+SELECT part, CAST(lag AS INTEGER) AS lag, count(*) AS n_windows,
+       {q4('sum(s.car * w.car)')} AS car_car, {q4('sum(s.car * w.hour)')} AS car_hour,
+       {q4('sum(s.hour * w.car)')} AS hour_car, {q4('sum(s.hour * w.hour)')} AS hour_hour,
+       {q4('sum(w.car)')} AS car, {q4('sum(w.hour)')} AS hour
+FROM s CROSS JOIN range({C.N_STEPS} + 1) AS r(lag) JOIN w ON w.sensor_id = s.sensor_id AND w.i = s.i + lag
+GROUP BY 1, 2
+"""
+
+
+@query("ml_fit_statistics", with_(READINGS, INDEXED, TAIL) + "," + _LAG_SQL)
+def ml_fit_statistics(spark, sf_dir):
+    """What the fit starts from: products at every lag, summed over the window starts of each part of the split."""
+    sums = fit_sums(TR.indexed_rows(feed.readings(spark, sf_dir))).where(F.col("kind") == "lag")
+    p = lambda left, right: q4c(F.get("products", F.lit(left * 3 + right)))  # noqa: E731  of count, hour and 1
+    return sums.select(
+        "part", F.col("place").alias("lag"), F.get("products", F.lit(8)).cast("long").alias("n_windows"),
+        p(0, 0).alias("car_car"), p(0, 1).alias("car_hour"), p(1, 0).alias("hour_car"), p(1, 1).alias("hour_hour"), p(2, 0).alias("car"), p(2, 1).alias("hour"),
+    )
+
+
 FIT_CUT = "2024-01-22"  # the model is fitted on readings before this day and evaluated on those from it on
 
 
@@ -266,9 +290,7 @@ def ml_evaluate_fitted(spark, sf_dir):
     cut = F.lit(FIT_CUT).cast("date")
     readings = store.read_readings(spark, sf_dir)
     past = readings.where(F.col("date") < cut)
-    path = scratch_path(spark, "fit_windows")
-    TR.write_windows(TR.training_set(past, tensors=True), path)
-    _, model = fit_forecaster(spark, TR.split(read_table(spark, path, WINDOWS_TABLE)))
+    _, model = fit_forecaster(spark, TR.indexed_rows(past))
     mean = past.agg(F.avg(F.col("car_count").cast("double"))).first()[0]
     models = [
         replace(model, name="fitted"),

@@ -29,6 +29,11 @@ def bucket_index(ts_col: str = "bucket", step_seconds: int = 300) -> Column:
     return (F.unix_timestamp(F.col(ts_col)) / F.lit(step_seconds)).cast("long")
 
 
+def chunked(df: DataFrame, n: int, lead: int, idx: str, chunk_rows: int) -> DataFrame:
+    """Rows with their ``home`` chunk, copied into the ``chunk`` numbers that need them."""
+    return _chunked(df, n, lead, idx, chunk_rows).withColumnsRenamed({"_home": "home", "_chunk": "chunk"})
+
+
 def _chunked(df: DataFrame, n: int, lead: int, idx: str, chunk_rows: int) -> DataFrame:
     if chunk_rows < max(n - 1, lead, 1):
         raise ValueError("chunk_rows must be at least max(n - 1, lead)")
