@@ -9,7 +9,7 @@ from slotcast.catalog.sqlparts import PREDICTIONS, READINGS, RESAMPLED, SERIES,
 from slotcast.functions.timecols import fmt_date, fmt_day_first, fmt_seconds, fmt_text
 from slotcast.session import scratch_path
 from slotcast.sinks import exports as X
-from slotcast.sinks.tables import PREDICTIONS_TABLE, READINGS_TABLE, read_table, upsert_predictions, upsert_readings
+from slotcast.sinks.tables import PREDICTIONS_TABLE, READINGS_TABLE, predictions_deltas, read_table, readings_deltas
 from slotcast.sources import feed, store
 from slotcast.sources.payloads import parse_payloads, parse_reading
 from slotcast.streaming import ingest as IG
@@ -80,11 +80,12 @@ def src_payload_json_csv(spark, sf_dir):
     return p.select("payload_id", "content_type", "sensor_id", fmt_text("ts").alias("ts"), "car_count", "error")
 
 
-def _upsert_two_batches(spark, table, df, ts, fn):
+def _two_writes(table, df):
+    """Two batches that overlap by a day."""
     lo, hi = F.lit(SPLIT_LO).cast("timestamp_ntz"), F.lit(SPLIT_HI).cast("timestamp_ntz")
-    fn(spark, table, df.where(F.col(ts) < hi), 0)
-    fn(spark, table, df.where(F.col(ts) >= lo), 1)
-    return spark.read.parquet(table)
+    for seq, part in enumerate((F.col(table.ts) < hi, F.col(table.ts) >= lo)):
+        table.write(df.where(part), seq)
+    return table.read()
 
 
 @query(
@@ -96,7 +97,7 @@ SELECT sensor_id, {ts_text('ts')} AS ts, CAST(car_count AS DOUBLE) AS car_count,
 """,
 )
 def sink_upsert_readings(spark, sf_dir):
-    t = _upsert_two_batches(spark, scratch_path(spark, "readings"), feed.readings(spark, sf_dir), "ts", upsert_readings)
+    t = _two_writes(readings_deltas(spark, scratch_path(spark, "readings")), feed.readings(spark, sf_dir))
     return t.select(
         "sensor_id", fmt_text("ts").alias("ts"), F.col("car_count").cast("double"), "ingest_seq",
         F.array_join("free_spots", ",").alias("free_spots"),
@@ -113,7 +114,7 @@ SELECT sensor_id, {sec_text('timestamp')} AS timestamp, prediction, {sec_text('p
 )
 def sink_upsert_predictions(spark, sf_dir):
     p = store.read_predictions(spark, sf_dir).drop("date")
-    t = _upsert_two_batches(spark, scratch_path(spark, "predictions"), p, "timestamp", upsert_predictions)
+    t = _two_writes(predictions_deltas(spark, scratch_path(spark, "predictions")), p)
     return t.select(
         "sensor_id", fmt_seconds("timestamp").alias("timestamp"), "prediction",
         fmt_seconds("prediction_for").alias("prediction_for"), fmt_seconds("created_at").alias("created_at"),
@@ -203,7 +204,11 @@ def stream_score_latest(spark, sf_dir):
 
 @query(
     "stream_resample",
-    with_(READINGS, RESAMPLED) + f"\nSELECT sensor_id, {sec_text('bucket')} AS bucket, car_count, n FROM resampled\n",
+    with_(READINGS, SECOND_DEDUP)
+    + f"""
+SELECT sensor_id, {sec_text("time_bucket(INTERVAL '5 minutes', ts)")} AS bucket, CAST(SUM(car_count) AS DOUBLE) / COUNT(car_count) AS car_count,
+       COUNT(car_count) AS n FROM dedup GROUP BY 1, 2
+""",
 )
 def stream_resample(spark, sf_dir):
     changes, ckpt = scratch_path(spark, "resample_changes"), scratch_path(spark, "ckpt")
@@ -212,6 +217,30 @@ def stream_resample(spark, sf_dir):
     return v.select("sensor_id", fmt_seconds("bucket").alias("bucket"), "car_count", "n")
 
 
+CORRECTED = "hour(ts) = 9"  # readings of these hours are sent again later, with one more on the count
+
+
+@query(
+    "stream_resample_corrected",
+    with_(READINGS, SECOND_DEDUP)
+    + f"""
+SELECT sensor_id, {sec_text("time_bucket(INTERVAL '5 minutes', ts)")} AS bucket,
+       CAST(SUM(car_count + CASE WHEN {CORRECTED} THEN 1 ELSE 0 END) AS DOUBLE) / COUNT(car_count) AS car_count, COUNT(car_count) AS n
+FROM dedup GROUP BY 1, 2
+""",
+)
+def stream_resample_corrected(spark, sf_dir):
+    """Readings that are sent again with another count replace the first ones in their buckets."""
+    changes, ckpt, landing = (scratch_path(spark, k) for k in ("resample_changes", "ckpt", "landing"))
+    r = feed.readings(spark, sf_dir)
+    again = r.where(CORRECTED).withColumn("car_count", (F.col("car_count") + 1).cast(r.schema["car_count"].dataType))
+    for part in (r, again):
+        IG.write_landing(IG.envelopes(part), landing)
+        RS.run_resample(spark, landing, changes, ckpt)
+    v = RS.resampled_view(spark, changes)
+    return v.select("sensor_id", fmt_seconds("bucket").alias("bucket"), "car_count", "n")
+
+
 @query(
     "stream_late_rows",
     with_(READINGS, SECOND_DEDUP)
@@ -223,16 +252,35 @@ SELECT sensor_id, {date_text('ts')} AS date, CAST(car_count AS DOUBLE) AS car_co
 def stream_late_rows(spark, sf_dir):
     """Mornings arrive first and every day is exported; afternoons arrive
     late, re-open every exported day, and the days are exported again."""
+    exports, _ = _late(spark, sf_dir)
+    back = X.read_csv_or_empty(spark, exports, X.ACTUALS_SCHEMA)
+    return back.select("sensor_id", fmt_date("date").alias("date"), F.col("car_count").cast("double"), "timestamp")
+
+
+def _late(spark, sf_dir):
+    """One handler with all sinks over two arrivals: places of the exports and the master."""
     morning = F.hour("ts") < 12
-    table, exports, log = (scratch_path(spark, k) for k in ("readings", "exports", "exported"))
-    ckpt = scratch_path(spark, "ckpt")
-    handler = LT.LateAwareIngest(table, exports, log)
-    landing = scratch_path(spark, "landing")
+    table, exports, log, master, preds, ckpt, landing = (scratch_path(spark, k) for k in ("readings", "exports", "exported", "master", "predictions", "ckpt", "landing"))
+    handler = LT.LateAwareIngest(table, exports, log, master, preds)
     r = feed.readings(spark, sf_dir)
     IG.write_landing(IG.envelopes(r.where(morning)), landing)
     IG.run_ingest(spark, landing, ckpt, handler)
     handler.export_all(spark)
     IG.write_landing(IG.envelopes(r.where(~morning)), landing)
     IG.run_ingest(spark, landing, ckpt, handler)
-    back = X.read_csv_or_empty(spark, exports, X.ACTUALS_SCHEMA)
+    return exports, master
+
+
+@query(
+    "stream_master_history",
+    with_(READINGS, SECOND_DEDUP)
+    + f"""
+SELECT sensor_id, {date_text('ts')} AS date, CAST(car_count AS DOUBLE) AS car_count,
+       strftime(ts, '%d/%m/%Y %H:%M:%S') AS timestamp FROM dedup
+""",
+)
+def stream_master_history(spark, sf_dir):
+    """The master history that the same stream keeps: late rows are in it."""
+    _, master = _late(spark, sf_dir)
+    back = X.read_csv_or_empty(spark, master, X.MASTER_SCHEMA)
     return back.select("sensor_id", fmt_date("date").alias("date"), F.col("car_count").cast("double"), "timestamp")

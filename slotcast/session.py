@@ -71,12 +71,29 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder."""
+    fs, jpath = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(jpath)]
+
+
+def bytes_under(spark: SparkSession, path: str) -> int:
+    fs, jpath = _fs(spark, path)
+    return int(fs.getContentSummary(jpath).getLength())
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a folder of ours, for intermediates that nothing reads any more."""
     fs, jpath = _fs(spark, path)
     fs.delete(jpath, True)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, as a mark."""
+    fs, jpath = _fs(spark, path)
+    fs.create(jpath, True).close()
+
+
 def table_ready(spark: SparkSession, path: str) -> bool:
     """True when a committed write (``_SUCCESS`` marker) sits at ``path``."""
     return path_exists(spark, path.rstrip("/") + "/_SUCCESS")

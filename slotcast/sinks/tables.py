@@ -1,5 +1,9 @@
 """Upsert into date-partitioned Parquet tables (no table format needed).
 
+Streams and repeated writes use the run tables of ``sinks.deltas`` (``readings_deltas``, ``predictions_deltas``),
+whose writes cost what the batch costs.  ``upsert`` below is for a plain Parquet folder that other tools read as it
+is: it rewrites the touched dates.
+
 ``upsert`` reads only the date partitions the batch touches, keeps the last
 row per key, writes the merged partitions to a staging folder and then
 replaces exactly those partitions (dynamic partition overwrite), so a plan
@@ -19,6 +23,7 @@ from slotcast import config as C
 from slotcast import session as SS
 from slotcast.operators.dedup import keep_last
 from slotcast.operators.edges import sensor_dates
+from slotcast.sinks.deltas import DeltaTable
 
 
 def upsert(
@@ -84,14 +89,55 @@ def upsert_predictions(spark: SparkSession, table: str, batch: DataFrame, write_
 
 
 READINGS_TABLE = f"sensor_id string, ts timestamp_ntz, car_count {C.COUNT_TYPE}, free_spots array<int>, ingest_seq bigint, write_seq bigint, date date"
-DATES_TABLE = "sensor_id string, n bigint, first_bucket timestamp_ntz, last_bucket timestamp_ntz, date date"
+DATES_TABLE = "sensor_id string, n bigint, first_bucket timestamp_ntz, last_bucket timestamp_ntz, write_seq bigint, date date"
 PREDICTIONS_TABLE = "sensor_id string, timestamp timestamp_ntz, prediction int, prediction_for timestamp_ntz, created_at timestamp_ntz, write_seq bigint, date date"
 WINDOWS_TABLE = "window_idx bigint, n_windows bigint, x array<double>, label double, sensor_id string"
 
 
+def readings_deltas(spark: SparkSession, path: str) -> DeltaTable:
+    """Readings by (sensor_id, ts); the latest write wins, within a write the latest ingest."""
+    return DeltaTable(spark, path, READINGS_TABLE, ["sensor_id", "ts"], ["ingest_seq"], "ts")
+
+
+def predictions_deltas(spark: SparkSession, path: str) -> DeltaTable:
+    """Forecasts by (sensor_id, timestamp); the latest write wins, within a write the latest ``created_at``."""
+    return DeltaTable(spark, path, PREDICTIONS_TABLE, ["sensor_id", "timestamp"], ["created_at"], "timestamp")
+
+
+def dates_deltas(spark: SparkSession, table: str) -> DeltaTable:
+    """The table of each sensor's dates beside a readings table."""
+    return DeltaTable(spark, dates_path(table), DATES_TABLE, ["sensor_id", "date"], [], "date")
+
+
+def write_readings(spark: SparkSession, path: str, batch: DataFrame, write_seq: int | None = None) -> int | None:
+    """Add a batch to the readings at ``path`` and to the table of dates beside it, whose counts of the touched (sensor, date)
+    pairs are taken from the merged readings."""
+    table = readings_deltas(spark, path)
+    seq = table.write(batch, write_seq)
+    if seq is not None:
+        touched = touched_pairs(table, seq)
+        days = [r["date"] for r in touched.select("date").distinct().collect()]  # a calendar, so bounded
+        rows = table.read().where(F.col("date").isin([F.lit(d) for d in days])).join(touched, ["sensor_id", "date"], "left_semi")
+        dates_deltas(spark, path).write(sensor_dates(rows), seq)
+    return seq
+
+
+def touched_pairs(table: DeltaTable, write_seq: int) -> DataFrame:
+    """(sensor_id, date) that a write holds; its run must not be folded yet."""
+    own = [r for r in table.runs() if (r.first, r.last) == (write_seq, write_seq)]
+    return table.merged(own).select("sensor_id", "date").distinct()
+
+
+def fold_readings(spark: SparkSession, path: str) -> None:
+    readings_deltas(spark, path).fold()
+    dates_deltas(spark, path).fold()
+
+
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Read one of our tables with its schema (an empty table has no files
+    """Read one of our tables, plain or of runs, with its schema (an empty table has no files
     to infer a schema from)."""
     if not SS.path_exists(spark, path):
         return spark.createDataFrame([], schema)
+    if any(name.startswith("run-") for name in SS.listed(spark, path)):
+        return {READINGS_TABLE: readings_deltas, PREDICTIONS_TABLE: predictions_deltas}[schema](spark, path).read()
     return spark.read.schema(schema).parquet(path)

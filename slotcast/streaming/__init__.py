@@ -1,2 +1,2 @@
-"""Structured Streaming: reading ingest (upsert + scoring per micro-batch),
-a watermarked 5-minute resample, and late rows re-opening exported days."""
+"""Structured Streaming: one ingest handler with a ledger, and its sinks: scoring, exports of reopened
+days, the master history, and a 5-minute resample with retractions."""

@@ -1,11 +1,11 @@
-"""Streaming 5-minute resample that loses no late reading.
+"""Streaming 5-minute resample that loses no late reading and counts a corrected one once.
 
-A mean per bucket is a sum and a count, and both add up: every micro-batch writes
-the partial sums of the buckets it has readings for, into a change log partitioned
+A mean per bucket is a sum and a count, and both add up.  The readings are kept by (sensor, time), and every
+micro-batch gives what it changed there: the new row of a key, and the old one, if there was one, taken back
+(``sinks.deltas.changes``).  The signed sums per bucket go into a change log partitioned
 by batch id (a replayed batch overwrites its folder), and the table is the sum
-over the log.  A reading that arrives at any later time therefore enters its
-bucket by its event time, with no state kept and no watermark to drop it.
-``compact`` folds finished batches into one."""
+over the log.  So a reading enters its bucket by its event time however late it arrives, a reading that is sent again
+replaces the one before, and no watermark drops any.  ``compact`` folds finished batches into one."""
 
 from __future__ import annotations
 
@@ -15,23 +15,34 @@ from pyspark.sql import functions as F
 from slotcast import config as C
 from slotcast import session as SS
 from slotcast.functions.timecols import bucket_start
-from slotcast.sources.payloads import parse_reading
-from slotcast.streaming.ingest import run_ingest
+from slotcast.streaming.ingest import Ingest, run_ingest
 
 CHANGES = f"sensor_id string, bucket timestamp_ntz, sum_count {C.COUNT_TYPE.replace('28', '38')}, n bigint, batch_id bigint"
 
 
-def partial_sums(envelopes: DataFrame) -> DataFrame:
-    """Sum and count of the valid readings per (sensor, bucket)."""
-    r = parse_reading(envelopes).where("valid")
-    return r.groupBy("sensor_id", bucket_start("ts").alias("bucket")).agg(F.sum("car_count").alias("sum_count"), F.count("car_count").alias("n"))
+def signed_sums(changed: DataFrame) -> DataFrame:
+    """Sum and count per (sensor, bucket) of added less retracted readings; buckets in which nothing changed are left out."""
+    sums = changed.groupBy("sensor_id", bucket_start("ts").alias("bucket")).agg(
+        F.sum(F.when(F.col("sign") > 0, F.col("car_count")).otherwise(-F.col("car_count"))).alias("sum_count"), F.sum("sign").alias("n")
+    )
+    return sums.where("n <> 0 OR sum_count <> 0")
 
 
-def run_resample(spark: SparkSession, landing: str, changes: str, checkpoint: str, max_files: int | None = None) -> None:
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        partial_sums(batch).write.mode("overwrite").parquet(f"{changes}/batch_id={batch_id}")
+class Changes:
+    """Sink of the ingest that keeps the change log."""
+
+    takes_changes = True
+
+    def __init__(self, root: str):
+        self.root = root
 
-    run_ingest(spark, landing, checkpoint, sink, max_files)
+    def __call__(self, spark: SparkSession, changed: DataFrame, batch_id: int) -> None:
+        signed_sums(changed).write.mode("overwrite").parquet(f"{self.root}/batch_id={batch_id}")
+
+
+def run_resample(spark: SparkSession, landing: str, changes: str, checkpoint: str, max_files: int | None = None) -> None:
+    """The stream with the log as its sink; the readings lie beside it."""
+    run_ingest(spark, landing, checkpoint, Ingest(changes.rstrip("/") + "_readings", {"resample": Changes(changes)}), max_files)
 
 
 def compact(spark: SparkSession, changes: str, upto: int, target: str) -> None:
@@ -50,4 +61,4 @@ def read_changes(spark: SparkSession, changes: str) -> DataFrame:
 def resampled_view(spark: SparkSession, changes: str) -> DataFrame:
     """The mean of every (sensor, bucket) over all batches so far."""
     log = read_changes(spark, changes).groupBy("sensor_id", "bucket").agg(F.sum("sum_count").alias("sum_count"), F.sum("n").alias("n"))
-    return log.select("sensor_id", "bucket", (F.col("sum_count").cast("double") / F.col("n")).alias("car_count"), "n")
+    return log.where("n > 0").select("sensor_id", "bucket", (F.col("sum_count").cast("double") / F.col("n")).alias("car_count"), "n")
