@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotcast.llm import textops as T
-from slotcast.llm.bitmaps import bitmap, in_bitmap
+from slotcast.llm.bitmaps import bitmap, in_bitmap, without
 from slotcast.llm.store import written
 
 #: Places of a window that a mask reads.
@@ -177,8 +177,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **columns) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **columns) -> DataFrame:
-    """The rows of ``docs`` whose text overlaps no benchmark item, all columns kept."""
+    """The rows of ``docs`` whose text overlaps no benchmark item, all columns kept.
+
+    Only rows that a filter of the contaminated texts' hashes marks are joined; ``docs`` is read again for it and should be
+    a table in files."""
     found, _ = overlaps(docs, benchmark, **columns)
     text = columns.get("text", "text")
     rows = docs.select(F.struct(*docs.columns).alias("_row"), F.xxhash64(text).alias("text_hash"))
-    return rows.join(found.select("text_hash").distinct(), "text_hash", "left_anti").select("_row.*")
+    return without(rows, "text_hash", found.select("text_hash").distinct()).select("_row.*")
