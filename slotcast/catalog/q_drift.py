@@ -22,6 +22,8 @@ from slotcast.functions.timecols import fmt_date, slot_of_day
 from slotcast.operators import profile as PR
 from slotcast.operators.series import interpolate_time, resample_mean
 from slotcast.plans import drift as D
+from slotcast.session import scratch_path
+from slotcast.sinks import exports as X
 from slotcast.sinks import reports
 from slotcast.sources import store
 
@@ -184,7 +186,8 @@ def agg_mse(spark, sf_dir):
 
 def _check(spark, sf_dir, as_of=AS_OF):
     sensors = store.readings_dates(spark, sf_dir)  # every sensor, also those without rows in the look-back
-    return D.check_drift(_actuals(spark, sf_dir), _forecasts(spark, sf_dir), as_of, THRESHOLD, check_timestamp=CHECK_TS, sensors=sensors)
+    actuals, forecasts = store.actuals_export(spark, sf_dir), store.predictions_export(spark, sf_dir)
+    return D.check_exports(spark, actuals, forecasts, sensors, as_of, THRESHOLD, check_timestamp=CHECK_TS)
 
 
 @query(
@@ -215,6 +218,55 @@ def drift_day_status(spark, sf_dir):
     return st.select("sensor_id", fmt_date("date").alias("date"), q4c("mae").alias("mae"), "status")
 
 
+# damaged exports: one sensor's day without a readable count, one without any line, one with some lines cut short
+UNREADABLE, ABSENT, CUT = ("click", "2024-01-27"), ("error", "2024-01-26"), ("view", "2024-01-28")
+
+
+def _day(at: tuple[str, str], date: str) -> str:
+    return f"(sensor_id = '{at[0]}' AND CAST({date} AS DATE) = DATE '{at[1]}')"
+
+
+_DAMAGED_SQL = (
+    BASE
+    + f""",
+lines AS (SELECT * FROM readings WHERE NOT {_day(ABSENT, 'ts')}),
+usable AS (SELECT * FROM lines WHERE NOT {_day(UNREADABLE, 'ts')} AND NOT ({_day(CUT, 'ts')} AND ingest_seq % 3 = 0)),"""
+    + day_profile_sql("usable", "pa", "ts", "car_count")
+    + ","
+    + day_profile_sql("predictions", "pp", "prediction_for", "prediction")
+    + f""",
+errs AS (SELECT a.sensor_id, a.date, avg(abs(a.car_count - p.prediction)) AS mae
+         FROM pa a JOIN pp p ON a.sensor_id = p.sensor_id AND a.date = p.date AND a.slot = p.slot GROUP BY 1, 2),
+grid AS (SELECT s.sensor_id, CAST(d AS DATE) AS date FROM (SELECT DISTINCT sensor_id FROM readings) s,
+         generate_series(DATE '{PAIRS_AS_OF}' - INTERVAL 7 DAY, DATE '{PAIRS_AS_OF}' - INTERVAL 1 DAY, INTERVAL 1 DAY) g(d)),
+n AS (SELECT sensor_id, CAST(ts AS DATE) AS date, count(*) AS n FROM lines GROUP BY 1, 2),
+u AS (SELECT sensor_id, CAST(ts AS DATE) AS date, count(*) AS n FROM usable GROUP BY 1, 2),
+f AS (SELECT sensor_id, CAST(prediction_for AS DATE) AS date, count(*) AS n FROM predictions GROUP BY 1, 2)
+SELECT sensor_id, {date_text('date')} AS date, coalesce(n.n, 0) AS n_lines,
+       CASE WHEN n.n IS NULL OR f.n IS NULL OR u.n IS NULL THEN NULL ELSE {q4('mae')} END AS mae,
+       CASE WHEN n.n IS NULL OR f.n IS NULL THEN 'MISSING_DATA' WHEN u.n IS NULL THEN 'ERROR' WHEN mae > {THRESHOLD} THEN 'DRIFT' ELSE 'OK' END AS status
+FROM grid LEFT JOIN n USING (sensor_id, date) LEFT JOIN u USING (sensor_id, date) LEFT JOIN f USING (sensor_id, date) LEFT JOIN errs USING (sensor_id, date)
+"""
+)
+
+
+@query("drift_damaged_exports", _DAMAGED_SQL)
+def drift_damaged_exports(spark, sf_dir):
+    """Days whose exports are absent, unreadable or damaged in part, beside whole ones: every outcome, and no failed job."""
+    lines = X.daily_lines(store.read_readings(spark, sf_dir).where(f"NOT {_day(ABSENT, 'ts')}"))
+    third = F.expr(f"{_day(CUT, 'date')}") & F.col("cut")
+    seq = store.read_readings(spark, sf_dir).select("sensor_id", F.col("ts").alias("_order"), (F.col("ingest_seq") % 3 == 0).alias("cut"))
+    lines = lines.join(seq, ["sensor_id", "_order"])
+    lines = lines.withColumns({
+        "car_count": F.when(F.expr(_day(UNREADABLE, "date")), F.lit("n/a")).otherwise(F.col("car_count")),
+        "timestamp": F.when(third, F.lit("31/02/2024 25:61")).otherwise(F.col("timestamp")),
+    }).select("car_count", "timestamp", "sensor_id", "date", "_order")
+    root = scratch_path(spark, "damaged_actuals")
+    X.write_lines(lines, root)
+    st, _ = D.check_exports(spark, root, store.predictions_export(spark, sf_dir), store.readings_dates(spark, sf_dir), PAIRS_AS_OF, THRESHOLD)
+    return st.select("sensor_id", fmt_date("date").alias("date"), F.col("n_actual").alias("n_lines"), q4c("mae").alias("mae"), "status")
+
+
 @query(
     "agg_drift_count",
     PAIRS + _status_sql(AS_OF) + "\nSELECT sensor_id, drift_count, drift_count >= 3 AS drift_detected FROM summ\n",
@@ -250,8 +302,6 @@ FROM st JOIN summ USING (sensor_id)
 """,
 )
 def sink_drift_report(spark, sf_dir):
-    from slotcast.session import scratch_path
-
     _, s = _check(spark, sf_dir)
     path = scratch_path(spark, "drift_report")
     reports.write_drift_report(s, path)

@@ -57,7 +57,11 @@ def day_profile(
 
     ``df`` must hold clean rows (parsed time, numeric value).  Returns
     ``keys + (date, slot, <value>)`` with 288 rows per (keys, date)."""
-    r = resample_mean(df, value, ts, keys)
+    return profile_of_buckets(resample_mean(df, value, ts, keys), value, keys)
+
+
+def profile_of_buckets(r: DataFrame, value: str = "car_count", keys: tuple[str, ...] = ("sensor_id",)) -> DataFrame:
+    """The day profiles of a resampled table (keys, date, bucket, value)."""
     within_day = interpolate_time(r, value, keys, across_days=False)
     per_slot = within_day.select(*keys, "date", slot_of_day("bucket").alias("slot"), F.col(value))
     cal = slot_calendar(per_slot, value, (*keys, "date"))

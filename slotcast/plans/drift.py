@@ -9,11 +9,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotcast import config as C
-from slotcast.operators.profile import day_profile
+from slotcast.functions.numeric import exact_mean
+from slotcast.functions.timecols import bucket_floor
+from slotcast.operators.profile import profile_of_buckets
+from slotcast.sources.day_files import read_actual_days, read_forecast_days
 
 
 def _d(x) -> dt.date:
@@ -128,16 +131,49 @@ def check_drift(
     in_window_p = predictions.where(
         F.col("date").between(F.lit(lo.isoformat()).cast("date"), F.lit(hi.isoformat()).cast("date"))
     )
-    counts_a = day_counts(in_window_a, "ts", "car_count")
-    counts_p = day_counts(in_window_p, "prediction_for", "prediction")
     if sensors is None:
         sensors = actuals.select("sensor_id").unionByName(predictions.select("sensor_id"))
-    grid = day_grid(sensors, d, days)
-    pairs = pair_days(grid, counts_a, counts_p)
-    clean_a = in_window_a.where(F.col("ts").isNotNull() & F.col("car_count").isNotNull())
-    clean_p = in_window_p.where(F.col("prediction_for").isNotNull() & F.col("prediction").isNotNull())
-    prof_a = day_profile(clean_a, "car_count", "ts")
-    prof_p = day_profile(clean_p, "prediction", "prediction_for")
-    errors = day_errors(slot_pairs(prof_a, prof_p))
-    statuses = day_status(pairs, errors, threshold)
+    return _checked(in_window_a, in_window_p, sensors, d, threshold, days, trigger_days, check_timestamp)
+
+
+def day_buckets(rows: DataFrame, value: str, ts: str) -> DataFrame:
+    """(sensor_id, date, bucket, mean, n_raw, n): one aggregate of which both the day's counts and its profile come; rows that
+    can't be used lie in a bucket of their own (null) of their date."""
+    ok = F.col(ts).isNotNull() & F.col(value).isNotNull()
+    bucket = bucket_floor(F.when(ok, F.col(ts)))
+    return rows.groupBy("sensor_id", "date", bucket.alias("bucket")).agg(
+        exact_mean(F.when(ok, F.col(value))).alias(value), F.count(F.lit(1)).alias("n_raw"), F.count_if(ok).alias("n")
+    )
+
+
+def _checked(actuals: DataFrame, predictions: DataFrame, sensors: DataFrame, as_of, threshold: float, days: int, trigger_days: int, check_timestamp):
+    """Statuses and summary of rows of the look-back; each side is read and aggregated once."""
+    sides = [day_buckets(actuals, "car_count", "ts"), day_buckets(predictions, "prediction", "prediction_for")]
+    counts = [x.groupBy("sensor_id", "date").agg(F.sum("n_raw").alias("n_raw"), F.sum("n").alias("n_clean")) for x in sides]
+    pairs = pair_days(day_grid(sensors, as_of, days), *counts)
+    profiles = [profile_of_buckets(x.where("n > 0"), v) for x, v in zip(sides, ("car_count", "prediction"), strict=True)]
+    statuses = day_status(pairs, day_errors(slot_pairs(*profiles)), threshold)
     return statuses, drift_summary(statuses, trigger_days, check_timestamp)
+
+
+def check_exports(
+    spark: SparkSession,
+    actuals_root: str,
+    predictions_root: str,
+    sensors: DataFrame,
+    as_of,
+    threshold: float = C.DRIFT_THRESHOLD_REFERENCE,
+    days: int = C.DRIFT_DAYS,
+    trigger_days: int = C.DRIFT_TRIGGER_DAYS,
+    check_timestamp=None,
+):
+    """The drift check from the exported days of both sides; only the folders of the look-back are read.
+
+    A sensor-day without lines is MISSING_DATA, one with lines none of which can be read is ERROR, and neither fails the job;
+    of other days the readable lines count.  ``sensors`` is a registry or the table of each sensor's dates.
+    Returns ``(statuses, summary)``."""
+    d = _d(as_of)
+    dates = [d - dt.timedelta(days=i) for i in range(1, days + 1)]
+    actual, forecast = read_actual_days(spark, actuals_root, dates), read_forecast_days(spark, predictions_root, dates)
+    readable = lambda rows, c: rows.withColumn(c, F.when(F.col("ok"), F.col(c)))
+    return _checked(readable(actual, "ts"), readable(forecast, "prediction_for"), sensors, d, threshold, days, trigger_days, check_timestamp)

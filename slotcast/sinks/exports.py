@@ -54,14 +54,23 @@ def write_daily_actuals(readings: DataFrame, path: str) -> None:
     """Per date: ``car_count, timestamp`` (dd/MM/yyyy HH:mm:ss) and the sensor,
     time-sorted, no dedup; the folders of the dates in ``readings`` are overwritten,
     so it must hold all sensors of a date."""
-    out = readings.select(
+    _write_csv(daily_lines(readings), path, "_order")
+
+
+def daily_lines(readings: DataFrame) -> DataFrame:
+    """The exported text columns, the date of their folder, and what orders the lines."""
+    return readings.select(
         count_text("car_count").alias("car_count"),
         fmt_day_first("ts").alias("timestamp"),
         "sensor_id",
         F.to_date("ts").alias("date"),
         F.col("ts").alias("_order"),
     )
-    _write_csv(out, path, "_order")
+
+
+def write_lines(lines: DataFrame, path: str) -> None:
+    """Write ``daily_lines`` as they are."""
+    _write_csv(lines, path, "_order")
 
 
 def write_daily_predictions(forecasts: DataFrame, path: str) -> None:
