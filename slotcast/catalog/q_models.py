@@ -11,15 +11,17 @@ from slotcast import config as C
 from slotcast.catalog.q_drift import _check
 from slotcast.catalog.q_windows import _DIGEST_COLS, _digest_out, _train_sql
 from slotcast.catalog.registry import query
-from slotcast.catalog.sqlparts import INDEXED, READINGS, RESAMPLED, SERIES, TAIL, q4, sec_text, with_
+from slotcast.catalog.sqlparts import INDEXED, READINGS, RESAMPLED, SERIES, TAIL, interp, q4, sec_text, with_
 from slotcast.functions.features import scale_fixed
 from slotcast.functions.numeric import q4 as q4c
-from slotcast.functions.timecols import fmt_seconds
+from slotcast.functions.timecols import fmt_day_first, fmt_seconds
 from slotcast.operators import sequences as Q
 from slotcast.operators.recent import last_buckets
-from slotcast.operators.series import regular_series
+from slotcast.operators.series import regular_series, resample_mean
+from slotcast.plans import bundle as BU
 from slotcast.plans import evaluate as EV
 from slotcast.plans import promote as PM
+from slotcast.plans import requests as RQ
 from slotcast.plans import training as TR
 from slotcast.plans.fit import fit_forecaster, fit_sums
 from slotcast.plans.scoring import LinearModel, response_json, serve
@@ -300,3 +302,119 @@ def ml_evaluate_fitted(spark, sf_dir):
     later = regular_series(readings.where(F.col("date") >= cut))
     m = EV.evaluate_series(later, models)
     return m.select("sensor_id", "model", q4c("mae").alias("mae"), q4c("mse").alias("mse"), "n_windows")
+
+
+# the newest buckets that a request carries, and those of one that carries too few
+REQUEST_STEPS, SHORT_STEPS = 2 * C.SLOTS_PER_DAY, 100
+
+_REQUEST_SQL = (
+    with_(READINGS, RESAMPLED)
+    + f""",
+newest AS (SELECT *, max(bucket) OVER (PARTITION BY sensor_id) AS last_b FROM resampled),
+long_r AS (SELECT sensor_id, bucket, CAST(CAST(car_count AS DECIMAL(28,10)) AS DOUBLE) AS car_count, n FROM newest
+           WHERE bucket > last_b - INTERVAL {REQUEST_STEPS * C.STEP_MINUTES} MINUTE),"""
+    + interp("long_r", "long_s")
+    + f""",
+short_n AS (SELECT sensor_id, count(*) AS n_records, CAST((epoch(max(bucket)) - epoch(min(bucket))) / 300 + 1 AS BIGINT) AS n_steps FROM newest
+            WHERE bucket > last_b - INTERVAL {SHORT_STEPS * C.STEP_MINUTES} MINUTE GROUP BY 1),
+lw AS (SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY bucket DESC) AS r FROM long_s),
+pick AS (SELECT sensor_id, CAST(round_even(greatest(0.0, car_count / {D100} * {D100}), 0) AS INTEGER) AS prediction
+         FROM lw WHERE r = {C.N_STEPS} - ({C.N_STEPS - 1} + {C.SERVE_HORIZON} - {C.SLOTS_PER_DAY})),
+size AS (SELECT sensor_id, least(count(*), {C.N_STEPS}) AS n_steps, max(bucket) AS last_b FROM long_s GROUP BY 1),
+recs AS (SELECT sensor_id, count(*) AS n_records FROM long_r GROUP BY 1),
+ok AS (
+  SELECT sensor_id, CASE WHEN n_steps = {C.N_STEPS} THEN 'OK' ELSE 'NOT_ENOUGH_DATA' END AS status, n_records, n_steps,
+         CASE WHEN n_steps = {C.N_STEPS} THEN '{{"predicted_car_count":' || prediction || ',"for_timestamp":"' ||
+              {sec_text(f"last_b + INTERVAL {C.SERVE_HORIZON * C.STEP_MINUTES} MINUTE")} || '"}}' END AS response
+  FROM size JOIN recs USING (sensor_id) LEFT JOIN pick USING (sensor_id))
+SELECT kind || '-' || sensor_id AS payload_id, status, n_records, n_steps, response FROM ok, (VALUES ('json'), ('csv')) k(kind)
+UNION ALL SELECT 'short-' || sensor_id, 'NOT_ENOUGH_DATA', n_records, n_steps, NULL FROM short_n
+UNION ALL SELECT 'garbled-' || sensor_id, 'EMPTY', 0, 0, NULL FROM recs
+UNION ALL SELECT 'other-' || sensor_id, 'NO_RECORDS', 0, 0, NULL FROM recs
+UNION ALL SELECT 'xml-' || sensor_id, 'UNSUPPORTED_TYPE', 0, 0, NULL FROM recs
+"""
+)
+
+
+def _requests(spark, sf_dir):
+    """Requests of every kind for each sensor, made of its newest buckets."""
+    r = resample_mean(feed.readings(spark, sf_dir))
+    last = r.groupBy("sensor_id").agg(F.max("bucket").alias("last_b"))
+    r = r.join(last, "sensor_id").withColumn("age", ((F.unix_timestamp("last_b") - F.unix_timestamp("bucket")) / C.STEP_SECONDS).cast("int"))
+    rows = F.sort_array(F.collect_list(F.struct("bucket", "car_count", "age")))  # of two days at most
+    s = r.where(F.col("age") < REQUEST_STEPS).groupBy("sensor_id").agg(rows.alias("rows"))
+    record = lambda x, count: F.struct(count.alias("car_count"), fmt_day_first(x["bucket"]).alias("timestamp"))
+    as_json = lambda of, count=lambda x: x["car_count"].cast("string"): F.to_json(F.transform(of, lambda x: record(x, count(x))))
+    lines = F.array_join(F.transform("rows", lambda x: F.concat(F.date_format(x["bucket"], "yyyy-MM-dd'T'HH:mm:ss"), F.lit(","), x["car_count"].cast("string"))), "\n")
+    kinds = {
+        "json": ("application/json", as_json("rows")),
+        "csv": ("text/csv", F.concat(F.lit("timestamp,car_count\n"), lines)),
+        "short": ("application/json", as_json(F.filter("rows", lambda x: x["age"] < SHORT_STEPS))),
+        "garbled": ("application/json", as_json("rows", lambda x: F.lit("many"))),
+        "other": ("text/csv", F.concat(F.lit("time,cars\n"), lines)),
+        "xml": ("application/xml", F.lit("<rows/>")),
+    }
+    entries = F.array(*(F.struct(F.concat(F.lit(f"{k}-"), "sensor_id").alias("payload_id"), F.lit(t).alias("content_type"), b.alias("body")) for k, (t, b) in kinds.items()))
+    return s.select(F.explode(entries).alias("p")).select("p.*")
+
+
+@query("job_score_requests", _REQUEST_SQL)
+def job_score_requests(spark, sf_dir):
+    """Payloads to forecasts: every request has a response or the reason why not."""
+    return RQ.score_requests(_requests(spark, sf_dir))
+
+
+#: A forecast whose result depends on the scaler: half of the last count and half of the same slot a day before the target, plus a tenth of the range.
+def _blend() -> LinearModel:
+    naive, last = LinearModel.seasonal_naive(C.EVAL_LEAD), LinearModel.persistence()
+    return LinearModel("blend", (naive.weights + last.weights) / 2, 0.1)
+
+
+def _parts(spark, sf_dir):
+    """The series before the cut, which scalers and models are fitted on, and from it on."""
+    r, cut = store.read_readings(spark, sf_dir), F.lit(FIT_CUT).cast("date")
+    return r.where(F.col("date") < cut), regular_series(r.where(F.col("date") >= cut))
+
+
+@query(
+    "ml_evaluate_bundle",
+    with_(READINGS)
+    + f""",
+past AS (SELECT * FROM readings WHERE ts < TIMESTAMP '{FIT_CUT} 00:00:00'),
+past_r AS (SELECT sensor_id, time_bucket(INTERVAL '5 minutes', ts) AS bucket, CAST(SUM(car_count) AS DOUBLE) / COUNT(car_count) AS car_count FROM past GROUP BY 1, 2),
+fit AS (SELECT sensor_id, min(car_count) AS lo, max(car_count) AS hi FROM past_r GROUP BY 1),
+late_r AS (SELECT sensor_id, time_bucket(INTERVAL '5 minutes', ts) AS bucket, CAST(SUM(car_count) AS DOUBLE) / COUNT(car_count) AS car_count
+           FROM readings WHERE ts >= TIMESTAMP '{FIT_CUT} 00:00:00' GROUP BY 1, 2),"""
+    + interp("late_r", "late_s")
+    + f""",
+ev AS (
+  SELECT sensor_id, car_count AS last_v, count(*) OVER w AS n, lag(car_count, {_NEW_LAG}) OVER o AS day_v, lead(car_count, {C.EVAL_LEAD}) OVER o AS label
+  FROM late_s
+  WINDOW w AS (PARTITION BY sensor_id ORDER BY bucket ROWS BETWEEN {C.N_STEPS - 1} PRECEDING AND CURRENT ROW), o AS (PARTITION BY sensor_id ORDER BY bucket)),
+e AS (SELECT *, label - ((last_v + day_v) / 2 + 0.1 * (hi - lo)) AS off FROM ev JOIN fit USING (sensor_id) WHERE n = {C.N_STEPS} AND label IS NOT NULL)
+SELECT sensor_id, CAST(2 AS BIGINT) AS version, 'blend' AS model, {q4('avg(abs(off))')} AS mae, {q4('avg(off * off)')} AS mse, count(*) AS n_windows FROM e GROUP BY 1
+""",
+)
+def ml_evaluate_bundle(spark, sf_dir):
+    """A stored bundle, the second version of two: its model scores days after the cut through scalers that were fitted before it."""
+    past, later = _parts(spark, sf_dir)
+    root = scratch_path(spark, "bundles")
+    scaler = BU.fit_scaler(regular_series(past))
+    for model in (LinearModel.persistence(), _blend()):
+        BU.write_bundle(spark, root, model, scaler)
+    bundle = BU.read_bundle(spark, root)
+    m = BU.evaluate_bundle(later, bundle)
+    return m.select("sensor_id", F.lit(bundle.version).cast("long").alias("version"), "model", q4c("mae").alias("mae"), q4c("mse").alias("mse"), "n_windows")
+
+
+@query("promote_fitted")
+def promote_fitted(spark, sf_dir):
+    """The fitted model against persistence on days it hasn't seen, and what the promotion makes of it."""
+    past, later = _parts(spark, sf_dir)
+    _, model = fit_forecaster(spark, TR.indexed_rows(past))
+    m = EV.evaluate_series(later, [replace(model, name="fitted"), LinearModel.persistence()])
+    new, old = (m.where(F.col("model") == name) for name in ("fitted", "persistence"))
+    compared = EV.compare(new, old, later.select("sensor_id"))
+    joined = EV.report(compared).select(F.concat(F.lit("arn:slotcast:model-package/fitted/"), "sensor_id").alias("model_package_arn"), "sensor_id", F.col("report").alias("r"))
+    out = PM.decide(joined).join(compared.select("sensor_id", "new_mae", "old_mae"), "sensor_id")
+    return out.select("sensor_id", "model_package_arn", "new_mae", "old_mae", "result", "status", "description")

@@ -19,11 +19,12 @@ from slotcast.catalog.sqlparts import (
     ts_text,
     with_,
 )
-from slotcast.functions.timecols import fmt_date, fmt_day_first, fmt_seconds, fmt_text
+from slotcast.functions.timecols import epoch_seconds, fmt_date, fmt_day_first, fmt_seconds, fmt_text
 from slotcast.operators import clean as CL
 from slotcast.operators import dedup as DD
 from slotcast.operators import edges as ED
 from slotcast.operators import ordering as O
+from slotcast.operators.edges import sensor_dates
 from slotcast.sources import feed, store
 from slotcast.sources.scan import key_range_scan
 
@@ -251,3 +252,29 @@ def flt_min_history(spark, sf_dir):
     counts = per_day.select("sensor_id", "date", F.least(cum, F.lit(C.N_STEPS)).alias("n"))
     st = CL.min_history_status(counts, "n", C.N_STEPS)
     return st.select("sensor_id", fmt_date("date").alias("date"), "n", "status", "message")
+
+
+@query(
+    "flt_history_rules",
+    with_(READINGS)
+    + f""",
+d AS (SELECT sensor_id, CAST(ts AS DATE) AS date, count(*) AS n, min(time_bucket(INTERVAL '5 minutes', ts)) AS lo,
+             max(time_bucket(INTERVAL '5 minutes', ts)) AS hi FROM readings GROUP BY 1, 2),
+c AS (SELECT sensor_id, date, CAST(sum(n) OVER w AS BIGINT) AS n_raw,
+             CAST((epoch(max(hi) OVER w) - epoch(min(lo) OVER w)) / 300 + 1 AS BIGINT) AS n_steps
+      FROM d WINDOW w AS (PARTITION BY sensor_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT sensor_id, {date_text('date')} AS date, n_raw, n_steps,
+       CASE WHEN n_raw < {C.N_STEPS} THEN 'COLD_START' WHEN n_steps < {C.N_STEPS} THEN 'NOT_ENOUGH_DATA' ELSE 'READY' END AS serving,
+       CASE WHEN n_raw <= {C.N_STEPS} THEN 'NOT_ENOUGH_DATA' ELSE 'READY' END AS training,
+       CASE WHEN n_steps <= {C.N_STEPS + C.SERVE_HORIZON} THEN 'NOT_ENOUGH_DATA' ELSE 'READY' END AS evaluation
+FROM c
+""",
+)
+def flt_history_rules(spark, sf_dir):
+    """What each sensor's history up to each date is long enough for: steps are those of the regular series."""
+    days = sensor_dates(feed.readings(spark, sf_dir))
+    upto = W.partitionBy("sensor_id").orderBy("date").rowsBetween(W.unboundedPreceding, 0)
+    span = epoch_seconds(F.max("last_bucket").over(upto)) - epoch_seconds(F.min("first_bucket").over(upto))
+    counts = days.select("sensor_id", "date", F.sum("n").over(upto).alias("n_raw"), (span / C.STEP_SECONDS + 1).cast("long").alias("n_steps"))
+    out = CL.history_rules(counts, need=C.N_STEPS, lead=C.SERVE_HORIZON)
+    return out.select("sensor_id", fmt_date("date").alias("date"), "n_raw", "n_steps", "serving", "training", "evaluation")

@@ -41,3 +41,15 @@ def min_history_status(counts: DataFrame, n_col: str = "n", need: int = 288) ->
             F.format_string("COLD START: collecting data (%d/%d)", n, F.lit(need))
         ),
     )
+
+
+def history_rules(counts: DataFrame, n_raw: str = "n_raw", n_steps: str = "n_steps", need: int = 288, lead: int = 12) -> DataFrame:
+    """Whether a history is long enough, by the rule of each job: a forecast needs ``need`` readings, and as many steps once they
+    are resampled; a training set needs more than ``need`` rows, an evaluation more than ``need + lead`` steps."""
+    raw, steps = F.col(n_raw), F.col(n_steps)
+    rules = {
+        "serving": F.when(raw < need, F.lit("COLD_START")).when(steps < need, F.lit("NOT_ENOUGH_DATA")),
+        "training": F.when(raw <= need, F.lit("NOT_ENOUGH_DATA")),
+        "evaluation": F.when(steps <= need + lead, F.lit("NOT_ENOUGH_DATA")),
+    }
+    return counts.withColumns({name: F.coalesce(bad, F.lit("READY")) for name, bad in rules.items()})

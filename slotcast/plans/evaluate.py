@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotcast import config as C
@@ -31,14 +31,19 @@ def evaluate(windows: DataFrame, model: LinearModel) -> DataFrame:
     return evaluate_many(windows, [model])
 
 
-def evaluate_many(windows: DataFrame, models: list[LinearModel]) -> DataFrame:
+def evaluate_many(windows: DataFrame, models: list[LinearModel], low: Column | None = None, span: Column | None = None) -> DataFrame:
     """MAE / MSE per (sensor, model) for several models in ONE pass over the
     windows: every model scores the same Arrow batches, and one aggregation
-    computes all metrics (partial aggregation before the shuffle)."""
+    computes all metrics (partial aggregation before the shuffle).  Forecasts are unscaled
+    by the windows' ``low`` and ``span``, or by the fixed scale."""
+
+    def unscaled(p: Column) -> Column:
+        return p * F.lit(C.CAR_MAX) if span is None else p * span + low
+
     scored = windows.select(
         "sensor_id",
         "label",
-        *[(score_scaled(windows, m) * F.lit(C.CAR_MAX)).alias(f"_p{i}") for i, m in enumerate(models)],
+        *[unscaled(score_scaled(windows, m)).alias(f"_p{i}") for i, m in enumerate(models)],
     )
     aggs = []
     for i, _ in enumerate(models):

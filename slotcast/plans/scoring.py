@@ -72,23 +72,24 @@ def score_scaled(windows: DataFrame, model: LinearModel, x: str = "x") -> Column
     return model.predict_udf()(F.col(x))
 
 
-def serve(windows: DataFrame, model: LinearModel, horizon: int = C.SERVE_HORIZON) -> DataFrame:
-    """Serving post-processing: unscale, clamp at 0, round half-even to int;
+def serve(windows: DataFrame, model: LinearModel, horizon: int = C.SERVE_HORIZON, key: str = "sensor_id", low: Column | None = None, span: Column | None = None) -> DataFrame:
+    """Serving post-processing: unscale (by ``low`` and ``span``, or the fixed scale), clamp at 0, round half-even to int;
     the target time is the last bucket + horizon steps."""
     scaled = windows.withColumn("_scaled", score_scaled(windows, model))
-    value = F.greatest(F.lit(0.0), F.col("_scaled") * F.lit(C.CAR_MAX))
+    count = F.col("_scaled") * F.lit(C.CAR_MAX) if span is None else F.col("_scaled") * span + low
+    value = F.greatest(F.lit(0.0), count)
     return scaled.select(
-        "sensor_id",
+        key,
         F.col("last_ts").alias("timestamp"),
         round_half_even_int(value).alias("prediction"),
         add_steps("last_ts", horizon).alias("prediction_for"),
     )
 
 
-def response_json(scored: DataFrame) -> DataFrame:
+def response_json(scored: DataFrame, key: str = "sensor_id") -> DataFrame:
     """The scorer's response document per sensor."""
     doc = F.struct(
         F.col("prediction").alias("predicted_car_count"),
         F.date_format("prediction_for", C.RESPONSE_FORMAT).alias("for_timestamp"),
     )
-    return scored.select("sensor_id", F.to_json(doc).alias("response"))
+    return scored.select(key, F.to_json(doc).alias("response"))
