@@ -52,7 +52,7 @@ from pyspark.sql import functions as F
 from slotcast.llm import textops as T
 from slotcast.llm.bitmaps import bitmap, in_bitmap, without
 from slotcast.llm.components import components
-from slotcast.llm.store import Scratch, written
+from slotcast.llm.store import Scratch, numbered, written
 
 COUNT_BITS = 22  # log2 of the shingle counters that give the pivots' order
 COUNT_CHUNK = 14  # log2 of the counters in one row
@@ -204,9 +204,10 @@ def bounded(pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def distances(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Exact distance of each pair (a, b), and whether it links."""
-    one = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("sa"))
-    two = sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("sb"))
+    """Exact distance of each distinct pair (a, b), and whether it links; a set crosses the shuffle once, and once per pair."""
+    ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("set_id"))
+    own = ends.join(sets, "set_id").withColumn("of", F.when(F.col("set_id") == F.col("a"), F.lit("a")).otherwise(F.lit("b")))
+    both = own.groupBy("a", "b").agg(*(F.max(F.when(F.col("of") == x, F.col("shingles"))).alias(f"s{x}") for x in "ab"))
 
     def run(batches):
         for b in batches:
@@ -219,11 +220,11 @@ def distances(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 links.append(100 * both >= percent * union)
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(d, pa.float64()), pa.array(links, pa.bool_())], ["a", "b", "d", "linked"])
 
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, d double, linked boolean")
+    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, d double, linked boolean")
 
 
 def read_sets(docs: DataFrame, ids: DataFrame, k: int, key: str, text: str) -> DataFrame:
-    """(set_id, shingles) of the classes in ``ids``, read from the texts."""
+    """(set_id, shingles) of the classes in ``ids``, read from the texts; a filter lets a few others through, too."""
     wanted = docs.sparkSession.sparkContext.broadcast(bitmap(ids, "set_id", ids.count()))
 
     def run(batches):
@@ -241,8 +242,7 @@ def read_sets(docs: DataFrame, ids: DataFrame, k: int, key: str, text: str) -> D
                         out.append(i)
                 yield pa.RecordBatch.from_arrays([pa.array(of[out]), pa.array([sets[i].tobytes() for i in out], pa.binary())], ["set_id", "shingles"])
 
-    read = _rows(docs, key, text).mapInArrow(run, "set_id long, shingles binary")
-    return read.join(ids, "set_id", "left_semi").dropDuplicates(["set_id"])
+    return _rows(docs, key, text).mapInArrow(run, "set_id long, shingles binary").dropDuplicates(["set_id"])
 
 
 # ---- regions
@@ -338,7 +338,9 @@ def connected(docs: DataFrame, measured: DataFrame, k: int, percent: int, key: s
         if turn < 2:  # the first round's close pairs, then all that are left in any region
             ids = close.select(F.explode(F.array("a", "b")).alias("set_id")) if turn == 0 else state.select("set_id")
             ids = tables.put(ids.distinct(), "sets_wanted")
-            sets = tables.put(read_sets(docs, ids, k, key, text), "sets")
+            sets = read_sets(docs, ids, k, key, text)
+            if turn:  # used by all further rounds
+                sets = tables.put(sets, "sets")
         known = tables.put(distances(close, sets, percent), "distances")
         links = known.where("linked").select("a", "b")
         rest = state.join(drawn.select("region", "set_id"), ["region", "set_id"], "left_anti")
@@ -382,10 +384,9 @@ def one_of_each(docs: DataFrame, k: int = 4, percent: int = 85, key: str = "doc_
     """The rows of ``docs`` less near-duplicates: of each component the row with the smallest key stays, of several with that
     key one of them; a null key comes last.  Documents without words belong to no component and all stay.
 
-    Every row gets a number and is written with it once, as keys may be null or repeat.  Of the rows only those that a
+    Rows are told apart by numbers (``store.numbered``), as keys may be null or repeat.  Of the rows only those that a
     filter of the others' numbers marks are joined, so texts that stay aren't shuffled."""
-    numbered = docs.select(F.struct(*docs.columns).alias("_row"), F.monotonically_increasing_id().alias("_place"))
-    rows = written(numbered.select("_row", "_place"), "numbered")
+    rows = numbered(docs)
     placed = rows.select("_place", F.col(f"_row.{key}").alias("_key"), F.col(f"_row.{text}").alias("_text"))
     member = jaccard_components(placed, k, percent, "_place", "_text").where("n_shingles > 0").select(F.col("doc_id").alias("_place"), "component_id")
     member = written(member.join(placed.select("_place", "_key"), "_place"), "near_duplicates")

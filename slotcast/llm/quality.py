@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from slotcast.llm import textops as T
 from slotcast.llm.bitmaps import without
-from slotcast.llm.store import written
+from slotcast.llm.store import numbered, written
 from slotcast.llm.tokens import IdCache, WordEncoder, word_encoder
 
 MIN_WORDS = 20
@@ -263,10 +263,9 @@ def quality_rules(docs: DataFrame, piece_model: str, word_model: str, key: str =
 def passing(docs: DataFrame, piece_model: str, word_model: str, text: str = "text", band: str = "lang") -> DataFrame:
     """The rows of ``docs`` that the rules keep, all columns kept.
 
-    Every row gets a number and is written with it once; of the rows only those that a filter of the rejected numbers
+    Rows are told apart by numbers (``store.numbered``); of the rows only those that a filter of the rejected numbers
     marks are joined, so kept texts aren't shuffled."""
-    numbered = docs.select(F.struct(*docs.columns).alias("_row"), F.monotonically_increasing_id().alias("_place"))
-    rows = written(numbered.select("_row", "_place"), "numbered")
+    rows = numbered(docs)
     fields = rows.select("_place", F.col(f"_row.{text}").alias("text"), F.col(f"_row.{band}").alias("band"))
     judged = quality_rules(fields, piece_model, word_model, "_place", "text", "band")
     rejected = written(judged.where(~F.col("kept")).select(F.col("doc_id").alias("_place")), "quality_rejected")
