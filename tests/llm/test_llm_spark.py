@@ -461,6 +461,55 @@ def test_cotraining_edges(spark):
     assert cotrain.classify(empty(docs), both).count() == 0
 
 
+def test_views_and_margins_by_hand(spark):
+    """Token counts and page numbers of odd texts, and scores that equal the fitted models' own on the features."""
+    docs = edge_docs(spark)
+    rows = cotrain.views(docs).orderBy("doc_id", "text").collect()
+    token = re.compile(r"(?:[A-Za-z]|[^\x00-\x7f])+|[^A-Za-z\x80-\U0010ffff\x20\x09-\x0d]+")
+    made = cotrain.features(cotrain.views(docs).withColumn("doc_id", F.struct("doc_id", "text"))).collect()
+    of = {(r.doc_id.doc_id, r.doc_id.text): r for r in made}
+    for r in rows:
+        counts = sorted(collections.Counter(token.findall(r.text or "")).values())
+        v = of[r.doc_id, r.text].text_features
+        norm = math.sqrt(sum(c * c for c in counts))
+        assert np.allclose(sorted(v.values), [c / norm for c in counts])
+        text, meta = r.text or "", of[r.doc_id, r.text].meta_features
+        lines = text.count("\n") + 1
+        want = [math.log1p(len(text)), math.log(lines), math.log1p(len(text) / lines)]
+        want += [sum(f(x) for x in text) / max(1, len(text)) for f in (lambda x: "A" <= x <= "Z", lambda x: "0" <= x <= "9", lambda x: x in "#*$%&|<>!{}[]=~^_+@", lambda x: x in " \t\n\v\f\r")]
+        assert np.allclose(meta.toArray()[: cotrain.NUMBERS], want) and meta.toArray()[cotrain.NUMBERS :].sum() == 2
+    learn = cotrain.features(cotrain.views(docs)).withColumn("label", (F.xxhash64("meta_features") % 2 == 0).cast("double"))
+    models = {v: cotrain._fit(learn, v, "label") for v in ("text", "meta")}
+    got = sorted((str(r.doc_id), round(r.text, 9), round(r.meta, 9)) for r in cotrain.margins(cotrain.views(docs), models).collect())
+    own = learn
+    for m in models.values():
+        own = m.transform(own)
+    assert got == sorted((str(r.doc_id), round(r.text_raw[1], 9), round(r.meta_raw[1], 9)) for r in own.collect())
+
+
+def test_a_round_teaches_each_view_what_the_other_is_sure_of(spark, monkeypatch):
+    """The confident labels of one round, drawn and passed on, against a plain evaluation of the first models."""
+    tables = {}
+    keep = cotrain.written
+    monkeypatch.setattr(cotrain, "written", lambda df, name: tables.setdefault(name, []).append(keep(df, name)) or tables[name][-1])
+    monkeypatch.setattr(cotrain, "ROUNDS", 1)
+    docs, labels = sf_docs(spark), queries.table(spark, SF, "labels")
+    cotrain.fit(docs, labels)
+    known = {r.doc_id: r.label for r in tables["cotrain_labelled"][0].collect()}
+    teach = tables["cotrain_labelled"][0].where(~(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(cotrain.CALIBRATE)) == 0))
+    models = {v: cotrain._fit(teach, v, "label") for v in ("text", "meta")}
+    score = {r.doc_id: {"text": r.text, "meta": r.meta} for r in cotrain.margins(cotrain.views(docs), models).collect() if r.doc_id not in known}
+    edge = math.log(cotrain.CONFIDENT / (1 - cotrain.CONFIDENT))
+    sure = {v: {i: float(m[v] > 0) for i, m in score.items() if abs(m[v]) >= edge} for v in models}
+    seen = tables["cotrain_sure"][0].collect()
+    for v in models:
+        assert {r.doc_id: r[v] for r in seen if r[v] is not None} == sure[v]
+    # fewer than POOL are sure, so all are drawn; the other view learns from them beside the labelled ones
+    taught = [{r.doc_id: r.label for r in t.collect()} for t in tables["cotrain_taught"]]
+    base = {r.doc_id: r.label for r in teach.collect()}
+    assert taught == [base | sure["text"], base | sure["meta"]] and sure["text"]
+
+
 def test_cotraining_takes_confident_rows_of_rare_sources_from_all(spark, monkeypatch):
     monkeypatch.setattr(cotrain, "POOL", 40)
     rows = [(i, 1.0, "en", "big") for i in range(4000)] + [(10_000 + i, 0.0, "fi", "rare") for i in range(10)]
