@@ -2,8 +2,11 @@
 
 Every block element's subtree (tags and text) is hashed.  Spark counts, per host,
 the different pages that hold each subtree, and subtrees that recur on many pages
-of their host are deleted as template.  Elements that say themselves that they
-are page furniture (by tag, role, class or id) are deleted on hosts of any size.
+of their host are deleted as template, whatever they are called.  Elements that say themselves that they
+are page furniture (by tag, role, class or id) are deleted, too, if they don't recur or the host is small.
+A class or id is a furniture name only as a whole, or with general words (``ad-box``, ``site-footer``), so
+``social-science`` is none; ids of an article's headings, paragraphs and lists name their content and
+don't count.
 What is left of the article (of the body, if no element is marked as article or
 main) is the text.
 
@@ -60,11 +63,19 @@ FURNITURE_NAMES = frozenset(
     " nav navbar navigation newsletter notice notices pagination pager popup promo promoted related replies respond share sharing sidebar signup social sponsor"
     " sponsored subscribe teaser toolbar topbar widget widgets".split()
 )
+#: Words that don't change what a furniture name says.
+GENERAL_NAMES = frozenset("area bar block bottom box btn button buttons container content top global inner item items left link links list main module outer page panel right row section site slot sticky unit wrap wrapper".split())
 CLOSES_P = BLOCK - {"body", "html", "option", "optgroup"}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("ul ol dl table article section div main body html nav aside footer header form".split())
 
 
+def names_furniture(name: str) -> bool:
+    """Whether a class or id is made of furniture names and general words."""
+    parts = NAME.findall(name)
+    return not FURNITURE_NAMES.isdisjoint(parts) and all(x in FURNITURE_NAMES or x in GENERAL_NAMES for x in parts)
+
+
 def is_furniture(tag: str, attributes: str, in_article: bool) -> bool:
     """Whether an element says that it isn't part of the text."""
     if tag in FURNITURE_TAGS or (tag == "header" and not in_article):
@@ -73,8 +84,8 @@ def is_furniture(tag: str, attributes: str, in_article: bool) -> bool:
         return False
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (a or b or c).lower()
-        if name in ("class", "id"):
-            if not FURNITURE_NAMES.isdisjoint(NAME.findall(value)):
+        if name == "class" or name == "id" and not (in_article and tag in FLOW):
+            if any(names_furniture(x) for x in value.split()):
                 return True
         elif name == "role":
             if value in FURNITURE_ROLES:
@@ -89,12 +100,13 @@ class Page:
 
     def __init__(self, html: str):
         self.blocks: list[str] = []
-        self.elements: list[tuple[int, int, int, bool]] = []  # hash, first block, end block, deletable
+        self.named: list[bool] = []  # which blocks lie in an element that says it is furniture
+        self.elements: list[tuple[int, int, int]] = []  # hash, first block, end block of what may be template
         self.articles: list[tuple[str, int, int]] = []
         self.text: list[str] = []
         # open elements: tag, is furniture, hash parts, first block
         self.open: list[tuple[str, bool, list[str], int]] = []
-        self.skip = self.in_article = 0
+        self.skip = self.inline = self.in_article = 0  # open furniture, that within a line, and articles
         self.loose: list[str] = []
         self.spans: list[tuple[list[int], list[tuple[int, int]]]] = []  # digests and block spans of what may be the main content
         self.runs: dict[int, tuple[list[str], list[int], list[tuple[int, int]]]] = {}  # the passages of each parent, by its hash parts
@@ -105,6 +117,7 @@ class Page:
             block = " ".join("".join(self.text).split())
             if block:
                 self.blocks.append(block)
+                self.named.append(self.skip > 0)
             self.text = []
 
     def _words(self, raw: str) -> None:
@@ -112,7 +125,7 @@ class Page:
             return
         text = htmllib.unescape(raw) if "&" in raw else raw
         (self.open[-1][2] if self.open else self.loose).append(text)
-        if not self.skip:
+        if not self.inline:
             self.text.append(text)
 
     def _close(self) -> None:
@@ -135,8 +148,9 @@ class Page:
                 self.articles.append((tag, first, len(self.blocks)))
         if furniture:
             self.skip -= 1
+            self.inline -= not block
         if block and tag not in WRAPPER and not (tag in FLOW and self.in_article):
-            self.elements.append((digest, first, len(self.blocks), not furniture and not self.skip))
+            self.elements.append((digest, first, len(self.blocks)))
 
     def _start(self, tag: str, attributes: str) -> None:
         if tag in ("article", "main"):
@@ -159,6 +173,7 @@ class Page:
             self._flush()
         if furniture:
             self.skip += 1
+            self.inline += tag not in BLOCK
         elif tag in ("article", "main"):
             self.in_article += 1
         self.open.append((tag, furniture, [], len(self.blocks)))
@@ -201,8 +216,8 @@ class Page:
     def core(self) -> int | None:
         """Hash of the main content, None if nothing holds more than half of the text."""
         upto = [0]
-        for x in self.blocks:
-            upto.append(upto[-1] + len(x))
+        for x, named in zip(self.blocks, self.named, strict=True):
+            upto.append(upto[-1] + (0 if named else len(x)))
         found = ((sum(upto[b] - upto[a] for a, b in spans), digests) for digests, spans in [*self.spans, *(x[1:] for x in self.runs.values())])
         size, digests = min((x for x in found if 2 * x[0] > upto[-1]), key=lambda x: x[0], default=(0, None))
         return None if digests is None else digests[0] if len(digests) == 1 else xxhash.xxh64_intdigest(repr(digests).encode()) - (1 << 63)
@@ -217,9 +232,9 @@ class Page:
         else:
             spans = [(0, len(keep))]
         for a, b in spans:
-            keep[a:b] = [True] * (b - a)
-        for digest, a, b, deletable in self.elements:
-            if deletable and digest in template:
+            keep[a:b] = [not x for x in self.named[a:b]]
+        for digest, a, b in self.elements:
+            if digest in template:
                 keep[a:b] = [False] * (b - a)
         return "\n".join(x for x, k in zip(self.blocks, keep, strict=True) if k)
 
@@ -231,32 +246,28 @@ def _host(url: Column) -> Column:
 
 
 def subtrees(pages: DataFrame) -> DataFrame:
-    """(host, page_hash, core, subtree, deletable) of every page's block elements, each once per page."""
+    """(host, page_hash, core, subtree) of every page's block elements, each once per page."""
 
     def run(batches):
         for b in batches:
             out = []
             for host, page, html in zip(*(b.column(x).to_pylist() for x in ("host", "page_hash", "html")), strict=True):
-                once = {}
                 read = Page(html or "")
                 core = read.core()
-                for digest, _, _, deletable in read.elements:
-                    once[digest] = once.get(digest, False) or deletable
-                out += [(host, page, page if core is None else core, digest, deletable) for digest, deletable in once.items()]
-            types = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True) if out else [[]] * 5, types, strict=True)], ["host", "page_hash", "core", "subtree", "deletable"])
+                out += [(host, page, page if core is None else core, digest) for digest in {x[0] for x in read.elements}]
+            types = (pa.string(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True) if out else [[]] * 4, types, strict=True)], ["host", "page_hash", "core", "subtree"])
 
-    return pages.select("host", "page_hash", "html").mapInArrow(run, "host string, page_hash long, core long, subtree long, deletable boolean")
+    return pages.select("host", "page_hash", "html").mapInArrow(run, "host string, page_hash long, core long, subtree long")
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
     rows = pages.select(F.col(key).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"), _host(F.col(url)).alias("host"), F.xxhash64(html).alias("page_hash"))
     found = written(subtrees(rows).distinct(), "subtrees")
-    contents = found.groupBy("host", "subtree", "core").agg(F.max("deletable").alias("deletable"))
-    counts = contents.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"), F.max("deletable").alias("deletable")).where((F.col("n") >= MIN_PAGES) & F.col("deletable"))
-    template = counts.select("host", "subtree")
-    cuts = found.where("deletable").join(template, ["host", "subtree"]).groupBy("host", "page_hash").agg(F.collect_set("subtree").alias("cut"))
+    contents = found.select("host", "subtree", "core").distinct()
+    template = contents.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_PAGES).select("host", "subtree")
+    cuts = found.join(template, ["host", "subtree"]).groupBy("host", "page_hash").agg(F.collect_set("subtree").alias("cut"))
     cuts = written(cuts, "template_cuts")  # of each page under each host only that host's
 
     def run(batches):

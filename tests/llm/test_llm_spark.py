@@ -551,6 +551,30 @@ def test_templates_of_a_section_of_a_large_host_are_removed(spark):
     assert text == {i: f"these are the own words of page {i}" for i in range(1500)}
 
 
+def test_recurrence_decides_on_a_mixed_corpus(spark, monkeypatch):
+    """Menus, bars and notices under no telling name, some of them in the article, which only their recurrence tells."""
+    rng = random.Random(9)
+    rows, want = [], {}
+    for h in range(3):
+        bars = [f"<div class='x{k}'><span>bar {h} {k}</span><ul><li>one {k}</li><li>two</li></ul></div>" for k in range(6)]
+        for i in range(3 if h == 2 else 40):
+            own = [f"paragraph {h} {i} {j} " + " ".join(rng.choices(BASE.split(), k=30)) for j in range(4)]
+            shared = rng.sample(bars, 4)
+            inside = "".join(f"<p>{p}</p>" + (shared[j] if j < 2 else "") for j, p in enumerate(own))
+            menu = f"<div class='nav'>menu of {h}</div><nav>links of {h}</nav>"
+            rows.append((1000 * h + i, f"http://host{h}.example/{i}", f"<body>{menu}{shared[2]}<article><h1>title {h} {i}</h1>{inside}</article>{shared[3]}</body>"))
+            want[1000 * h + i] = [f"title {h} {i}", *own]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    text = {r["page_id"]: r["text"] for r in rows_of(templates.extract(pages))}
+    for i, lines in want.items():
+        got = text[i].split("\n")
+        assert got == lines if i < 2000 else [x for x in got if x in lines] == lines and len(got) > len(lines)  # the last host is small
+    monkeypatch.setattr(templates, "FURNITURE_NAMES", frozenset())
+    monkeypatch.setattr(templates, "FURNITURE_TAGS", frozenset())
+    bare = {i: templates.Page(h).main_text(set()) for i, _, h in rows}
+    assert sum(bare[i] != text[i] for i in bare if i < 2000) == 80  # the recurrence rule acts on every page of the large hosts
+
+
 def test_a_page_under_many_hosts_is_joined_with_its_own_hosts_cuts(spark, monkeypatch):
     shared = "<body><div>Site line</div><p>the same words on every mirror of it</p></body>"
     rows = [(100 * h, f"http://u:p@M{h}.example:8080/", shared) for h in range(20)]

@@ -325,6 +325,9 @@ def test_scores_grow_with_training():
         ("<article><p>x <b>bo</b>ld 1 < 2 &#233;&nbsp;y</p><div class='comments'>c</div><form>q</form></article>", "x bold 1 < 2 é y"),
         ("<script>var t='</p>';</script><style>p{}</style><p>a<!-- b --></p><p hidden>h</p>", "a"),
         ("<p>unclosed <script>x", "unclosed"),
+        ("<article><h2 id='related-work'>Related work</h2><p>a</p><h2 id='comments-on-method'>On comments</h2><section class='social-science'><p>b</p></section></article>", "Related work\na\nOn comments\nb"),
+        ("<article><h2 id='comments'>Comments</h2><p>a</p><div class='comment-list'>c</div><div id='ad-box'>d</div><p class='ad'>e</p><div class='big nav'>f</div></article>", "Comments\na"),
+        ("<body><div class='site-footer'>f</div><p>a <span class='ad'>x</span>b</p><div class='navigator'>g</div></body>", "a b\ng"),
         ("<article><ul><li>i<li>j</ul><table><tr><td>1<td>2</table></article></div></div>", "i\nj\n1\n2"),
     ],
 )
