@@ -412,14 +412,35 @@ def test_decontamination(spark):
     ]
     table = spark.createDataFrame([(*d, "h", "w") for d in docs], "doc_id long, text string, hash string, words string")
     rows = {r["doc_id"]: r for r in rows_of(decontam.contaminated(table, bench))}
-    assert set(rows) == {1, 2, 3, 5, None, 10, 11}
+    assert set(rows) == {1, 2, 3, 4, 5, None, 10, 11}
     assert rows[1]["best_item"] == 0 and rows[1]["n_match"] == 40 and rows[10]["n_items"] == 2
     left = decontam.decontaminate(table, bench)
-    assert left.columns == table.columns and sorted(str(r["doc_id"]) for r in left.collect()) == sorted(map(str, [4, 6, 7, 8, 9, 10]))
+    assert left.columns == table.columns and sorted(str(r["doc_id"]) for r in left.collect()) == sorted(map(str, [6, 7, 8, 9, 10]))
     assert decontam.contaminated(empty(table), bench).count() == 0
     assert decontam.contaminated(table, empty(bench)).count() == 0
 
 
+def test_short_and_very_long_items(spark):
+    """Items too short for seeds stand whole; those of two words are whole texts; one item of 20,000 words doesn't widen the others' segments."""
+    rng = random.Random(6)
+    words = [f"t{i}" for i in range(4000)]
+    long = " ".join(rng.choice(words) for _ in range(20_000))
+    usual = " ".join(rng.choice(words) for _ in range(30))
+    bench = spark.createDataFrame([(1, "What is the capital city of France?"), (2, "Yes."), (3, "three word item"), (4, long), (5, usual), (6, "no no")], "item_id long, text string")
+    noise = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    texts = ["well: what is the capital city of france, " + noise(50), "what is the capital town of france", "yes", "yes yes", noise(10) + " no no " + noise(5), "a Three-word ITEM b", "No, no!",
+             noise(300) + " " + usual + " " + noise(9000), noise(40) + " " + " ".join(long.split()[500:700]) + " " + noise(40), long]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: (r["best_item"], r["n_match"], r["n_words"]) for r in rows_of(decontam.contaminated(docs, bench))}
+    assert rows == {0: (1, 7, 7), 2: (2, 1, 1), 5: (3, 3, 3), 6: (6, 2, 2), 7: (5, 30, 30), 8: (4, 200, 250), 9: (4, 20_000, 20_000)}
+    items = decontam.benchmark_items(bench)
+    seeds = decontam.item_seeds(items)
+    assert {r.reach for r in seeds.select("reach").distinct().collect()} == {0, 64, 64 * 4**5}
+    bits = {r: bitmaps.bitmap(seeds.where(F.col("reach") == r), "hash", 1000) for r in (64, 64 * 4**5)}
+    sizes = {(r.doc_id, r.reach): len(r.words) // 8 for r in decontam.hit_segments(docs, bits, {}).collect()}
+    assert sizes[7, 64] <= 30 + 2 * 64 and (7, 64 * 4**5) not in sizes
+
+
 def test_decontamination_of_unspaced_scripts(spark):
     passages = {1: "春眠不覚暁処処聞啼鳥。夜来風雨声、花落知多少。", 2: "ภาษาไทยเป็นภาษาที่ไม่เว้นวรรคระหว่างคำ", 3: "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"}
     bench = spark.createDataFrame(list(passages.items()), "item_id long, text string")
