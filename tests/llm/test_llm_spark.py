@@ -436,7 +436,7 @@ def test_short_and_very_long_items(spark):
     items = decontam.benchmark_items(bench)
     seeds = decontam.item_seeds(items)
     assert {r.reach for r in seeds.select("reach").distinct().collect()} == {0, 64, 64 * 4**5}
-    bits = {r: bitmaps.bitmap(seeds.where(F.col("reach") == r), "hash", 1000) for r in (64, 64 * 4**5)}
+    bits = {r: bitmaps.bitmap(seeds.where(F.col("reach") == r), "hash", 100_000) for r in (64, 64 * 4**5)}
     sizes = {(r.doc_id, r.reach): len(r.words) // 8 for r in decontam.hit_segments(docs, bits, {}).collect()}
     assert sizes[7, 64] <= 30 + 2 * 64 and (7, 64 * 4**5) not in sizes
 
