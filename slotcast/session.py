@@ -7,6 +7,7 @@ unset -- local runs and tests -- do we pick our own folder.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -53,10 +54,19 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_root(spark).rstrip("/"), "runs", uuid.uuid4().hex, *parts])
 
 
+def source_stamp(spark: SparkSession, folder: str, table: str = "events") -> str:
+    """Changes whenever the files of an input table do: from their number, sizes and times."""
+    fs, path = _fs(spark, f"{folder}/{table}.parquet")
+    if not fs.exists(path):
+        return "none"
+    seen = [(f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(path)]
+    return hashlib.sha256(repr(sorted(seen)).encode()).hexdigest()[:12]
+
+
 def store_path(spark: SparkSession, name: str, key: str) -> str:
-    """A stable folder below the shared root, for tables reused across calls."""
+    """A folder below the shared root for tables reused across calls, as long as the input ``key`` stays as it is."""
     safe = "".join(ch if ch.isalnum() else "_" for ch in key)
-    return "/".join([shared_root(spark).rstrip("/"), "stores", safe, name])
+    return "/".join([shared_root(spark).rstrip("/"), "stores", f"{safe}_{source_stamp(spark, key)}", name])
 
 
 def _fs(spark: SparkSession, path: str):
