@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotcast.llm import cotrain, ctw, decontam, jaccard, lengths, mixing, negatives, planes, quality, runs, secret_scan, sharding, templates
+from slotcast.llm.store import written
 from slotcast.session import scratch_path
 
 WORD_BPE = "word_bpe_49k.json"
@@ -63,7 +64,7 @@ def op9_bit_plane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = lengths.encoded_lengths(table(spark, sf_dir, "documents"), vocabulary(WORD_BPE))
-    out = lengths.suffix_table(lengths.histogram(made))
+    out = lengths.suffix_table(written(lengths.histogram(made), "length_histogram"))  # read twice, encoded once
     return out.select(F.col("grp").alias("lang"), *out.columns[1:], lengths.is_quantile(0.5).alias("is_median"), lengths.is_quantile(0.99).alias("is_p99"))
 
 
