@@ -364,10 +364,11 @@ def connected(docs: DataFrame, measured: DataFrame, k: int, percent: int, key: s
     return labels
 
 
-def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, set_id, n_shingles, component_id) of every document; columns beside the key and the text are not read."""
+def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, key: str = "doc_id", text: str = "text", trace: list | None = None) -> DataFrame:
+    """(doc_id, set_id, n_shingles, component_id) of every document; columns beside the key and the text are not read.
+    ``trace`` gets a dictionary of counts for each round."""
     measured = written(measured_sets(docs, k, key, text), "shingle_sets")
-    roots = connected(docs, measured, k, percent, key, text)
+    roots = connected(docs, measured, k, percent, key, text, trace)
     rows = measured.where("chunk IS NULL").select("doc_id", "set_id", "n_shingles")
     classes = rows.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("least"))
     if roots is None:

@@ -328,11 +328,9 @@ def test_jaccard_join_draws_pivots_by_default(spark):
     """Copies with two changes each of a text that isn't there: crowded regions without links, which take several rounds."""
     rows = crowd(2, 30, 140, [2]) + [(1000 + i, t) for i, t in crowd(2, 10, 70, [0, 1, 1, 2], 8)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    measured = jaccard.written(jaccard.measured_sets(docs, 4, "doc_id", "text"), "sets")
     trace = []
-    jaccard.connected(docs, measured, 4, 85, "doc_id", "text", trace)
+    check_join(jaccard.jaccard_components(docs, trace=trace), rows_of(docs))
     assert len(trace) > 2 and all(t["pivots"] >= t["regions"] for t in trace) and any(t["large"] for t in trace)
-    check_join(jaccard.jaccard_components(docs), rows_of(docs))
 
 
 def test_voronoi_regions_keep_every_near_pair(spark):
@@ -358,14 +356,9 @@ def test_voronoi_regions_keep_every_near_pair(spark):
 
 def test_jaccard_pairs_grow_with_a_group_of_copies(spark):
     """Copies with up to two changes are one component by a pivot or two, not by all their pairs."""
-    pairs = []
-    for n in (100, 400):
-        docs = spark.createDataFrame(crowd(1, n, 140, [0, 1, 1, 2, 3]), "doc_id long, text string")
-        measured = jaccard.written(jaccard.measured_sets(docs, 4, "doc_id", "text"), "sets")
-        trace = []
-        jaccard.connected(docs, measured, 4, 85, "doc_id", "text", trace)
-        pairs.append(sum(t["pairs"] for t in trace))
-    assert pairs[0] < 300 and pairs[1] < 1200
+    docs, trace = spark.createDataFrame(crowd(1, 400, 140, [0, 1, 1, 2, 3]), "doc_id long, text string"), []
+    jaccard.jaccard_components(docs, trace=trace)
+    assert sum(t["pairs"] for t in trace) < 1200  # of 79,800
 
 
 def test_one_of_each(spark):
