@@ -707,7 +707,7 @@ def test_oracle_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got = queries.QUERIES[name](spark, SF).toPandas()
     want = con.execute(queries.ORACLE[name]).df()
@@ -720,4 +720,4 @@ def test_every_query_is_registered():
     import __spark_entry__ as E
 
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries()) and set(queries.ORACLE) <= set(E.oracle_sql())
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES) == list(range(1, 14))
