@@ -2,8 +2,8 @@
 
 Every block element's subtree (tags and text) is hashed.  Spark counts, per host,
 the different pages that hold each subtree, and subtrees that recur on many pages
-of their host are deleted as template, whatever they are called.  Elements that say themselves that they
-are page furniture (by tag, role, class or id) are deleted, too, if they don't recur or the host is small.
+of their host are deleted as template.  Elements that say themselves that they
+are page furniture (by tag, role, class or id) are deleted whether they recur or not, so they aren't counted.
 A class or id is a furniture name only as a whole, or with general words (``ad-box``, ``site-footer``), so
 ``social-science`` is none; ids of an article's headings, paragraphs and lists name their content and
 don't count.
@@ -149,7 +149,7 @@ class Page:
         if furniture:
             self.skip -= 1
             self.inline -= not block
-        if block and tag not in WRAPPER and not (tag in FLOW and self.in_article):
+        if block and not furniture and not self.skip and tag not in WRAPPER and not (tag in FLOW and self.in_article):
             self.elements.append((digest, first, len(self.blocks)))
 
     def _start(self, tag: str, attributes: str) -> None:
