@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from slotcast import config as C
@@ -269,19 +271,25 @@ def win_last_sequence(spark, sf_dir):
     )
 
 
+_DIGEST = "sensor_id string, window_idx long, n_steps long, first_car double, last_car double, sum_car double, sum_hour double, label double"
+_DIGEST_ROWS = 1024  # windows summed at once
+
+
 def _tensor_digest(w):
-    cars = F.filter("x", lambda v, i: i % 2 == 0)
-    hours = F.filter("x", lambda v, i: i % 2 == 1)
-    return w.select(
-        "sensor_id",
-        "window_idx",
-        (F.size("x") / 2).cast("long").alias("n_steps"),
-        F.element_at(cars, 1).alias("first_car"),
-        F.element_at(cars, -1).alias("last_car"),
-        q4c(F.aggregate(cars, F.lit(0.0), lambda a, v: a + v)).alias("sum_car"),
-        q4c(F.aggregate(hours, F.lit(0.0), lambda a, v: a + v)).alias("sum_hour"),
-        "label",
-    )
+    def digest(batches):
+        for batch in batches:
+            for i in range(0, len(batch), _DIGEST_ROWS):
+                b = batch.slice(i, _DIGEST_ROWS)
+                flat = b.column("x").flatten()
+                x = flat.fill_null(0.0).to_numpy().reshape(len(b), -1, 2)
+                null = flat.is_null().to_numpy(zero_copy_only=False).reshape(x.shape)
+                total, unknown = np.cumsum(x, axis=1)[:, -1], null.any(axis=1)  # added in the order of the steps
+                cols = [(x[:, 0, 0], null[:, 0, 0]), (x[:, -1, 0], null[:, -1, 0]), (total[:, 0], unknown[:, 0]), (total[:, 1], unknown[:, 1])]
+                cols = [pa.array(np.full(len(b), x.shape[1])), *(pa.array(v, mask=m) for v, m in cols)]
+                yield pa.RecordBatch.from_arrays([b.column("sensor_id"), b.column("window_idx"), *cols, b.column("label")], [f.split()[0] for f in _DIGEST.split(", ")])
+
+    d = w.select("sensor_id", "window_idx", "x", "label").mapInArrow(digest, _DIGEST)
+    return d.withColumns({c: q4c(c) for c in ("sum_car", "sum_hour")})
 
 
 _TENSOR_SQL = (

@@ -109,19 +109,31 @@ def window_arrays(
 ) -> DataFrame:
     """Full windows as a flat array ``x`` of ``n * len(features)`` doubles in
     row-major order (row t, feature f at ``t * len(features) + f``), plus
-    ``label``.  This is the tensor ``[n, len(features)]`` of the source."""
+    ``label``.  This is the tensor ``[n, len(features)]`` of the source.
+
+    A chunk's rows are gathered once, in order, and a window is a slice of the
+    chunk's flat array, so that a window costs one copy of its own values and
+    not a frame gathered row by row.  The rows grow ``n``-fold behind the
+    shuffle: its partitions keep their number, whatever their bytes."""
     ch = _chunked(df, n, lead, idx, chunk_rows)
-    w = _frame(keys, idx)
-    frame = w.rowsBetween(-(n - 1), 0)
-    row = F.array(*[F.col(f).cast("double") for f in features])
-    cols = [F.collect_list(row).over(frame).alias("_rows")]
+    row = [F.col(idx).alias("_idx"), F.col("_home"), *(F.col(c).alias(f"_c{i}") for i, c in enumerate(carry))]
+    row += [F.array(*[F.col(f).cast("double") for f in features]).alias("_values")]
+    row += [label.alias("_label")] if label is not None else []
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = ch.select(*keys, "_chunk", F.struct(*row).alias("_row")).repartition(parts, *keys, "_chunk")
+    chunks = chunks.groupBy(*keys, "_chunk").agg(F.sort_array(F.collect_list("_row")).alias("_rows")).sortWithinPartitions(*keys, "_chunk")
+    cols = [F.flatten(F.transform("_rows", lambda r: r["_values"])).alias("_x")]
     if label is not None:
-        cols.append(F.lead(label, lead).over(w).alias("label"))
-    out = ch.select(*keys, idx, "_home", "_chunk", *carry, *cols)
-    keep = (F.col("_chunk") == F.col("_home")) & (F.size("_rows") == n)
+        cols.append(F.col("_rows._label").alias("_labels"))
+    out = chunks.select(*keys, "_chunk", "_rows", *cols)
+    out = out.select(*keys, "_chunk", *(["_labels"] if label is not None else []), "_x", F.posexplode("_rows").alias("_at", "_row"))
+    keep = (F.col("_chunk") == F.col("_row._home")) & (F.col("_at") >= n - 1)
+    cols = [F.col("_row._idx").alias(idx), *(F.col(f"_row._c{i}").alias(c) for i, c in enumerate(carry))]
+    cols.append(F.slice("_x", (F.col("_at") - (n - 1)) * len(features) + 1, n * len(features)).alias("x"))
     if label is not None:
-        keep = keep & F.col("label").isNotNull()
-    return out.where(keep).select(*keys, idx, *carry, F.flatten("_rows").alias("x"), *(["label"] if label is not None else []))
+        cols.append(F.get("_labels", F.col("_at") + lead).alias("label"))
+        keep = keep & F.get("_labels", F.col("_at") + lead).isNotNull()
+    return out.where(keep).select(*keys, *cols)
 
 
 def last_window(series: DataFrame, n: int, features: list[str], keys: tuple[str, ...] = ("sensor_id",), ts: str = "bucket") -> DataFrame:

@@ -40,6 +40,38 @@ def test_arrays_row_major(spark):
     assert first["idx"] == 2 and list(first["x"]) == [0.0, 0.0, 1.0, 10.0, 2.0, 20.0] and first["label"] == 3.0
 
 
+def test_arrays_of_many_keys_match_brute_force(spark):
+    """Carried columns, null values and null labels, null keys, over chunk borders and rows in any order."""
+    rng = np.random.default_rng(7)
+    values = {key: [None if rng.random() < 0.1 else float(v) for v in rng.integers(0, 100, n)] for key, n in (("a", 90), ("b", 61), (None, 33), ("short", 5))}
+    rows = [(key, i, v, float(i), f"{key}{i}") for key, vs in values.items() for i, v in enumerate(vs)]
+    rows = [rows[i] for i in rng.permutation(len(rows))]
+    df = spark.createDataFrame(rows, "sensor_id string, idx long, v double, h double, note string")
+    n, lead = 6, 3
+    got = Q.window_arrays(df, n, lead, ["v", "h"], F.col("v"), carry=("note",), chunk_rows=8).collect()
+    want = {}
+    for key, vs in values.items():
+        for e in range(n - 1, len(vs) - lead):
+            if vs[e + lead] is not None:
+                want[key, e] = (f"{key}{e}", [y for t in range(e - n + 1, e + 1) for y in (vs[t], float(t))], vs[e + lead])
+    assert {(r["sensor_id"], r["idx"]): (r["note"], list(r["x"]), r["label"]) for r in got} == want and len(got) == len(want)
+    unlabelled = Q.window_arrays(df, n, lead, ["v"], None, chunk_rows=8)
+    assert unlabelled.columns == ["sensor_id", "idx", "x"] and unlabelled.count() == sum(max(0, len(vs) - n + 1) for vs in values.values())
+
+
+def test_written_windows_are_spread_over_tasks(spark, tmp_path):
+    """A window row is 288 times its reading, so the size of the readings must not decide how many tasks write windows."""
+    from slotcast.plans import training
+    from slotcast.sinks.tables import WINDOWS_TABLE, read_table
+
+    n, length = 4, 12 * Q.DEFAULT_CHUNK
+    rows = spark.range(2 * length).selectExpr(f"concat('s', id DIV {length}) AS sensor_id", f"id % {length} AS idx", "id AS n_rows", "timestamp_ntz'2024-01-01 00:00:00' AS ts", "CAST(id % 50 AS DOUBLE) AS car_count")
+    path = str(tmp_path / "windows")
+    training.write_windows(training.window_tensors(rows, n), path)
+    assert len({p.name.split("-")[1] for p in (tmp_path / "windows").glob("part-*.parquet")}) >= 4
+    assert read_table(spark, path, WINDOWS_TABLE).count() == 2 * (length - n)
+
+
 def test_training_window_counts_287_288_289(spark):
     """len - n windows; none at 288 or fewer rows (training needs > 288)."""
     for length, expected in [(287, 0), (288, 0), (289, 1), (300, 12)]:
@@ -107,3 +139,24 @@ def test_latest_rows_from_chosen_dates(spark):
     key = lambda t: {(r["sensor_id"], r["ts"]) for r in latest_n(t, 15).collect()}
     assert key(read_dates(df, needed)) == key(df)
 
+
+def test_digest_of_stored_windows(spark):
+    """First, last and sums of a window, null where a value they take is null."""
+    from slotcast.catalog.q_windows import _tensor_digest
+    from slotcast.sinks.tables import WINDOWS_TABLE
+
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(2500):
+        x = rng.random(10).round(4).tolist()
+        if i % 5 == 0:
+            x[i // 5 % 10] = None
+        rows.append((i, 2500, x, float(i), f"s{i % 3}"))
+    got = {r["window_idx"]: r for r in _tensor_digest(spark.createDataFrame(rows, WINDOWS_TABLE)).collect()}
+    total = lambda v: None if None in v else pytest.approx(sum(v), abs=1e-4)
+    assert len(got) == len(rows)
+    for i, _, x, label, sensor in rows:
+        r = got[i]
+        assert (r["sensor_id"], r["n_steps"], r["first_car"], r["last_car"], r["label"]) == (sensor, 5, x[0], x[8], label)
+        assert r["sum_car"] == total(x[::2]) and r["sum_hour"] == total(x[1::2])
+    assert _tensor_digest(spark.createDataFrame([], WINDOWS_TABLE)).count() == 0
