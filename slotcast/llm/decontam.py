@@ -162,7 +162,7 @@ def hit_segments(docs: DataFrame, bits: dict[int, np.ndarray], short: dict[int,
                 columns = zip(*out, strict=True) if out else [[]] * 6
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], ["doc_id", "text_hash", "reach", "lo", "words", "hits"])
 
-    return rows.mapInArrow(run, SEGMENTS)
+    return rows.mapInArrow(T.tidy(run), SEGMENTS)
 
 
 def best_overlap(doc: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int]:

@@ -131,7 +131,7 @@ def measured_sets(docs: DataFrame, k: int, key: str, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([i], pa.int32()), pa.array([raw], pa.binary())], names)
 
     names = ["doc_id", "set_id", "n_shingles", "chunk", "counts"]
-    return _rows(docs, key, text).mapInArrow(run, "doc_id long, set_id long, n_shingles long, chunk int, counts binary")
+    return _rows(docs, key, text).mapInArrow(T.tidy(run), "doc_id long, set_id long, n_shingles long, chunk int, counts binary")
 
 
 def rarity(measured: DataFrame) -> np.ndarray:
@@ -185,7 +185,7 @@ def _prefixes(docs: DataFrame, k: int, percent: int, levels, key: str, text: str
                 lists = [T.list_array(pa.array(x, pa.int64()), sizes) for x in flat]
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), *lists, pa.array([x[4] for x in out], pa.binary())], ["set_id", "n", "regions", "places", "sketch"])
 
-    return _rows(docs, key, text).mapInArrow(run, "set_id long, n long, regions array<long>, places array<long>, sketch binary")
+    return _rows(docs, key, text).mapInArrow(T.tidy(run), "set_id long, n long, regions array<long>, places array<long>, sketch binary")
 
 
 def bounded(pairs: DataFrame, percent: int) -> DataFrame:
@@ -242,7 +242,7 @@ def read_sets(docs: DataFrame, ids: DataFrame, k: int, key: str, text: str) -> D
                         out.append(i)
                 yield pa.RecordBatch.from_arrays([pa.array(of[out]), pa.array([sets[i].tobytes() for i in out], pa.binary())], ["set_id", "shingles"])
 
-    return _rows(docs, key, text).mapInArrow(run, "set_id long, shingles binary").dropDuplicates(["set_id"])
+    return _rows(docs, key, text).mapInArrow(T.tidy(run), "set_id long, shingles binary").dropDuplicates(["set_id"])
 
 
 # ---- regions

@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from slotcast.llm import textops as T
+from slotcast.llm.store import small_batches
 from slotcast.llm.tokens import word_encoder
 
 MAGIC = b"IDPL1\n"
@@ -190,7 +191,7 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, k
             close()
         yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*done, strict=True) if done else [[]] * 4, (pa.string(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["file", "n_docs", "n_ids", "n_bytes"])
 
-    return rows.mapInArrow(write, MANIFEST)
+    return rows.mapInArrow(T.tidy(write), MANIFEST)
 
 
 def read_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -204,7 +205,7 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], [f.split()[0] for f in INDEX.split(", ")])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.idpl").load(folder).select("path", "content")
-    return files.mapInArrow(read, INDEX)
+    return files.mapInArrow(T.tidy(read), INDEX)
 
 
 def with_starts(index: DataFrame) -> DataFrame:
@@ -219,7 +220,8 @@ def encode_documents(docs: DataFrame, folder: str, tokenizer: str, **options) ->
     """Write the files, then give the index that is read back from them."""
     spark = docs.sparkSession
     written = write_files(docs, folder, tokenizer, **options)
-    written.write.mode("overwrite").parquet(f"{folder}/_manifest")
+    with small_batches(spark):
+        written.write.mode("overwrite").parquet(f"{folder}/_manifest")
     if spark.read.schema(MANIFEST).parquet(f"{folder}/_manifest").isEmpty():
         return with_starts(spark.createDataFrame([], INDEX))
     return with_starts(read_files(spark, folder))

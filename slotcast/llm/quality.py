@@ -183,7 +183,7 @@ def measure(docs: DataFrame, piece_model: str, word_model: str, key: str = "doc_
                 own = [*(b.column(x).slice(c.lo, c.hi - c.lo) for x in ("doc_id", "band")), pa.array(scripts(c), pa.string())]
                 yield pa.RecordBatch.from_arrays(own + [pa.array(x) for x in out.values()], ["doc_id", "band", "script", *out])
 
-    measured = rows.mapInArrow(run, MEASURED)
+    measured = rows.mapInArrow(T.tidy(run), MEASURED)
     return measured.withColumns({
         "chars_per_piece": F.col("word_chars") / F.greatest("n_pieces", F.lit(1)),
         "chars_per_token": F.col("word_chars") / F.greatest("n_tokens", F.lit(1)),

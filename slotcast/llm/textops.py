@@ -6,7 +6,8 @@ documents only to bound the memory of the temporary arrays."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -78,6 +79,27 @@ def chunks(column, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
         lo = hi
 
 
+def give_back() -> None:
+    """Free memory that the allocators of Arrow and C keep goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for ``mapInArrow``, after which the worker gives back what it needs no more: Spark keeps workers for later
+    stages, beside which a stage's largest batches and temporary arrays would still stand."""
+
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return tidied
+
+
 @dataclass
 class Words:
     hash: np.ndarray  # uint64, of each word

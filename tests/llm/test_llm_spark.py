@@ -721,3 +721,20 @@ def test_every_query_is_registered():
 
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries()) and set(queries.ORACLE) <= set(E.oracle_sql())
     assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES) == list(range(1, 14))
+
+
+def test_plane_files_are_written_from_small_batches(spark, monkeypatch):
+    """Whole texts reach the writing tasks in batches of store.BATCH_ROWS, and the session's own setting stands again."""
+    from slotcast.llm import store
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"file": [""], "n_docs": [len(b)], "n_ids": [0], "n_bytes": [0]})
+
+    before = spark.conf.get(store.BATCH)
+    folder = scratch_path(spark, "ids")
+    monkeypatch.setattr(planes, "write_files", lambda docs, *_, **__: docs.mapInArrow(sizes, planes.MANIFEST))
+    planes.encode_documents(spark.range(0, 3 * store.BATCH_ROWS, 1, 1), folder, WORD_BPE)
+    rows = spark.read.parquet(f"{folder}/_manifest").collect()
+    assert max(r["n_docs"] for r in rows) <= store.BATCH_ROWS and sum(r["n_docs"] for r in rows) == 3 * store.BATCH_ROWS
+    assert spark.conf.get(store.BATCH) == before

@@ -346,3 +346,18 @@ def test_template_subtrees():
 
 def test_crc_law():
     assert zlib.crc32("é".encode()) == zlib.crc32(b"\xc3\xa9")
+
+
+def test_tidy_tasks_give_memory_back(monkeypatch):
+    """All batches come through; memory goes back once, at the end, after an error, and when the reader stops early."""
+    calls = []
+    monkeypatch.setattr(T, "give_back", lambda: calls.append(1))
+    assert list(T.tidy(lambda batches: (2 * b for b in batches))(iter(range(4)))) == [0, 2, 4, 6] and len(calls) == 1
+    with pytest.raises(ZeroDivisionError):
+        list(T.tidy(lambda batches: (1 // b for b in batches))(iter([1, 0])))
+    early = T.tidy(lambda batches: (b for b in batches))(iter(range(4)))
+    assert next(early) == 0 and len(calls) == 2
+    early.close()
+    assert len(calls) == 3
+    monkeypatch.undo()
+    T.give_back()
